@@ -174,15 +174,19 @@ def wrap_symbols(c, prefix: str = "{\\EmojiFont ", suffix: str = "}") -> Column:
 
 
 # H15 / A9 ------------------------------------------------------------------
-def slug(c, max_len: int | None = None) -> Column:
-    """Path-safe name: chars outside [A-Za-z0-9-_.] -> '_', strip '_', fallback 'run'."""
-    s = F.regexp_replace(_c(c), r"[^A-Za-z0-9\-_.]", "_")
+def slug(c) -> Column:
+    """Path-safe name: trim, chars other than letters/digits/-_. -> '_', strip '_', fallback 'run'."""
+    s = F.regexp_replace(F.trim(_c(c)), r"[^\p{L}\p{N}\-_.]", "_")
     s = F.regexp_replace(s, r"^_+|_+$", "")
-    if max_len is not None:
-        s = F.when(F.length(s) > max_len, F.concat(F.substring(s, 1, max_len - 4), F.lit("_etc"))).otherwise(s)
     return F.when(s == "", F.lit("run")).otherwise(s)
 
 
+def slug_capped(c, max_len: int = 64) -> Column:
+    """Slug cut to ``max_len`` characters ending in ``_etc`` when longer."""
+    s = slug(c)
+    return F.when(F.length(s) > max_len, F.concat(F.substring(s, 1, max_len - 4), F.lit("_etc"))).otherwise(s)
+
+
 # H16 -----------------------------------------------------------------------
 def epoch_to_ts(c) -> Column:
     """Epoch seconds -> UTC timestamp; unparsable -> null."""

@@ -68,7 +68,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("subreddit"),
-        F.unix_seconds(F.col("ts")).alias("created_utc"),
+        F.unix_seconds(F.col("ts").cast("timestamp")).alias("created_utc"),
         F.col("value").alias("score"),
         F.col("user_id"),
     )
