@@ -65,28 +65,28 @@ def normalize_template(c, strip_numbers: bool = True) -> Column:
 
 # H3 ------------------------------------------------------------------------
 def char_wb_ngrams(c, lo: int = 4, hi: int = 6) -> Column:
-    """Character n-grams (lo..hi) inside space-padded words.
+    """Character n-grams (lo..hi) inside space-padded words (lower-cased).
 
     Word = whitespace-separated run; the padded word ``' '+w+' '`` yields every
-    window of length n; a padded word not longer than ``lo`` yields itself once
-    and words shorter than a larger n add nothing for that n.
+    window of length n; a padded word shorter than ``lo`` yields itself once;
+    words shorter than a larger n add nothing for that n.
+
+    Built from regex look-aheads only (whole-stage codegen, no lambdas): the
+    words are laid out as `` w1  w2  w3 `` (each padded, pads adjacent), and a
+    window of one padded word is exactly a string of shape
+    `` x{n-1}``, `` x{n-2} ``, ``x{n}`` or ``x{n-1} `` (x = non-space); a window
+    crossing two words would contain two adjacent spaces.
     """
-    text = F.lower(_c(c))
-    toks = F.filter(F.split(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), " "), lambda w: F.length(w) > 0)
-
-    def grams_of(w):
-        p = F.concat(F.lit(" "), w, F.lit(" "))
-        ln = F.length(p)
-
-        def for_n(n):
-            sliding = F.transform(F.sequence(F.lit(0), ln - n), lambda o: F.substring(p, o + 1, n))
-            return F.when(ln >= n, sliding).otherwise(
-                F.when(n == lo, F.array(p)).otherwise(F.array().cast("array<string>"))
-            )
-
-        return F.flatten(F.transform(F.sequence(F.lit(lo), F.lit(hi)), for_n))
-
-    return F.flatten(F.transform(toks, grams_of))
+    text = F.trim(F.regexp_replace(F.lower(_c(c)), r"(?U)\s+", " "))
+    laid = F.concat(F.lit(" "), F.regexp_replace(text, " ", "  "), F.lit(" "))
+    parts = []
+    for n in range(lo, hi + 1):
+        rx = f"(?=( [^ ]{{{n - 1}}}| [^ ]{{{n - 2}}} |[^ ]{{{n}}}|[^ ]{{{n - 1}}} ))"
+        parts.append(F.regexp_extract_all(laid, F.lit(rx), 1))
+    if lo > 3:
+        parts.append(F.regexp_extract_all(laid, F.lit(f"(?=( [^ ]{{1,{lo - 3}}} ))"), 1))
+    grams = F.concat(*parts)
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(grams)
 
 
 # H4 ------------------------------------------------------------------------
