@@ -19,6 +19,8 @@ TABLES = (
 POST_EPOCH_BASE = 1704067200  # 2024-01-01T00:00:00Z
 POST_EPOCH_STEP = 3600  # one post per hour of doc_id
 COMMENT_ID_FACTOR = 1000
+# language -> sub-corpus folder (plays the human / model-written strata)
+FOLDER_OF_LANG = {"en": "human", "de": "generic_gpt", "es": "summary_guided_gpt", "fr": "generic_qwen"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +46,23 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("text_id"),
         F.col("lang").alias("stratum"),
         F.col("source").alias("source"),
+        folder_of(F.col("lang")).alias("folder"),
         F.col("text"),
     )
 
 
+def folder_of(lang):
+    e = F.when(F.lit(False), F.lit(None))
+    for k, v in FOLDER_OF_LANG.items():
+        e = e.when(lang == k, F.lit(v))
+    return e.otherwise(F.concat(F.lit("other_"), lang))
+
+
+def folder_sql(col: str = "lang") -> str:
+    whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in FOLDER_OF_LANG.items())
+    return f"(CASE {whens} ELSE 'other_' || {col} END)"
+
+
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """conversations -> raw comment records (turn 0 plays the post)."""
     c = table(spark, sf_dir, "conversations")
