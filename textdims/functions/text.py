@@ -119,8 +119,8 @@ def split_prompt(c) -> tuple[Column, Column]:
     s = _c(c)
     sys_ = F.regexp_extract(s, r"(?s)SYSTEM PROMPT:\s*(.+?)\nUSER PROMPT:", 1)
     usr = F.regexp_extract(s, r"(?s)USER PROMPT:\s*(.+)", 1)
-    sys_ = F.when(sys_ == "", F.lit(None)).otherwise(F.trim(sys_, " \t\n\r"))
-    usr = F.when(usr == "", F.lit(None)).otherwise(F.trim(usr, " \t\n\r"))
+    sys_ = F.when(sys_ == "", F.lit(None)).otherwise(F.trim(sys_, F.lit(" \t\n\r")))
+    usr = F.when(usr == "", F.lit(None)).otherwise(F.trim(usr, F.lit(" \t\n\r")))
     return sys_, usr
 
 
