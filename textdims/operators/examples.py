@@ -114,3 +114,28 @@ def interpretation_bundle(examples: DataFrame, excerpts: DataFrame, loadings_tex
         F.lit("\n=== EXAMPLE EXCERPTS ===\n"), F.array_join(F.transform("bs", lambda s: s["b"]), "\n"),
     )
     return j.select("factor", "pole", prompt.alias("prompt"))
+
+
+def with_available_text(scores: DataFrame, texts: DataFrame, key: str = "text_id") -> tuple[DataFrame, DataFrame]:
+    """(rows whose text exists, keys of the missing ones) - left semi and left anti joins."""
+    avail = scores.join(texts.select(key), key, "left_semi")
+    missing = scores.select(key).distinct().join(texts.select(key), key, "left_anti")
+    return avail, missing
+
+
+def attach_group_means(scores: DataFrame, means: DataFrame, on=("factor", "group")) -> DataFrame:
+    """Equi join of each text's score with its group mean (the means table has one row per level)."""
+    return scores.join(means, list(on), "left")
+
+
+def parse_pole_list(c, ids: bool = False):
+    """Items of an ``a (.45), (b (.31))`` list; parenthesised items are secondary.
+
+    Returns array<struct<item string, loading double, primary boolean>>.
+    """
+    items = F.regexp_extract_all(c, F.lit(r"(\(?[^\s,()]+ \(-?[0-9]*\.[0-9]+\)\)?)"), 1)
+    return F.transform(items, lambda x: F.struct(
+        F.regexp_extract(x, r"^\(?([^\s,()]+)", 1).alias("item"),
+        F.regexp_extract(x, r"\((-?[0-9]*\.[0-9]+)\)", 1).cast("double").alias("loading"),
+        ~x.startswith("(").alias("primary"),
+    ))

@@ -12,22 +12,28 @@ def sequential_ids(df: DataFrame, order_cols, out: str = "seq", start: int = 0,
     Range-partition + sort within partitions; per-partition row counts (one
     row per partition, a proven bound) give offsets; a row's id is offset +
     position inside its partition.  ``order_cols`` must be a unique key so the
-    order (and a recomputation after executor loss) is deterministic.
+    order is total; positions are materialised once so every consumer (and a
+    recomputation after executor loss) sees the same numbering.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    pos = ranged.withColumn("_pid", F.spark_partition_id()).withColumn(
-        "_pos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
+    pos = ranged.withColumn("__pid", F.spark_partition_id()).withColumn(
+        "__ppos", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)
     )
-    counts = pos.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # the positions are written once: recomputing the range sort could sample
+    # other boundaries (shuffle fetch order is not deterministic)
+    from ..session import materialize
+
+    pos = materialize(pos, "seq-ids")
+    counts = pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("__off"))
     return (
-        pos.join(F.broadcast(offsets), "_pid")
-        .withColumn(out, F.lit(start) + F.col("_off") + F.col("_pos"))
-        .drop("_pid", "_pos", "_off")
+        pos.join(F.broadcast(offsets), "__pid")
+        .withColumn(out, F.lit(start) + F.col("__off") + F.col("__ppos"))
+        .drop("__pid", "__ppos", "__off")
     )
 
 

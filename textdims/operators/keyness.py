@@ -129,12 +129,23 @@ def rank_order():
     return [status_priority().asc(), F.col("ll_rank_key").desc(), F.col("lemma").asc()]
 
 
-def rank_keyness(kn: DataFrame) -> DataFrame:
-    """The keyness table sorted (stratum, priority, rounded LL desc, lemma).
+def rank_keyness(kn: DataFrame, cutoff_pct: float = 3.0) -> DataFrame:
+    """Rank of every lemma inside its stratum (priority, rounded LL desc, lemma).
 
-    A distributed range sort; use ``quota_topk`` for ranks of the head only.
+    With a cut-off c > 0 a stratum keeps at most (mean distinct lemmas per
+    text) * 100 / c lemmas, whatever the corpus size (the a-counts of a stratum
+    sum to its lemma-text pairs), so one window per stratum is bounded.
+    Without a cut-off the distributed numbering (range sort + offsets) is used.
     """
-    return kn.orderBy(F.col("stratum").asc(), *rank_order())
+    if cutoff_pct and cutoff_pct > 0:
+        w = Window.partitionBy("stratum").orderBy(*rank_order())
+        return kn.withColumn("rank", F.row_number().over(w).cast("long"))
+    from .ids import sequential_ids
+
+    keyed = kn.withColumn("_prio", status_priority()).withColumn("_neg_ll", -F.col("ll_rank_key"))
+    s = sequential_ids(keyed, ["stratum", "_prio", "_neg_ll", "lemma"], out="_seq")
+    first = s.groupBy("stratum").agg(F.min("_seq").alias("_first"))
+    return s.join(first, "stratum").withColumn("rank", F.col("_seq") - F.col("_first") + 1).drop("_prio", "_neg_ll", "_seq", "_first")
 
 
 def keyword_shape(kn: DataFrame) -> DataFrame:

@@ -35,10 +35,19 @@ def text_raw_lemmas(texts: DataFrame, text_col: str = "text", keys=("text_id", "
     return texts.select(*keys, F.explode(F.array_distinct(F.transform(forms, raw_lemma))).alias("lemma"))
 
 
-def keyword_index(keywords: DataFrame, prefix: str = "v", width: int = 6) -> DataFrame:
-    """Sorted distinct keywords numbered from 1 -> (var, idx, lemma)."""
+def keyword_index(keywords: DataFrame, prefix: str = "v", width: int = 6, bounded: bool = True) -> DataFrame:
+    """Sorted distinct keywords numbered from 1 -> (var, idx, lemma).
+
+    The keyword list is bounded by the selection cap, so a single ordered
+    window numbers it; ``bounded=False`` uses the distributed numbering.
+    """
     kw = keywords.select(F.trim("lemma").alias("lemma")).filter(F.col("lemma") != "").distinct()
-    s = sequential_ids(kw, ["lemma"], out="idx", start=1)
+    if bounded:
+        from pyspark.sql import Window
+
+        s = kw.withColumn("idx", F.row_number().over(Window.orderBy("lemma")).cast("long"))
+    else:
+        s = sequential_ids(kw, ["lemma"], out="idx", start=1)
     return s.select(F.concat(F.lit(prefix), F.lpad(F.col("idx").cast("string"), width, "0")).alias("var"), "idx", "lemma")
 
 

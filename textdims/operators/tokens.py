@@ -23,30 +23,37 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_]"
 CONTENT_TAG_PREFIXES = ("NN", "NP", "VB", "JJ")
 # Lemmas never counted.
 STOP_LEMMAS = ("be", "have", "do")
-# Suffix rules of the built-in tagger, first match wins (tag, regex on the lower-cased form).
+# Suffix rules of the built-in tagger (tag, word endings on the lower-cased form); first match wins.
 SUFFIX_RULES = (
-    ("VBG", "ing$"),
-    ("VBD", "ed$"),
-    ("RB", "ly$"),
-    ("JJ", "(ous|ful|ive|able|ible|al|ic)$"),
+    ("VBG", ("ing",)),
+    ("VBD", ("ed",)),
+    ("RB", ("ly",)),
+    ("JJ", ("ous", "ful", "ive", "able", "ible", "al", "ic")),
 )
+SUFFIX_REGEX = "(" + "|".join(x for _, xs in SUFFIX_RULES for x in xs) + ")$"
 SHORT_WORD_TAG = "IN"  # forms of at most 3 characters
 DEFAULT_TAG = "NN"
 UNKNOWN_LEMMA = "<unknown>"
 
 
+def _suffix_tag(form: Column) -> Column:
+    """Tag implied by the word ending (one regex, then string comparisons), null if none."""
+    suf = F.regexp_extract(F.lower(form), SUFFIX_REGEX, 1)
+    e = F.when(F.lit(False), F.lit(None))
+    for tag, xs in SUFFIX_RULES:
+        e = e.when(suf.isin(*xs), F.lit(tag))
+    return e
+
+
 def tag_of(form: Column) -> Column:
     """Rule tag of one token form."""
-    lf = F.lower(form)
-    e = (
+    return (
         F.when(form.rlike(r"^\p{N}+$"), F.lit("CD"))
         .when(form.rlike(r"^[.!?]$"), F.lit("SENT"))
         .when(form.rlike(r"^[^\p{L}\p{N}_]$"), F.lit("PUN"))
         .when(form.rlike(r"^\p{Lu}") & (F.length(form) > 1), F.lit("NP"))
+        .otherwise(F.coalesce(_suffix_tag(form), F.when(F.length(form) <= 3, F.lit(SHORT_WORD_TAG)).otherwise(F.lit(DEFAULT_TAG))))
     )
-    for tag, rx in SUFFIX_RULES:
-        e = e.when(lf.rlike(rx), F.lit(tag))
-    return e.when(F.length(form) <= 3, F.lit(SHORT_WORD_TAG)).otherwise(F.lit(DEFAULT_TAG))
 
 
 def lemma_of(form: Column, tag: Column) -> Column:
@@ -95,17 +102,23 @@ def content_tokens(tokens: DataFrame) -> DataFrame:
 
 
 def is_content_form(w: Column) -> Column:
-    """Content test of one word form under the built-in rule (tag and lemma rule folded).
+    """Content test of one word run under the built-in rule (tag and lemma rule folded).
 
     With the rule tagger the resolved lemma of a word run is always ``lower(w)``
     (``<unknown>`` falls back to the form, proper nouns keep case before the
-    lower-casing), so the content test needs the tag only.
+    lower-casing), so the test needs the tag class only: not all digits, and a
+    proper noun, a VB*/JJ ending, or no ending and longer than 3 characters;
+    then at least two letters and not a stop lemma.  Four regex evaluations
+    per distinct form.
     """
     lw = F.lower(w)
-    tg = tag_of(w)
+    st = _suffix_tag(w)
+    np_ = w.rlike(r"^\p{Lu}") & (F.length(w) > 1)
+    content_tag = np_ | F.coalesce(st.isin("VBG", "VBD", "JJ"), F.length(w) > 3)
     return (
-        tg.rlike("^(" + "|".join(CONTENT_TAG_PREFIXES) + ")")
-        & (F.length(F.regexp_replace(lw, r"[^\p{L}]", "")) >= 2)
+        ~w.rlike(r"^\p{N}+$")
+        & content_tag
+        & w.rlike(r"\p{L}.*\p{L}")
         & ~lw.isin(*STOP_LEMMAS)
     )
 

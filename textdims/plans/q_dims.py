@@ -11,6 +11,7 @@ from ..operators import groups as G
 from ..operators import keyness as K
 from ..operators import matrix as M
 from ..operators import tokens as T
+from ..session import materialize
 from ..sources import tables
 from . import sqlfrag as S
 from .q_keyness import _KN_RANKED, CEILING, CUTOFF_PCT, MAX_TOTAL, WEIGHT, WEIGHTED
@@ -33,7 +34,8 @@ def _index(spark, sf):
     t = _texts(spark, sf)
     kn = K.keyness(T.text_lemmas(t), t, CUTOFF_PCT)
     kw = K.consolidate(K.quota_topk(kn, CEILING, WEIGHTED, WEIGHT), MAX_TOTAL, WEIGHTED)
-    return M.keyword_index(kw)
+    # the vocabulary (bounded by MAX_TOTAL) is written once; every later job reads it
+    return materialize(M.keyword_index(kw), "keyword-index")
 
 
 def _hits(spark, sf):
@@ -67,7 +69,7 @@ def _stratum_loadings(spark, sf):
     num = nd * F.col("n11") - F.col("nv").cast("double") * F.col("ns")
     den = F.sqrt(F.col("nv").cast("double") * (nd - F.col("nv")) * F.col("ns") * (nd - F.col("ns")))
     load = j.select("var", F.col("factor").cast("int").alias("factor"), F.when(den > 0, num / den).otherwise(F.lit(0.0)).alias("loading"))
-    return t, idx, hits, load
+    return t, idx, hits, materialize(load, "stratum-loadings")
 
 
 # ---------------------------------------------------------------------------
@@ -142,7 +144,7 @@ ent2 AS (
   FROM ent),
 sc AS (SELECT h.text_id, p.factor, sum(p.pole) AS score FROM hits h JOIN prim p USING (var) GROUP BY ALL),
 fgrid AS (SELECT mt.text_id, f.factor FROM mt CROSS JOIN (SELECT unnest(range(1, {K_FACTORS + 1})) AS factor) f),
-scores AS (SELECT g.text_id, g.factor, CAST(coalesce(sc.score, 0) AS BIGINT) AS score FROM fgrid g LEFT JOIN sc USING (text_id, factor))"""
+scores AS (SELECT g.text_id, CAST(g.factor AS INTEGER) AS factor, CAST(coalesce(sc.score, 0) AS BIGINT) AS score FROM fgrid g LEFT JOIN sc USING (text_id, factor))"""
 
 
 @register("keyword_index", f"WITH {_VOCAB} SELECT var, CAST(idx AS BIGINT) AS idx, lemma FROM idx")

@@ -147,3 +147,35 @@ SELECT stratum, lemma FROM shaped""",
 )
 def q_keyword_shape(spark, sf):
     return K.keyword_shape(_keyness(spark, sf)).select("stratum", "lemma")
+
+
+@register(
+    "rank_keyness",
+    f"""WITH {_KN_RANKED.split(',\nshaped AS')[0]}
+SELECT stratum, lemma, status, CAST(row_number() OVER (PARTITION BY stratum ORDER BY
+  (CASE status WHEN 'POSKW' THEN 0 WHEN 'NEGKW' THEN 1 ELSE 2 END), round(ll, 2) DESC, lemma) AS BIGINT) AS rank FROM kn""",
+)
+def q_rank_keyness(spark, sf):
+    return K.rank_keyness(_keyness(spark, sf)).select("stratum", "lemma", "status", F.col("rank").cast("long").alias("rank"))
+
+
+@register(
+    "keywords_roundtrip",
+    f"""WITH {_KN_RANKED},
+ordered AS (
+  SELECT lemma, (CASE WHEN stratum = '{WEIGHTED}' THEN 0 WHEN starts_with(stratum, 'summary_guided_') THEN 1
+                      WHEN starts_with(stratum, 'generic_') THEN 3 ELSE 2 END) AS p, stratum, rank
+  FROM selected ORDER BY p, stratum, rank LIMIT {MAX_TOTAL}
+)
+SELECT DISTINCT trim(lemma) AS lemma FROM ordered WHERE trim(lemma) <> ''""",
+)
+def q_keywords_roundtrip(spark, sf):
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources import files as FI
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/textdims-io/keywords-{uuid.uuid4().hex}"
+    sel = K.quota_topk(_keyness(spark, sf), CEILING, WEIGHTED, WEIGHT)
+    FI.write_keywords(K.consolidate(sel, MAX_TOTAL, WEIGHTED), path)
+    return FI.read_keywords(spark, path)

@@ -394,3 +394,87 @@ def q_derive_season(spark, sf):
 def q_preview_outliers(spark, sf):
     p = tables.posts(spark, sf)
     return p.filter(H.word_count("selftext") > 1000).select("id", H.preview("selftext", 400).alias("preview"))
+
+
+# --- remaining inventory items --------------------------------------------------------
+@register(
+    "with_available_text",
+    f"""WITH {_LOAD}
+SELECT s.text_id, s.factor, s.score FROM scores s WHERE s.text_id IN (SELECT doc_id FROM labels)""",
+)
+def q_with_available_text(spark, sf):
+    *_, scores, groups = _examples_inputs(spark, sf)
+    lbl = tables.table(spark, sf, "labels").select(F.col("doc_id").alias("text_id"))
+    avail, _ = EX.with_available_text(scores, lbl)
+    return avail.select("text_id", "factor", "score")
+
+
+@register(
+    "missing_texts",
+    f"""WITH {_LOAD}
+SELECT DISTINCT s.text_id FROM scores s WHERE s.text_id NOT IN (SELECT doc_id FROM labels)""",
+)
+def q_missing_texts(spark, sf):
+    *_, scores, groups = _examples_inputs(spark, sf)
+    lbl = tables.table(spark, sf, "labels").select(F.col("doc_id").alias("text_id"))
+    return EX.with_available_text(scores, lbl)[1]
+
+
+@register(
+    "attach_group_means",
+    f"""WITH {_EX_SQL}, sg AS (SELECT s.text_id, s.factor, s.score, g.grp FROM scores s JOIN grp g USING (text_id))
+SELECT sg.text_id, CAST(sg.factor AS INTEGER) AS factor, sg.score, sg.grp AS "group", round(gm.mean, 6) AS mean
+FROM sg LEFT JOIN gm ON gm.factor = sg.factor AND gm.grp = sg.grp""",
+)
+def q_attach_group_means(spark, sf):
+    *_, scores, groups = _examples_inputs(spark, sf)
+    means = EX.group_means(scores, groups).select("factor", "group", "mean")
+    j = EX.attach_group_means(scores.join(groups, "text_id"), means)
+    return j.select("text_id", F.col("factor").cast("int").alias("factor"), "score", "group", F.round("mean", 6).alias("mean"))
+
+
+@register(
+    "normalize_levels",
+    f"SELECT doc_id AS text_id, lower(trim('  ' || upper({tables.folder_sql('lang')}) || ' ')) AS level FROM documents",
+)
+def q_normalize_levels(spark, sf):
+    t = tables.texts(spark, sf)
+    return t.select("text_id", H.normalize_level(F.concat(F.lit("  "), F.upper("folder"), F.lit(" "))).alias("level"))
+
+
+@register("parse_pole_list")
+def q_parse_pole_list(spark, sf):
+    from .q_dims import _stratum_loadings as sl
+
+    _, idx, _, load = sl(spark, sf)
+    fl = FA.factor_lists(FA.factor_entries(load, idx.select("var", "lemma"), CUT))
+    return fl.select("factor", "pole", F.explode(EX.parse_pole_list(F.col("words"))).alias("e")).select("factor", "pole", "e.*")
+
+
+@register(
+    "char_ngrams",
+    f"""WITH {POSTS_SQL},
+w AS (SELECT id, w FROM (SELECT id, unnest(string_split_regex(trim(regexp_replace(lower(selftext), '\\s+', ' ', 'g')), ' ')) AS w FROM posts) WHERE w <> ''),
+g1 AS (SELECT id, ' ' || w || ' ' AS p, n FROM w, (VALUES (4), (5), (6)) t(n)),
+gr AS (SELECT id, substr(p, o + 1, n) AS gram FROM (SELECT id, p, n, unnest(generate_series(0, length(p) - n)) AS o FROM g1)
+       UNION ALL SELECT id, ' ' || w || ' ' FROM w WHERE length(w) + 2 < 4)
+SELECT id, count(*) AS n_grams, count(DISTINCT gram) AS n_distinct FROM gr GROUP BY id""",
+)
+def q_char_ngrams(spark, sf):
+    p = tables.posts(spark, sf)
+    g = p.select("id", F.explode(H.char_wb_ngrams(F.col("selftext"))).alias("gram"))
+    return g.groupBy("id").agg(F.count(F.lit(1)).alias("n_grams"), F.count_distinct("gram").alias("n_distinct"))
+
+
+@register(
+    "review_table",
+    f"WITH {POSTS_SQL} SELECT CAST(id AS VARCHAR) AS id, subreddit, language FROM posts",
+)
+def q_review_table(spark, sf):
+    from ..session import checkpoint_dir
+    from ..sources import files as FI
+    import uuid
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/textdims-io/review-{uuid.uuid4().hex}"
+    FI.export_review_table(tables.posts(spark, sf), ["id", "subreddit", "language"], path)
+    return spark.read.option("header", "true").schema("id string, subreddit string, language string").csv(path)

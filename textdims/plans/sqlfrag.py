@@ -29,7 +29,8 @@ def tag(w: str) -> str:
         f"WHEN regexp_matches({w}, '^[^\\p{{L}}\\p{{N}}_]$') THEN 'PUN'",
         f"WHEN regexp_matches({w}, '^\\p{{Lu}}') AND length({w}) > 1 THEN 'NP'",
     ]
-    for t, rx in SUFFIX_RULES:
+    for t, xs in SUFFIX_RULES:
+        rx = "(" + "|".join(xs) + ")$"
         parts.append(f"WHEN regexp_matches(lower({w}), {q(rx)}) THEN '{t}'")
     parts.append(f"WHEN length({w}) <= 3 THEN '{SHORT_WORD_TAG}'")
     return "(CASE " + " ".join(parts) + f" ELSE '{DEFAULT_TAG}' END)"

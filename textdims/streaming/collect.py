@@ -44,7 +44,7 @@ def stream_collect(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
                    schema: T.StructType = RAW_SUBMISSION_SCHEMA, max_files_per_trigger: int | None = None,
                    available_now: bool = True):
     """K1: start the collection stream; returns the StreamingQuery (``awaitTermination`` to finish)."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(in_dir)
