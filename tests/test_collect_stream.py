@@ -57,3 +57,34 @@ def test_stream_equals_batch(spark):
     assert spark.read.parquet(f"{base}/out/rows").count() == 24
     rc = ST.run_counts(f"{base}/out", spark).orderBy("batch_id").collect()
     assert rc[-1].running_rows == 24
+
+
+def test_file_readers(spark):
+    base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+    os.makedirs(f"{base}/corpus/human")
+    os.makedirs(f"{base}/corpus/generic_gpt")
+    open(f"{base}/corpus/human/t001_human.txt", "w").write("Hello there.\nSecond line")
+    open(f"{base}/corpus/generic_gpt/t001_gpt.txt", "w").write("Model text")
+    c = {(r.folder, r.name): r.text for r in FI.read_corpus(spark, f"{base}/corpus").collect()}
+    assert c == {("human", "t001_human.txt"): "Hello there.\nSecond line", ("generic_gpt", "t001_gpt.txt"): "Model text"}
+    os.makedirs(f"{base}/tagged")
+    open(f"{base}/tagged/a.txt", "w").write("The\tDT\tthe\ncats\tNNS\tcat\nshort\nx\ty\tz\textra\n")
+    toks, rej = FI.read_tagged(spark, f"{base}/tagged")
+    assert [(r.word, r.tag, r.lemma) for r in toks.collect()] == [("The", "DT", "the"), ("cats", "NNS", "cat")]
+    assert rej.count() == 1
+    loose, _ = FI.read_tagged(spark, f"{base}/tagged", strict=False)
+    assert loose.count() == 3
+    open(f"{base}/ids.txt", "w").write("t000001 human/t001_human.txt\n\nt000002 gpt/a b.txt\n")
+    m = {r.id: r.name for r in FI.read_id_map(spark, f"{base}/ids.txt").collect()}
+    assert m == {"t000001": "human/t001_human.txt", "t000002": "gpt/a b.txt"}
+    open(f"{base}/m.txt", "w").write("t000001 human human human 1 0\nt000002 generic gpt ai 0\n")
+    mx = FI.read_matrix(spark, f"{base}/m.txt", 2).orderBy("filename").collect()
+    assert (mx[0].v000001, mx[0].v000002, mx[1].v000001, mx[1].v000002) == (1, 0, 0, None)
+    kw = spark.createDataFrame([("b",), (" a ",), ("b",), ("",)], "lemma string")
+    FI.write_keywords(kw.selectExpr("trim(lemma) AS lemma").filter("lemma <> ''"), f"{base}/kw")
+    assert [r.lemma for r in FI.read_keywords(spark, f"{base}/kw").collect()] == ["a", "b"]
+    FI.export_results(kw, f"{base}/res")
+    assert spark.read.option("header", "true").option("sep", "\t").csv(f"{base}/res").count() == 4
+    FI.export_texts(spark.createDataFrame([("p1", None, "human")], "post_id string, selftext string, folder string"), f"{base}/tx", partition_col="folder")
+    t = spark.read.parquet(f"{base}/tx").collect()[0]
+    assert (t.name, t.text, t.folder) == ("p1_extracted", "", "human")
