@@ -139,7 +139,12 @@ def q_detokenize(spark, sf):
     return g.select("text_id", H.detokenize(F.transform("ws", lambda s: s["word"])).alias("text"))
 
 
-@register("split_sentences")
+@register(
+    "split_sentences",
+    """WITH s AS (SELECT doc_id AS text_id, list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\\s+([A-Z])', '\\1' || chr(1) || '\\2', 'g'), chr(1)),
+       lambda x: trim(x)), lambda x: x <> '') AS xs FROM documents)
+SELECT text_id, CAST(generate_subscripts(xs, 1) - 1 AS INTEGER) AS n, unnest(xs) AS sentence FROM s""",
+)
 def q_split_sentences(spark, sf):
     t = tables.texts(spark, sf)
     return t.select("text_id", F.posexplode(H.split_sentences(F.col("text"))).alias("n", "sentence"))
