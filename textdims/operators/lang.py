@@ -32,7 +32,10 @@ def language_profiles(labelled: DataFrame, id_col: str = "id", text_col: str = "
     g = labelled.select(F.col(lang_col).alias("lang"), F.explode(char_wb_ngrams(F.col(text_col), n, n)).alias("gram")).filter(
         F.col("lang").isNotNull()
     )
-    counts = g.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c"))
+    return _profiles(g.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("c")))
+
+
+def _profiles(counts: DataFrame) -> DataFrame:
     vocab = counts.select(F.count_distinct("gram")).scalar()
     tot = counts.groupBy("lang").agg(F.sum("c").alias("t"))
     tmap = tot.select(F.map_from_entries(F.collect_list(F.struct("lang", "t")))).scalar()
@@ -44,11 +47,12 @@ def language_profiles(labelled: DataFrame, id_col: str = "id", text_col: str = "
     )
 
 
-def detect_language(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text", n: int = NGRAM) -> DataFrame:
+def detect_language(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text", n: int = NGRAM, tg: DataFrame | None = None) -> DataFrame:
     """(id, language): argmax over languages (ties -> smaller code); blank/null text -> 'unknown'."""
     defaults = profiles.select("lang", "default").distinct()
     langs = defaults.select(F.sort_array(F.collect_list(F.struct("lang", "default")))).scalar()
-    tg = text_grams(df.filter(F.col(text_col).isNotNull()), id_col, text_col, n)
+    if tg is None:
+        tg = text_grams(df.filter(F.col(text_col).isNotNull()), id_col, text_col, n)
     ntot = tg.groupBy("id").agg(F.sum("c").alias("n"))
     seen = tg.join(profiles.select("lang", "gram", (F.col("logp") - F.col("default")).alias("gain")), "gram").groupBy("id", "lang").agg(
         F.sum(F.col("c") * F.col("gain")).alias("gain")
@@ -57,3 +61,19 @@ def detect_language(df: DataFrame, profiles: DataFrame, id_col: str = "id", text
     sc = cand.join(seen, ["id", "lang"], "left").select("id", "lang", (F.col("n") * F.col("default") + F.coalesce("gain", F.lit(0.0))).alias("score"))
     best = sc.groupBy("id").agg(F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang"))).alias("language"))
     return df.select(F.col(id_col).alias("id")).join(best, "id", "left").select("id", F.coalesce("language", F.lit(UNKNOWN)).alias("language"))
+
+
+def train_and_detect(df: DataFrame, id_col: str = "id", text_col: str = "text", lang_col: str = "lang", n: int = NGRAM) -> DataFrame:
+    """Profiles from the labelled rows of ``df`` and detection on all its rows, from one
+    gram table (the texts are split into grams once)."""
+    from pyspark import StorageLevel
+
+    tg = (
+        df.filter(F.col(text_col).isNotNull())
+        .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.explode(char_wb_ngrams(F.col(text_col), n, n)).alias("gram"))
+        .groupBy("id", "lang", "gram")
+        .agg(F.count(F.lit(1)).alias("c"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    prof = _profiles(tg.filter(F.col("lang").isNotNull()).groupBy("lang", "gram").agg(F.sum("c").alias("c")))
+    return detect_language(df, prof, id_col, text_col, n, tg=tg.select("id", "gram", "c"))

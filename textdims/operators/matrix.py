@@ -104,7 +104,9 @@ def _gram_partition(p: int):
                     X[r, np.asarray(arr, dtype=np.int64)] = 1.0
                 g += np.rint(X.T @ X).astype(np.int64)
         ii, jj = np.nonzero(np.triu(g))
-        yield pd.DataFrame({"i": ii.astype("int64"), "j": jj.astype("int64"), "n11": g[ii, jj]})
+        # row (-1, -1) carries the number of texts seen by this task
+        yield pd.DataFrame({"i": np.append(ii, -1).astype("int64"), "j": np.append(jj, -1).astype("int64"),
+                            "n11": np.append(g[ii, jj], n).astype("int64")})
 
     return fn
 
@@ -120,11 +122,15 @@ def cooccurrence(hits: DataFrame, index: DataFrame, n_texts=None) -> DataFrame:
     p = index.select(F.max("idx")).first()[0] or 0
     if p > MAX_VOCAB:
         raise ValueError(f"{p} variables exceed the cap {MAX_VOCAB}")
+    from ..session import materialize
+
     per_text = hits.groupBy("text_id").agg(F.collect_list("idx").alias("idxs"))
     partial = per_text.mapInPandas(_gram_partition(p), "i long, j long, n11 long")
-    g = partial.groupBy("i", "j").agg(F.sum("n11").alias("n11"))
+    # the summed Gram matrix (at most p^2/2 + 1 rows) is written once and reused
+    g = materialize(partial.groupBy("i", "j").agg(F.sum("n11").alias("n11")), "gram")
     if n_texts is None:
-        n_texts = per_text.select(F.count(F.lit(1))).scalar()
+        n_texts = g.filter(F.col("i") == -1).select(F.sum("n11")).scalar()
+    g = g.filter(F.col("i") >= 0)
     diag = g.filter(F.col("i") == F.col("j")).select(F.col("i").alias("k"), F.col("n11").alias("nk"))
     margins = index.select(F.col("idx").alias("k"), "var").join(diag, "k", "left").select("k", "var", F.coalesce("nk", F.lit(0)).alias("nk"))
     # all pairs of the bounded vocabulary: one array value exploded twice

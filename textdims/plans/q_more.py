@@ -347,8 +347,7 @@ best AS (SELECT id, arg_min(lang, struct_pack(s := -score, l := lang)) AS langua
 @register("detect_language", f"WITH {_LANG_SQL} SELECT p.id, coalesce(b.language, 'unknown') AS language FROM posts p LEFT JOIN best b USING (id)")
 def q_detect_language(spark, sf):
     p = tables.posts(spark, sf)
-    prof = LG.language_profiles(p, "id", "selftext", "language")
-    return LG.detect_language(p, prof, "id", "selftext")
+    return LG.train_and_detect(p, "id", "selftext", "language")
 
 
 @register(
@@ -358,8 +357,7 @@ SELECT truth, count(*) AS n, CAST(sum(CASE WHEN truth = detected THEN 1 ELSE 0 E
 )
 def q_language_accuracy(spark, sf):
     p = tables.posts(spark, sf)
-    prof = LG.language_profiles(p, "id", "selftext", "language")
-    d = LG.detect_language(p, prof, "id", "selftext").join(p.select("id", F.col("language").alias("truth")), "id")
+    d = LG.train_and_detect(p, "id", "selftext", "language").join(p.select("id", F.col("language").alias("truth")), "id")
     return d.groupBy("truth").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("truth") == F.col("language")).cast("long")).alias("n_correct"))
 
 
