@@ -125,7 +125,7 @@ def run_provenance(spark: SparkSession, started_at: str, params: dict, counts: d
 
 def read_corpus(spark: SparkSession, base: str, pattern: str = "*.txt") -> DataFrame:
     """A10: whole-file texts below ``base``: (path, folder, name, text); top folder = stratum."""
-    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("wholetext", "true").text(base)
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(base, wholetext=True)
     path = F.col("_metadata.file_path")
     root = base.rstrip("/")
     rel = F.regexp_replace(F.regexp_replace(path, r"^file:", ""), "^" + _re_escape(root) + "/?", "")
