@@ -67,7 +67,9 @@ def annotate_examples(examples: DataFrame, texts: DataFrame, pole_lemmas: DataFr
     toks = t.select("text_id", F.posexplode(F.regexp_extract_all(cleaned, F.lit(TOKEN_PATTERN), 0)).alias("pos", "word"))
     toks = toks.withColumn("lemma", F.lower("word"))
     per = sel.join(toks, "text_id")
-    pl = F.broadcast(pole_lemmas.filter(~F.col("lemma").isin(*stoplist)).select("factor", "pole", "lemma", F.lit(True).alias("hit")))
+    from ..session import bounded_broadcast
+
+    pl = bounded_broadcast(pole_lemmas.filter(~F.col("lemma").isin(*stoplist)).select("factor", "pole", "lemma", F.lit(True).alias("hit")), 50000)
     per = per.join(pl, ["factor", "pole", "lemma"], "left")
     marked = F.when(F.col("hit"), F.concat(F.lit(BOLD_OPEN), F.col("word"), F.lit(BOLD_CLOSE))).otherwise(F.col("word"))
     g = per.groupBy("factor", "pole", "ex_id", "text_id").agg(

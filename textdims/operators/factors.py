@@ -20,6 +20,7 @@ CUTOFF = 0.3
 COMMUNALITY_MIN = 0.15
 N_FACTORS = 3
 MAX_PC_FACTORS = 100
+MAX_BROADCAST_VARS = 5000  # loading tables are broadcast only up to this many variables
 
 
 def principal_components(R: np.ndarray, min_eigen: float = 1.0, max_factors: int = MAX_PC_FACTORS):
@@ -162,14 +163,18 @@ def factor_scores(texts: DataFrame, hits: DataFrame, primary: DataFrame, k: int)
 
     The loading table is bounded by the keyword cap, so it is broadcast.
     """
-    s = hits.join(F.broadcast(primary.select("var", "factor", "pole")), "var").groupBy("text_id", "factor").agg(F.sum("pole").alias("score"))
+    from ..session import bounded_broadcast
+
+    s = hits.join(bounded_broadcast(primary.select("var", "factor", "pole"), MAX_BROADCAST_VARS), "var").groupBy("text_id", "factor").agg(F.sum("pole").alias("score"))
     grid = texts.select("text_id", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("factor"))
     return grid.join(s, ["text_id", "factor"], "left").select("text_id", "factor", F.coalesce("score", F.lit(0)).cast("long").alias("score"))
 
 
 def used_words(texts: DataFrame, hits: DataFrame, primary: DataFrame, labels: DataFrame, k: int) -> DataFrame:
     """Per text x factor x pole: number and sorted list of present primary-loaded words."""
-    p = F.broadcast(primary.select("var", "factor", "pole").join(labels.select("var", "lemma"), "var", "left"))
+    from ..session import bounded_broadcast
+
+    p = bounded_broadcast(primary.select("var", "factor", "pole").join(labels.select("var", "lemma"), "var", "left"), MAX_BROADCAST_VARS)
     h = hits.join(p, "var").groupBy("text_id", "factor", "pole").agg(
         F.count(F.lit(1)).alias("n"),
         F.array_join(F.array_sort(F.collect_list(F.coalesce("lemma", "var"))), ", ").alias("words"),

@@ -52,8 +52,14 @@ def keyword_index(keywords: DataFrame, prefix: str = "v", width: int = 6, bounde
 
 
 def keyword_hits(text_lemmas: DataFrame, index: DataFrame) -> DataFrame:
-    """Long 0/1 matrix as hits (text_id, stratum, var, idx); vocabulary broadcast (bounded by the cap)."""
-    return text_lemmas.join(F.broadcast(index), "lemma").select("text_id", "stratum", "var", "idx")
+    """Long 0/1 matrix as hits (text_id, stratum, var, idx).
+
+    The vocabulary is broadcast after its size is checked against the cap;
+    a larger user vocabulary falls back to a shuffle join.
+    """
+    from ..session import bounded_broadcast
+
+    return text_lemmas.join(bounded_broadcast(index, MAX_VOCAB), "lemma").select("text_id", "stratum", "var", "idx")
 
 
 def drop_zero_rows(texts: DataFrame, hits: DataFrame) -> DataFrame:

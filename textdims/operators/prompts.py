@@ -73,7 +73,9 @@ def rename_by_index(texts: DataFrame, index: DataFrame, key: str = "hash") -> tu
 
 def label_variables(df: DataFrame, index: DataFrame, var_col: str = "var") -> DataFrame:
     """C4: var id -> word (left join on the bounded vocabulary), falling back to the id."""
-    return df.join(F.broadcast(index.select(F.col("var").alias(var_col), "lemma")), var_col, "left").withColumn(
+    from ..session import bounded_broadcast
+
+    return df.join(bounded_broadcast(index.select(F.col("var").alias(var_col), "lemma"), 50000), var_col, "left").withColumn(
         "word", F.coalesce("lemma", var_col)
     ).drop("lemma")
 

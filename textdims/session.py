@@ -84,3 +84,16 @@ def materialize(df, name: str = "stage"):
     path = f"{base}/textdims/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def bounded_broadcast(df, max_rows: int):
+    """``broadcast(df)`` when the table is measured at most ``max_rows`` rows,
+    otherwise the plain DataFrame (Spark then plans a shuffle join).
+
+    Used for tables whose size is bounded by a parameter (keyword cap,
+    factors); the count runs on the already materialised small table.
+    """
+    from pyspark.sql import functions as F
+
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
