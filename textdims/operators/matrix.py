@@ -62,6 +62,18 @@ def keyword_hits(text_lemmas: DataFrame, index: DataFrame) -> DataFrame:
     return text_lemmas.join(bounded_broadcast(index, MAX_VOCAB), "lemma").select("text_id", "stratum", "var", "idx")
 
 
+def text_keyword_hits(texts: DataFrame, index: DataFrame, text_col: str = "text", keys=("text_id", "stratum")) -> DataFrame:
+    """J1 straight from the texts: distinct word forms exploded (whole-stage codegen,
+    no lambdas), raw lemma per form, size-checked broadcast join with the
+    vocabulary, then a distinct over the (small) hit rows - two forms of a text
+    can share a raw lemma."""
+    from ..session import bounded_broadcast
+
+    forms = texts.select(*keys, F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(WORD_PATTERN), 0))).alias("w"))
+    lem = forms.select(*keys, raw_lemma(F.col("w")).alias("lemma"))
+    return lem.join(bounded_broadcast(index, MAX_VOCAB), "lemma").select(*keys, "var", "idx").distinct()
+
+
 def drop_zero_rows(texts: DataFrame, hits: DataFrame) -> DataFrame:
     """Texts with at least one keyword."""
     return texts.join(hits.select("text_id"), "text_id", "left_semi")

@@ -41,7 +41,7 @@ def _index(spark, sf):
 def _hits(spark, sf):
     t = _texts(spark, sf)
     idx = _index(spark, sf)
-    return t, idx, M.keyword_hits(M.text_raw_lemmas(t), idx)
+    return t, idx, M.text_keyword_hits(t, idx)
 
 
 def _matrix_texts(t, hits):
