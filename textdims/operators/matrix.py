@@ -91,15 +91,20 @@ def presence_grid(texts: DataFrame, hits: DataFrame, index: DataFrame) -> DataFr
     return grid.join(h, ["text_id", "var"], "left").select("text_id", "var", F.coalesce("present", F.lit(0)).cast("int").alias("present"))
 
 
+def _vocab_list(index: DataFrame) -> list:
+    """Variable names of the vocabulary, checked against the cap before anything reaches the driver."""
+    if index.limit(MAX_VOCAB + 1).count() > MAX_VOCAB:
+        raise ValueError(f"the vocabulary exceeds the cap of {MAX_VOCAB} variables")
+    return [r["var"] for r in index.select("var").orderBy("var").collect()]
+
+
 def merge_columns(texts: DataFrame, hits: DataFrame, index: DataFrame) -> DataFrame:
     """Wide 0/1 export (text_id, v000001, ...), every text one row.
 
     The variable list is the bounded vocabulary; it must be known for the
     pivot, so it is read once from the (small) index.
     """
-    vars_ = [r["var"] for r in index.select("var").orderBy("var").collect()]
-    if len(vars_) > MAX_VOCAB:
-        raise ValueError(f"{len(vars_)} variables exceed the cap {MAX_VOCAB}")
+    vars_ = _vocab_list(index)
     wide = hits.groupBy("text_id").pivot("var", vars_).agg(F.max(F.lit(1)))
     out = texts.select("text_id").join(wide, "text_id", "left").fillna(0, subset=vars_)
     return out.select("text_id", *[F.col(v).cast("int").alias(v) for v in vars_])
@@ -200,10 +205,8 @@ def select_by_correlation(corr: DataFrame, r_min: float) -> DataFrame:
 
 def correlation_matrix(corr: DataFrame, index: DataFrame):
     """Driver-side p x p numpy matrix (p bounded by the keyword cap) and the variable order."""
-    vars_ = [r["var"] for r in index.select("var").orderBy("var").collect()]
+    vars_ = _vocab_list(index)
     p = len(vars_)
-    if p > MAX_VOCAB:
-        raise ValueError(f"{p} variables exceed the cap {MAX_VOCAB}")
     pos = {v: i for i, v in enumerate(vars_)}
     R = np.eye(p)
     for row in corr.select("var_i", "var_j", "r").toLocalIterator():
