@@ -79,11 +79,10 @@ class ItemBlock:
         self.first: dict[int, int] = {}
         known = 0
         for n in sorted(set(self.shingle.tolist())):
-            w = self.shingle == n
-            at_ = np.unique(np.concatenate([self.start[w] + k for k in range(int((self.length[w] - n).max()) + 1)]))
-            inside = np.zeros(len(self.seq) + 1, bool)
-            inside[: len(self.seq) - n + 1] = True
-            self.codes[n] = np.unique(shingle_codes(self.seq, at_[inside[at_]], n, len(self.number)))
+            w = np.flatnonzero(self.shingle == n)
+            room = self.length[w] - n
+            at_ = np.unique(np.concatenate([self.start[w[room >= k]] + k for k in range(int(room.max()) + 1)]))
+            self.codes[n] = np.unique(shingle_codes(self.seq, at_, n, len(self.number)))
             self.first[n] = known
             known += len(self.codes[n])
         self.known = known

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, simhash
+from . import bpe, decontaminate, exact_dedup, language_id, line_dedup, quality, secret_scan, simhash, token_counts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,80 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+#: Documents with more tokens than this are over the limit of ``op1``.
+TOKEN_LIMIT = 1024
+#: From these scores on, a document counts as good (``op4``), as toxic (``op6``).
+GOOD, TOXIC = 0.3, 0.5
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, keep=~language_id.held_out())
+    return language_id.predict(docs, model).select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op3_secret_scan")
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.span_digest(secret_scan.find_secrets(table(spark, sf_dir, "documents")))
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), keep=~quality.held_out())
+    return quality.score(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), keep=~toxicity.held_out())
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("word_bpe_49k.json")
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query(
+    "op8_line_dedup",
+    """
+    WITH t AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+         w AS (SELECT doc_id, p, l[p] || chr(10) || l[p + 1] || chr(10) || l[p + 2] AS win
+               FROM (SELECT doc_id, l, unnest(range(1, len(l) - 1)) AS p FROM t)),
+         f AS (SELECT win, min((doc_id, p)) AS first FROM w GROUP BY win HAVING count(*) > 1),
+         c AS (SELECT DISTINCT doc_id, unnest([p, p + 1, p + 2]) AS q FROM w JOIN f USING (win) WHERE (doc_id, p) <> first),
+         k AS (SELECT doc_id, q, l[q] AS line FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS q FROM t) ANTI JOIN c USING (doc_id, q)),
+         r AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY q) AS text FROM k GROUP BY doc_id)
+    SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines, CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(text, '') AS text
+    FROM t LEFT JOIN r USING (doc_id)
+    """,
+)
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
 @query("op5_simhash")
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
