@@ -42,6 +42,19 @@ _END = 0xE000
 #: White space as the tokenizer's patterns see it (``str.split`` also splits at some control characters).
 _SPACE = re.compile("[" + "".join(map(chr, (*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]+")
 _CONTROL = re.compile("[\x1c-\x1f]")
+#: Byte-level characters of the bytes that aren't printable themselves, in order from U+0100.
+_BYTE_LEVEL = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF))}
+
+
+# The normalizer and word pattern that the quick way in ChunkCache stands for.
+_NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORD_PATTERN = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 
 
 class PairTable:
@@ -102,6 +115,8 @@ class Vocabulary:
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] or _SPACE.search(t["content"]) for t in special):
             raise ValueError("special tokens that take in their surroundings are not supported")
         self.suffix = model.get("end_of_word_suffix") or ""
+        #: Whether text of plain letters and signs is normalized by lower-casing alone.
+        self.lowers = json.dumps([spec.get("normalizer"), spec.get("pre_tokenizer")], sort_keys=True) == json.dumps([_NORMALIZER, _WORD_PATTERN], sort_keys=True)
         self.tokenizer = Tokenizer.from_str(source)
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         parts = {self.symbols(a + b): (self.symbols(a), self.symbols(b)) for a, b in merges}
@@ -188,17 +203,40 @@ class Vocabulary:
         return b"".join(out)[:-1]
 
 
+#: Letters and signs that normalization only lower-cases, and that the word pattern splits into two words.
+_PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?$%&#*|]*)")
+
+
 class ChunkCache(dict):
-    """Ids of chunks seen before; emptied when full, and long chunks are not kept."""
+    """Ids of chunks seen before; emptied when full, and long chunks are not kept.  Words have a second cache, under their chunks'."""
 
-    KEPT, LONGEST = 150_000, 48
+    KEPT, LONGEST = 100_000, 48
+    WORDS = 300_000
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.words = vocabulary, {}
+
+    def word(self, word: str) -> tuple[int, ...]:
+        out = self.words.get(word)
+        if out is None:
+            out = tuple(self.vocabulary.word(word.encode().decode("latin-1").translate(_BYTE_LEVEL)))
+            if len(word) <= self.LONGEST:
+                if len(self.words) >= self.WORDS:
+                    self.words.clear()
+                self.words[word] = out
+        return out
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        out = self.vocabulary.chunk(chunk)
+        plain = _PLAIN.fullmatch(chunk) if self.vocabulary.lowers else None
+        if plain:
+            out = self.word(plain[1].lower())
+            if plain[2]:
+                out += self.word(plain[2])
+            if len(self) >= self.KEPT:
+                return out  # cheap enough to put together again
+        else:
+            out = self.vocabulary.chunk(chunk)
         if len(chunk) <= self.LONGEST:
             if len(self) >= self.KEPT:
                 self.clear()

@@ -35,7 +35,9 @@ from .common import id_and_text, map_arrow
 #: Rows of the broadcast table; what a task keeps and sends; length of a pre-token worth remembering.
 TABLE, SUMMARY, SENT, LONGEST = 1 << 15, 1 << 16, 1 << 12, 48
 #: Units remembered by a worker.
-REMEMBERED = 150_000
+REMEMBERED = 300_000
+#: A word with punctuation after it: two pre-tokens, whose counts add up (letters and signs that no pattern part joins).
+_WORD_AND_SIGNS = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?$%&#*|]+)")
 
 #: A space after white space doesn't start a unit.
 _DOUBTFUL = re.compile(r"\s ")
@@ -92,9 +94,17 @@ class UnitLengths(dict):
 
     def __init__(self, source: str, table: dict[str, int]):
         super().__init__(table)
-        self.table, self.tokenizer = table, _load(source)
+        self.table, self.tokenizer, self.signs = table, _load(source), {}
 
     def __missing__(self, unit: str) -> int:
+        parts = _WORD_AND_SIGNS.fullmatch(unit)
+        if parts:
+            signs = self.signs.get(parts[2])
+            if signs is None:
+                signs = self.length(parts[2])
+                if len(self.signs) < 10_000 and len(parts[2]) <= LONGEST:
+                    self.signs[parts[2]] = signs
+            return self[parts[1]] + signs
         n = self.length(" " + unit)
         if len(unit) <= LONGEST:
             if len(self) >= REMEMBERED + len(self.table):

@@ -189,7 +189,7 @@ class Restorer:
             bare = low.strip(_STRIP)
             # one or two look-alikes at an end may be letters
             edge = low.strip(".,;:?\"'()[]{}<>&%#~`")
-            if not bare.isalpha() or _TRIPLE.search(bare) or (edge != bare and len(edge) - len(bare) <= 2 and edge[-1:] in "$@|"):
+            if not bare.isalpha() or _TRIPLE.search(bare) or (0 < len(edge) - len(bare) <= 2 and (edge[0] in "$@|*!" or edge[-1] in "$@|")):
                 for form in dict.fromkeys((edge, bare)):
                     if 0 < len(form) - len(bare) <= 2 or form == bare:
                         if disguised(form):
@@ -225,7 +225,13 @@ class Restorer:
             out += [text[at:a], run]
             at = b
         text = "".join([*out, text[at:]])
-        return re.sub(r"\S+", lambda m: " ".join(self.words(m[0])) if disguised(m[0].lower().strip(_STRIP)) else m[0], text)
+
+        def one(m: re.Match) -> str:
+            words = self.words(m[0])
+            plain = tuple(x for x in re.split(r"[^\w]+", m[0].lower().strip(_STRIP)) if x)
+            return m[0] if words == plain else " ".join(words)
+
+        return re.sub(r"\S+", one, text)
 
 
 # ---------------------------------------------------------------- classifier
@@ -337,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             x[i, k] = math.log1p(count)
     y = np.array([r["y"] for r in table], float)
     weight = 1 / np.array([r["copies"] for r in table], float)
-    w, bias = _logistic(x, y, weight, penalty=1.0)
+    w, bias = _logistic(x, y, weight, penalty=0.1)
     # back from the sample's class shares to those of all labelled rows
     bias += math.log(n[1] / n[0]) - math.log(max(1, int(y.sum())) / max(1, int((1 - y).sum())))
     return Model(logp, {f: float(w[k]) for f, k in number.items() if w[k]}, bias)
