@@ -75,7 +75,7 @@ def test_very_common_words(spark):
 
 
 def test_drop_keeps_clean_documents(spark):
-    df = docs(spark, [(1, "one two three four"), (2, "clean text"), (2, "clean text"), (None, None)])
+    df = docs(spark, [(1, "one two three four"), (2, "clean text"), (2, "two three"), (None, None), (2, "clean text")])
     out = d.drop_contaminated(df, bench(spark, [(1, "Two, three!")]))
     assert out.columns == df.columns
     assert sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "2", "None"]

@@ -52,7 +52,9 @@ def test_empty_table(spark):
 
 
 def test_drop_copies_keeps_columns_and_largest(spark):
+    shared = docs(spark, [(1, "copy"), (1, "its own text"), (3, "copy")])
+    assert sorted((r["doc_id"], r["text"]) for r in exact_dedup.drop_copies(shared).collect()) == [(1, "its own text"), (3, "copy")]
     df = docs(spark, [(1, "Same"), (9, "same"), (5, "SAME"), (2, "other"), (None, "same"), (None, None)])
     out = exact_dedup.drop_copies(df)
     assert out.columns == df.columns
-    assert sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "9"]
+    assert sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "9", "None"]

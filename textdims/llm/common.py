@@ -25,6 +25,18 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *more)
 
 
+def text_key(text: Column) -> Column:
+    """Tells rows that share an id apart by their texts."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with all its columns, without the rows whose id and text are in ``gone`` (doc_id, key)."""
+    left = gone.select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    same = docs[id_col].cast("long").eqNullSafe(left["__id"]) & (text_key(docs[text_col]) == left["__key"])
+    return docs.join(left, same, "left_anti")
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound Arrow batches in rows and bytes unless the session says otherwise."""
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_and_text, map_arrow
+from .common import cut, id_and_text, map_arrow, text_key, without
 
 WINDOW = 10
 SHINGLE = 3
@@ -199,7 +199,7 @@ def _spans(at: np.ndarray) -> list[list[int]]:
     return [[int(a), int(b) + 1] for a, b in zip(at[np.r_[0, breaks + 1]], at[np.r_[breaks, len(at) - 1]], strict=True)]
 
 
-SCHEMA = "row long, doc_id long, n_words long, spans array<array<long>>, items array<string>"
+SCHEMA = "row long, doc_id long, key long, n_words long, spans array<array<long>>, items array<string>"
 
 
 def _join_block(docs: DataFrame, block: ItemBlock) -> DataFrame:
@@ -217,8 +217,8 @@ def _join_block(docs: DataFrame, block: ItemBlock) -> DataFrame:
                 spans.append(_spans(at))
                 items.append(of)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(items, pa.list_(pa.string()))],
-                ["row", "doc_id", "n_words", "spans", "items"],
+                [batch.column("row"), batch.column("doc_id"), batch.column("key"), pa.array(n_words, pa.int64()), pa.array(spans, pa.list_(pa.list_(pa.int64()))), pa.array(items, pa.list_(pa.string()))],
+                ["row", "doc_id", "key", "n_words", "spans", "items"],
             )
 
     return map_arrow(docs, find, SCHEMA)
@@ -238,9 +238,9 @@ def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES):
 
 
 def find_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, spans (hit runs of words, [start, end)), items (ids of items with an occurring window)."""
+    """doc_id, key (hash of the text), n_words, spans (hit runs of words, [start, end)), items (ids of items with an occurring window)."""
     items = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull())
-    rows = id_and_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    rows = id_and_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key(F.col("text")).alias("key"), "text")
     several = (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) > block_bytes
     if several:
         rows = cut(rows)  # so that a row keeps its number over the blocks
@@ -250,11 +250,11 @@ def find_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
         out = found if out is None else out.unionByName(found)
     if several:
         out = (
-            out.groupBy("row", "doc_id")
+            out.groupBy("row", "doc_id", "key")
             .agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
             .withColumn("spans", F.expr(_MERGE))
         )
-    return out.select("doc_id", "n_words", "spans", "items")
+    return out.select("doc_id", "key", "n_words", "spans", "items")
 
 
 #: Overlapping and touching runs united.
@@ -279,5 +279,4 @@ def hit_counts(found: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, without the documents that hold a window of an item."""
-    bad = find_windows(docs, items, id_col, text_col).filter(F.size("spans") > 0).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col].cast("long").eqNullSafe(bad["__bad"]), "left_anti")
+    return without(docs, find_windows(docs, items, id_col, text_col).filter(F.size("spans") > 0), id_col, text_col)

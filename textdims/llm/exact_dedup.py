@@ -73,5 +73,6 @@ def dedup_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with all its columns, without the rows that are copies of a later one."""
-    gone = dedup_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__gone"]), "left_anti")
+    gone = dedup_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    norm = ascii_lower(F.coalesce(docs[text_col].cast("string"), F.lit("")))
+    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__id"]) & (F.sha2(norm.cast("binary"), 256) == gone["__sha"]), "left_anti")

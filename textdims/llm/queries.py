@@ -68,18 +68,23 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
 
 
-@query("op7_bpe")
-def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer("word_bpe_49k.json")
-    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path)
+def bpe_digest(both: DataFrame, *more) -> DataFrame:
+    """doc_id, n_tokens, ``more`` and the digests of ``bpe.decode``'s rows."""
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
+        *more,
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("word_bpe_49k.json")
+    return bpe_digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+
+
 @query(
     "op8_line_dedup",
     """

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_and_text, map_arrow
+from .common import cut, id_and_text, map_arrow, text_key, without
 from .components import components
 
 SHINGLE = 3
@@ -68,14 +68,14 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long)."""
+    """doc_id, key (hash of the text), fp (the 64 bits as a signed long)."""
 
     def run(batches):
         for batch in batches:
             fp = [fingerprint(x.as_py(), shingle) for x in batch.column("text").cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(fp, pa.int64())], ["doc_id", "key", "fp"])
 
-    return map_arrow(id_and_text(docs, id_col, text_col), run, "doc_id long, fp long")
+    return map_arrow(id_and_text(docs, id_col, text_col).withColumn("key", text_key(F.col("text"))), run, "doc_id long, key long, fp long")
 
 
 # ---------------------------------------------------------------- Golay code
@@ -179,17 +179,16 @@ def links(distinct: DataFrame, bucket: int = BUCKET, max_bits: int = MAX_BITS) -
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id reachable over links, itself included)."""
+    """doc_id, key, fp, component_id (smallest doc_id reachable over links, itself included)."""
     rows = cut(fingerprints(docs, id_col, text_col, shingle))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct, bucket, max_bits)).select(F.col("id").alias("fp"), "root")
     member = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = cut(member.join(least, "root").select("fp", "component_id"))
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(classes, "fp").select("doc_id", "key", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with all its columns, one document (the smallest id) of each component."""
-    gone = near_groups(docs, id_col, text_col, shingle, max_bits).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__gone"]), "left_anti")
+    return without(docs, near_groups(docs, id_col, text_col, shingle, max_bits).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))), id_col, text_col)

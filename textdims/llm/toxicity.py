@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fold, id_and_text, map_arrow, unit_hash
+from .common import cut, fold, id_and_text, map_arrow, text_key, unit_hash, without
 
 # ---------------------------------------------------------------- character model
 
@@ -350,7 +350,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score: probability that the restored text is toxic, over whole texts."""
+    """doc_id, key (hash of the text), score: probability that the restored text is toxic, over whole texts."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -388,9 +388,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                             bag.update(found(w))
                 z = m.bias + sum(weights[f] * math.log1p(k) for f, k in bag.items())
                 scores.append(1 / (1 + math.exp(-max(-700.0, min(700.0, z)))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(scores, pa.float64())], ["doc_id", "key", "score"])
 
-    return map_arrow(id_and_text(docs, id_col, text_col), run, "doc_id long, score double")
+    return map_arrow(id_and_text(docs, id_col, text_col).withColumn("key", text_key(F.col("text"))), run, "doc_id long, key long, score double")
 
 
 def restored(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -413,5 +413,4 @@ def held_out(id_col: str = "doc_id") -> Column:
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample: Sample = Sample()) -> DataFrame:
     """``docs`` with all its columns, without the documents scored at ``threshold`` or more."""
     model = fit(docs, labels, sample=sample, keep=~held_out())
-    bad = score(docs, model).filter(F.col("score") >= threshold).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["__bad"]), "left_anti")
+    return without(docs, score(docs, model).filter(F.col("score") >= threshold))
