@@ -29,6 +29,7 @@ def library():
 def check(spark, library, rows):
     got = bpe.decode(bpe.encode(docs(spark, rows), PATH), PATH).collect()
     assert sorted([tuple(r) for r in got], key=str) == sorted([(i, *library(t)) for i, t in rows], key=str)
+    assert sorted(map(str, bpe.encode_and_decode(docs(spark, rows), PATH).collect())) == sorted(map(str, got))
 
 
 def test_odd_rows(spark, library):

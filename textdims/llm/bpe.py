@@ -60,6 +60,8 @@ _WORD_PATTERN = {
 class PairTable:
     """Which tokens may stand side by side, decided by the merges; a symbol is a token without parts."""
 
+    KEPT = 100_000
+
     def __init__(self, parts: dict[str, tuple[str, str]], rank: dict[str, int]):
         self.parts, self.rank = parts, rank
         self.merge_rank = {p: rank[t] for t, p in parts.items()}
@@ -99,12 +101,14 @@ class PairTable:
     def compatible(self, a: str, b: str) -> bool:
         ok = self.known.get((a, b))
         if ok is None:
+            if len(self.known) >= self.KEPT:
+                self.known.clear()
             ok = self.known[a, b] = self.apart(a, b, self.never)
         return ok
 
 
 class Vocabulary:
-    """Automaton, pair table and offset table of one tokenizer file."""
+    """Automaton and pair table of one tokenizer file."""
 
     def __init__(self, source: str):
         spec = json.loads(source)
@@ -137,10 +141,6 @@ class Vocabulary:
         self.automaton.make_automaton()
         self.special = {t["content"]: t["id"] for t in special}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if special else None
-        strings = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.special.items()}
-        texts = [(strings[i] + " ").encode() if i in strings else b"" for i in range(max(strings, default=-1) + 1)]
-        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-        self.bytes = np.frombuffer(b"".join(texts), np.uint8)
 
     def symbols(self, token: str) -> str:
         """A token of the file with one character for each symbol."""
@@ -192,7 +192,17 @@ class Vocabulary:
                     out += self.word(word)
         return tuple(out)
 
-    def decode(self, ids: np.ndarray) -> bytes:
+class OffsetTable:
+    """Token strings in one byte array, each with a space after it, and where they start."""
+
+    def __init__(self, source: str):
+        spec = json.loads(source)
+        strings = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec.get("added_tokens") or []}
+        texts = [(strings[i] + " ").encode() if i in strings else b"" for i in range(max(strings, default=-1) + 1)]
+        self.offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        self.bytes = np.frombuffer(b"".join(texts), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> str:
         """The token strings of ``ids``, joined by spaces."""
         out = []
         for at in range(0, len(ids), 1 << 18):
@@ -200,7 +210,7 @@ class Vocabulary:
             start, size = self.offsets[part], self.offsets[part + 1] - self.offsets[part]
             to = np.cumsum(size) - size
             out.append(self.bytes[np.repeat(start - to, size) + np.arange(int(size.sum()))].tobytes())
-        return b"".join(out)[:-1]
+        return b"".join(out)[:-1].decode()
 
 
 #: Letters and signs that normalization only lower-cases, and that the word pattern splits into two words.
@@ -210,8 +220,8 @@ _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?
 class ChunkCache(dict):
     """Ids of chunks seen before; emptied when full, and long chunks are not kept.  Words have a second cache, under their chunks'."""
 
-    KEPT, LONGEST = 100_000, 48
-    WORDS = 300_000
+    KEPT, LONGEST = 50_000, 48
+    WORDS = 150_000
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
@@ -287,16 +297,29 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     return map_arrow(id_and_text(docs, id_col, text_col), run, "doc_id long, ids array<int>")
 
 
+def encode_and_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids, decoded: ``decode(encode(docs))`` in one pass, with one Python worker for both."""
+    held = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
+
+    def run(batches):
+        cache, table = _cache(held.value), OffsetTable(held.value)
+        for batch in batches:
+            ids = [cache.ids(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(ids), pa.array([table.decode(x) for x in ids], pa.string())], ["doc_id", "ids", "decoded"])
+
+    return map_arrow(id_and_text(docs, id_col, text_col), run, "doc_id long, ids array<int>, decoded string")
+
+
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """doc_id, ids, decoded: the token strings of ``ids``, joined by spaces as the library does without a decoder."""
     held = encoded.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
 
     def run(batches):
-        vocabulary = _cache(held.value).vocabulary
+        table = OffsetTable(held.value)
         for batch in batches:
             ids = batch.column("ids")
             flat, at = ids.flatten().to_numpy(), np.r_[0, np.cumsum(np.array(ids.value_lengths().fill_null(0)))]
-            texts = [vocabulary.decode(flat[a:b]).decode() for a, b in zip(at[:-1], at[1:], strict=True)]
+            texts = [table.decode(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
 
     return map_arrow(encoded.select("doc_id", "ids"), run, "doc_id long, ids array<int>, decoded string")

@@ -81,8 +81,7 @@ def bpe_digest(both: DataFrame, *more) -> DataFrame:
 
 @query("op7_bpe")
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer("word_bpe_49k.json")
-    return bpe_digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
+    return bpe_digest(bpe.encode_and_decode(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
 @query(

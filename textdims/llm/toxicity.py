@@ -176,10 +176,10 @@ def decode(raw: str, logp: list[float]) -> str:
 class Restorer:
     """Restores texts under one character model; remembers tokens, up to a bound."""
 
-    REMEMBERED = 200_000
+    REMEMBERED = 60_000
 
-    def __init__(self, logp: list[float]):
-        self.logp, self.known = logp, {}
+    def __init__(self, logp: list[float], remembers: bool = True):
+        self.logp, self.known, self.remembers = logp, {}, remembers
 
     def words(self, token: str) -> tuple[str, ...]:
         """Restored words of one whitespace token, lower-case, outer punctuation removed."""
@@ -196,9 +196,9 @@ class Restorer:
                             bare = decode(form, self.logp).strip(_STRIP)
                             break
             out = tuple(x for x in re.split(r"[^\w]+", bare) if x)
-            if len(self.known) >= self.REMEMBERED:
-                self.known.clear()
-            if len(token) <= 64:
+            if self.remembers and len(token) <= 64:
+                if len(self.known) >= self.REMEMBERED:
+                    self.known.clear()
                 self.known[token] = out
         return out
 
@@ -355,17 +355,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         m = held.value
-        restorer, weights = Restorer(m.logp), m.weights
-        known: dict[str, tuple[str, ...]] = {}
+        # tokens are remembered with their features below
+        restorer, weights = Restorer(m.logp, remembers=False), m.weights
 
         def found(word: str) -> tuple[str, ...]:
-            out = known.get(word)
-            if out is None:
-                out = tuple(f for f in features_of(word) if f in weights)
-                if len(known) >= Restorer.REMEMBERED:
-                    known.clear()
-                known[word] = out
-            return out
+            return tuple(f for f in features_of(word) if f in weights)
 
         of_token: dict[str, tuple[str, ...]] = {}
         for batch in batches:
