@@ -44,8 +44,7 @@ def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and digests of the ids and of the decoded text."""
-    path = tokenizer("word_bpe_49k.json")
-    return bpe_digest(bpe.decode(bpe.encode(docs, path), path), F.col("ids"))
+    return bpe_digest(bpe.encode_and_decode(docs, tokenizer("word_bpe_49k.json")), F.col("ids"))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
