@@ -6,6 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from textdims.operators import clean as C
 from textdims.operators import listing as L
 from textdims.sources import files as FI
 from textdims.streaming import collect as ST
@@ -88,3 +89,37 @@ def test_file_readers(spark):
     FI.export_texts(spark.createDataFrame([("p1", None, "human")], "post_id string, selftext string, folder string"), f"{base}/tx", partition_col="folder")
     t = spark.read.parquet(f"{base}/tx").collect()[0]
     assert (t.name, t.text, t.folder) == ("p1_extracted", "", "human")
+
+
+def test_replayed_batch_leaves_no_row_twice(spark):
+    base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+    write = ST.batch_writer(base)
+    first, second = spark.range(0, 5).select(F.col("id").cast("string").alias("id")), spark.range(5, 9).select(F.col("id").cast("string").alias("id"))
+    write(first, 0)
+    write(second, 1)
+    write(second, 1)  # the batch that failed after its rows were written
+    rows = spark.read.parquet(f"{base}/rows")
+    assert rows.count() == rows.select("id").distinct().count() == 9
+    assert [(r.batch_id, r.rows, r.running_rows) for r in ST.run_counts(base, spark).orderBy("batch_id").collect()] == [(0, 5, 5), (1, 4, 9)]
+
+
+def test_names_with_spaces_and_tagged_white_space(spark):
+    base = tempfile.mkdtemp(prefix="textdims test-", dir="/tmp")
+    os.makedirs(f"{base}/a b")
+    open(f"{base}/a b/c+d %41.txt", "w").write("text")
+    assert [(r.folder, r.name, r.text) for r in FI.read_corpus(spark, base).collect()] == [("a b", "c+d %41.txt", "text")]
+    assert [r.folder for r in FI.read_corpus(spark, f"file://{base}/").collect()] == ["a b"]
+    os.makedirs(f"{base}/tagged")
+    open(f"{base}/tagged/t.txt", "w").write("w\tNN\t\n\tx\tNN\ty\t\n")
+    toks, rejects = FI.read_tagged(spark, f"{base}/tagged")
+    assert [(r.word, r.tag, r.lemma) for r in toks.collect()] == [("x", "NN", "y")] and rejects.count() == 0
+
+
+def test_first_in_file_and_line_order_stays(spark):
+    base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+    for run, rows in (("run_a", [("z", "same"), ("y", "other"), ("x", "same")]), ("run_b", [("a", "same"), ("b", "new")])):
+        os.makedirs(f"{base}/{run}")
+        with open(f"{base}/{run}/{FI.SUBMISSIONS_FILE}", "w") as f:
+            f.writelines(json.dumps({"id": i, "selftext": t}) + "\n" for i, t in rows)
+    posts = FI.read_posts(spark, base)
+    assert sorted(r.id for r in C.exact_dedup(posts, "selftext", FI.FILE_ORDER).collect()) == ["b", "y", "z"]

@@ -51,12 +51,17 @@ def test_f_pvalue():
     assert abs(stats.f_sf(4.0, 1, 1000000) - 0.0455) < 1e-3
 
 
-def test_principal_components_trace():
-    rng = np.random.default_rng(0)
-    X = rng.normal(size=(500, 6))
-    R = np.corrcoef(X, rowvar=False)
-    eig, comm = FA.principal_components(R)
-    assert abs(eig.sum() - 6) < 1e-9
-    assert (comm <= 1 + 1e-12).all()
-    L = FA.rotate_promax(FA.principal_factors(R, 2))
-    assert L.shape == (6, 2)
+def test_communalities_and_explained_variance(spark):
+    load = _loadings(spark, [("a", (0.5, -0.5)), ("b", (0.9, 0.9)), ("c", (0.1, 0.0))])
+    got = {r.var: round(r.communality, 9) for r in FA.communalities(load).collect()}
+    assert got == {"a": 0.5, "b": 1.0, "c": 0.01}
+    kept, dropped = FA.split_communality(FA.communalities(load))
+    assert sorted(r.var for r in kept.collect()) == ["a", "b"] and [r.var for r in dropped.collect()] == ["c"]
+    assert [(r.number, round(r.eigenvalue, 9)) for r in FA.scree(FA.explained(load)).collect()] == [(1, 1.07), (2, 1.06)]
+
+
+def test_secondary_and_tied_loadings(spark):
+    load = _loadings(spark, [("v1", (0.5, -0.35, 0.285)), ("v2", (0.4, -0.4, 0.1)), ("v3", (-0.125, -0.605, 0.0))])
+    labels = spark.createDataFrame([("v1", "w"), ("v2", "tied"), ("v3", "z")], "var string, lemma string")
+    fl = {(r.factor, r.pole): r.words for r in FA.factor_lists(FA.factor_entries(load, labels, 0.3)).collect()}
+    assert fl == {(1, 1): "w (.50)", (2, -1): "z (-.60), (w (-.35))"}

@@ -69,3 +69,21 @@ def test_quota_and_consolidate(spark):
     cons = sorted(r.lemma for r in K.consolidate(sel, 5, "human").collect())
     # human (4) then summary_guided (1 of 2) -> cut at 5 before distinct
     assert cons == ["huma", "humb", "humc", "humd", "suma"]
+
+
+def test_null_stratum_is_a_stratum(spark):
+    pres = spark.createDataFrame([(1, "A", "cat"), (2, None, "cat"), (2, None, "dog")], "text_id long, stratum string, lemma string")
+    texts = spark.createDataFrame([(1, "A"), (2, None)], "text_id long, stratum string")
+    for cutoff in (3.0, 0.0):
+        got = {(r.stratum, r.lemma): (r.target_count, r.comparison_count) for r in K.keyness(pres, texts, cutoff).collect()}
+        want = {("A", "cat"): (1, 1), ("unknown", "cat"): (1, 1), ("unknown", "dog"): (1, 0)}
+        assert got == (want if cutoff else want | {("A", "dog"): (0, 1)})
+    assert K.token_keyness(pres.select("stratum", "lemma")).count() == 4
+    assert {(r.stratum, r.n_texts) for r in K.doc_frequency(pres).collect()} == {("A", 1), ("unknown", 1)}
+
+
+def test_rank_has_one_path(spark):
+    kn = spark.createDataFrame([("s", f"w{i:03d}", "POSKW" if i % 2 else "NOTKW", float(i % 7)) for i in range(200)], "stratum string, lemma string, status string, ll_rank_key double")
+    got = {r.lemma: r["rank"] for r in K.rank_keyness(kn).collect()}
+    order = sorted((0 if i % 2 else 2, -(i % 7), f"w{i:03d}") for i in range(200))
+    assert got == {w: k + 1 for k, (_, _, w) in enumerate(order)}

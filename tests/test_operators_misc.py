@@ -1,11 +1,13 @@
 """Listing limits, comment caps, earliest representative, ids, term matching, distributed rank."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from textdims.operators import clean as C
 from textdims.operators import ids as I
-from textdims.operators import keyness as K
 from textdims.operators import listing as L
+from textdims.operators import matrix as M
 
 
 def test_listing_limit_new_and_top(spark):
@@ -42,16 +44,6 @@ def test_sequential_ids_total_order(spark):
     assert got[0] == "t000001" and got[999] == "t001000" and len(set(got.values())) == 1000
 
 
-def test_rank_keyness_paths_agree(spark):
-    rows = [("s", f"l{i:03d}", float(i % 7), "POSKW" if i % 3 else "NOTKW", round(float(i % 7), 2)) for i in range(60)]
-    rows += [("t", f"m{i:03d}", float(i), "NEGKW", float(i)) for i in range(20)]
-    kn = spark.createDataFrame(rows, "stratum string, lemma string, ll double, status string, ll_rank_key double")
-    a = {(r.stratum, r.lemma): r.rank for r in K.rank_keyness(kn, 3.0).collect()}
-    b = {(r.stratum, r.lemma): r.rank for r in K.rank_keyness(kn, 0.0).collect()}
-    assert a == b
-    assert sorted(v for (s, _), v in a.items() if s == "t") == list(range(1, 21))
-
-
 def test_match_terms_whole_words(spark):
     df = spark.createDataFrame([(1, "Template and AGENDA, agenda!"), (2, "templates only"), (3, "a discord-server")], "id long, t string")
     got = {r.id: r.matched_terms for r in C.match_terms(df, "t", ["template", "agenda", "discord"]).collect()}
@@ -64,3 +56,50 @@ def test_normalize_comment_link_prefix(spark):
     raw = spark.createDataFrame([("c", "t3_t3_x", "t1_y")], "id string, link_id string, parent_id string")
     r = L.normalize_comment(raw).collect()[0]
     assert (r.link_id, r.parent_id, r.created_utc) == ("x", "t1_y", 0)
+
+
+def test_duplicates_do_not_shuffle_texts(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "x")], "id long, selftext string")
+    for out in (C.exact_dedup(df, "selftext").select("id"), C.duplicate_report(df, "selftext").select("id", "text_count"), C.distinct_count(df, "selftext")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        # an attribute that holds the hash is named after it
+        assert not [x for x in plan.splitlines() if "Exchange" in x and "selftext" in re.sub(r"unhex\(.*?\)#\d+", "", x)]
+
+
+def test_cleaning_report_in_one_pass(spark):
+    rows = [(1, "one two three"), (2, "one two three"), (3, " "), (4, None), (5, "short"), (6, "a b c d")]
+    got = [(r.stage, r.rows, r.removed) for r in C.cleaning_report(spark.createDataFrame(rows, "id long, t string"), "t", 3).orderBy("step").collect()]
+    assert got == [("read", 6, None), ("drop_blank", 4, 2), ("exact_dedup", 3, 1), ("min_words", 2, 1)]
+
+
+def test_cooccurrence_beyond_one_block(spark):
+    p = 5001
+    index = spark.range(1, p + 1).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("var"), F.col("id").alias("idx"), F.col("id").cast("string").alias("lemma"))
+    texts = {1: [1, 2, 2500, 5001], 2: [2, 5001], 3: [2500], 4: [1, 5001]}
+    hits = spark.createDataFrame([(t, i) for t, xs in texts.items() for i in xs], "text_id long, idx long").join(index, "idx")
+    co = M.cooccurrence(hits, index).filter("n11 > 0")
+    got = {(r.var_i, r.var_j): (r.n11, r.n10, r.n01, r.n00) for r in co.collect()}
+    want = {}
+    for i in (1, 2, 2500, 5001):
+        for j in (1, 2, 2500, 5001):
+            both = sum(i in x and j in x for x in texts.values())
+            if i < j and both:
+                a, b = (sum(k in x for x in texts.values()) for k in (i, j))
+                want[(f"v{i:06d}", f"v{j:06d}")] = (both, a - both, b - both, 4 - a - b + both)
+    assert got == want
+
+
+def test_wide_export_in_groups(spark):
+    index = spark.createDataFrame([("v000001", 1, "a"), ("v000002", 2, "b"), ("v000003", 3, "c")], "var string, idx long, lemma string")
+    hits = spark.createDataFrame([(1, "v000001", 1), (1, "v000003", 3), (2, "v000002", 2)], "text_id long, var string, idx long")
+    groups = list(M.merge_column_groups(spark.createDataFrame([(1,), (2,)], "text_id long"), hits, index, 2))
+    assert [g.columns for g in groups] == [["text_id", "v000001", "v000002"], ["text_id", "v000003"]]
+    assert sorted(tuple(r) for r in groups[0].collect()) == [(1, 1, 0), (2, 0, 1)]
+
+
+def test_match_rule_of_the_matrix(spark):
+    texts = spark.createDataFrame([(1, "s", "Berlin berlin x9"), (2, "s", "Berlin")], "text_id long, stratum string, text string")
+    index = spark.createDataFrame([("v000001", 1, "berlin"), ("v000002", 2, "Berlin")], "var string, idx long, lemma string")
+    raw = sorted((r.text_id, r.var) for r in M.text_keyword_hits(texts, index).collect())
+    low = sorted((r.text_id, r.var) for r in M.text_keyword_hits(texts, index, match="lower").collect())
+    assert raw == [(1, "v000001"), (1, "v000002"), (2, "v000002")] and low == [(1, "v000001"), (2, "v000001")]

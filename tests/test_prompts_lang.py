@@ -51,6 +51,18 @@ def test_pending_and_split_prompt(spark):
 
 def test_language_detection_accuracy(spark):
     p = tables.posts(spark, SF_SMALL)
-    d = LG.train_and_detect(p, "id", "selftext", "language").join(p.select("id", F.col("language").alias("truth")), "id")
+    half = F.col("id") % 2 == 0
+    d = LG.train_and_detect(p, "id", "selftext", "language", train=half).filter(~half).join(p.select("id", F.col("language").alias("truth")), "id")
     acc = d.filter(F.col("truth") == F.col("language")).count() / d.count()
     assert acc > 0.9
+
+
+def test_guided_prompt_has_its_own_task(spark):
+    row = spark.createDataFrame([("p1", "- Length: 10–20 words.\n", "A SUMMARY.")], "post_id string, length_line string, summary string")
+    text = PR.build_prompt(row, "guided").first()["prompt"]
+    assert text == (
+        "SYSTEM PROMPT:\nYou are a member of a loneliness-related subreddit on Reddit where people write self-disclosure posts about loneliness.\n\n"
+        "USER PROMPT:\nRead the summary below.\n\nTASK:\n\nYour task is to write a post based ONLY on the summary provided below.\n"
+        "- Do not acknowledge this prompt; respond straightaway.\n- Do not include a title line.\n- Write only the body of the post.\n"
+        "- Write in English.\n- Do not invent information beyond what is in the summary.\n- Length: 10–20 words.\n\nA SUMMARY.\n"
+    )

@@ -103,3 +103,22 @@ def test_split_sentences_and_detokenize(spark):
     assert got == ["One.", "Two! three?", "Four"]
     d = _one(spark, H.detokenize(F.col("a")), [(["I", "do", "n't", "know", ",", "ok", "."],)], "a array<string>")[0]
     assert d == "I don't know, ok."
+
+
+def _value(spark, column):
+    return spark.range(1).select(column.alias("x")).first()["x"]
+
+
+def test_printed_numbers_are_those_of_python(spark):
+    values = [0.285, 0.125, -0.125, 0.375, 1.005, 2.675, 0.45, -0.62, 1.05, 0.0, -0.001, 12345.678, 0.5, 1e-9]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select(H.printed("v", 2).alias("p"), H.fmt_loading("v").alias("f")).collect()
+    assert [r.p for r in rows] == [f"{v:.2f}" for v in values]
+    assert [r.f for r in rows][:3] == [".28", ".12", "-.12"]
+
+
+def test_no_break_space_is_white_space(spark):
+    nb = "\u00a0"
+    assert _value(spark, H.normalize_template(F.lit(f"see http://a.b{nb}rest 12"))) == "see URL rest  NUM "
+    assert _value(spark, H.split_sentences(F.lit(f"A b.{nb}C d.\n"))) == ["A b.", "C d."]
+    assert _value(spark, H.detokenize(F.array(F.lit("is"), F.lit("n't"), F.lit("it"), F.lit(f"{nb}?")))) == "isn't it?"
+    assert _value(spark, H.strip(F.lit(f"{nb}\t x y \n"))) == "x y"

@@ -3,7 +3,7 @@
 No scipy is available; the few special functions needed are written here:
 normal CDF / quantile, bivariate normal CDF (Gauss-Legendre on the
 correlation integral), tetrachoric correlation by bisection, regularized
-incomplete beta (continued fraction) for F-test p-values, varimax/promax.
+incomplete beta (continued fraction) for F-test p-values.
 """
 
 from __future__ import annotations
@@ -124,34 +124,3 @@ def f_sf(f, df1, df2):
         return 1.0
     x = df2 / (df2 + df1 * f)
     return betainc_reg(df2 / 2.0, df1 / 2.0, x)
-
-
-def varimax(L, gamma: float = 1.0, iters: int = 500, tol: float = 1e-10, normalize: bool = True):
-    L = np.asarray(L, dtype=float)
-    p, k = L.shape
-    if k < 2:
-        return L, np.eye(k)
-    h = np.sqrt((L**2).sum(axis=1, keepdims=True)) if normalize else np.ones((p, 1))
-    h = np.where(h == 0, 1.0, h)
-    A = L / h
-    R = np.eye(k)
-    d = 0.0
-    for _ in range(iters):
-        B = A @ R
-        u, s, vt = np.linalg.svd(A.T @ (B**3 - (gamma / p) * B @ np.diag((B**2).sum(axis=0))))
-        R = u @ vt
-        d_new = s.sum()
-        if d_new < d * (1 + tol):
-            break
-        d = d_new
-    return (A @ R) * h, R
-
-
-def promax(L, power: int = 3):
-    """Promax: varimax, power target, least-squares oblique transform (columns rescaled)."""
-    V, _ = varimax(L)
-    Q = V * np.abs(V) ** (power - 1)
-    U, *_ = np.linalg.lstsq(V, Q, rcond=None)
-    d = np.diag(np.linalg.inv(U.T @ U))
-    U = U @ np.diag(np.sqrt(d))
-    return V @ U

@@ -18,11 +18,24 @@ from pyspark.sql import functions as F
 # (Python's Unicode ``\b\w+\b``).
 WORD_PATTERN = r"[\p{L}\p{N}_]+"
 # URLs replaced by a placeholder in template normalisation.
-URL_PATTERN = r"(https?://\S+|www\.\S+)"
+URL_PATTERN = r"(?U)(https?://\S+|www\.\S+)"
 URL_PLACEHOLDER = " URL "
 NUM_PLACEHOLDER = " NUM "
 # Punctuation characters whose runs collapse to one character.
-COLLAPSED_PUNCTUATION = "!?.,"
+COLLAPSED_PUNCTUATION = r"([!?.,])\1+"
+# Re-attachment of split tokens: pattern and replacement, in this order.
+REATTACHED = [
+    (r"(?U)\b([A-Za-z]+)\s+n['’]t\b", "$1n't"),
+    (r"(?U)\s+([,.!?])", "$1"),
+    (r'(?U)\s+"', '"'),
+    (r'(?U)"\s+', '"'),
+]
+# A sentence ends at . ! ? before white space and an upper-case letter.
+SENTENCE_END = r"(?U)([.!?])\s+(?=[A-Z])"
+# Length band: share below and above the original, least lower bound and least width.
+BAND_LOW, BAND_HIGH, BAND_STEP = 0.8, 1.2, 10
+# Critical log-likelihood of a keyword.
+CRITICAL_LL = 3.84
 # Replacement map used for typeset output (character -> escaped form).
 TYPESET_ESCAPES = {"$": r"\$", "#": r"\#", "&": r"\&", "_": r"\_"}
 # Characters removed before typesetting.
@@ -59,7 +72,7 @@ def normalize_template(c, strip_numbers: bool = True) -> Column:
     s = F.trim(F.regexp_replace(s, r"(?U)\s+", " "))
     if strip_numbers:
         s = F.regexp_replace(s, r"\p{Nd}+", NUM_PLACEHOLDER)
-    s = F.regexp_replace(s, r"([!?.,])\1+", "$1")
+    s = F.regexp_replace(s, COLLAPSED_PUNCTUATION, "$1")
     return s
 
 
@@ -100,8 +113,8 @@ def resolve_lemma(word, lemma) -> Column:
 def length_band(wc) -> tuple[Column, Column]:
     """(lower, upper) word band: +-20 % rounded, lower >= 10, upper >= lower + 10."""
     w = F.greatest(F.lit(1), _c(wc).cast("long"))
-    lower = F.greatest(F.lit(10), F.round(w * 0.8).cast("long"))
-    upper = F.greatest(lower + 10, F.round(w * 1.2).cast("long"))
+    lower = F.greatest(F.lit(BAND_STEP), F.round(w * BAND_LOW).cast("long"))
+    upper = F.greatest(lower + BAND_STEP, F.round(w * BAND_HIGH).cast("long"))
     return lower, upper
 
 
@@ -125,34 +138,41 @@ def split_prompt(c) -> tuple[Column, Column]:
 
 
 # H9 ------------------------------------------------------------------------
+def printed(x, digits: int) -> Column:
+    """``digits`` decimals of the exact binary value, ties to even, as C and Python print it (``format_string`` rounds half up)."""
+    return F.replace(F.format_number(_c(x).cast("double"), digits), F.lit(","), F.lit(""))
+
+
 def fmt_loading(x) -> Column:
     """Two decimals without a leading zero: .45, -.62, 1.05."""
-    s = F.format_string("%.2f", _c(x).cast("double"))
-    return F.regexp_replace(s, r"^(-?)0\.", "$1.")
+    return F.regexp_replace(printed(x, 2), r"^(-?)0\.", "$1.")
 
 
 def fmt_r2(x) -> Column:
     """Five decimals without leading zero plus the percent with two decimals."""
-    s = F.regexp_replace(F.format_string("%.5f", _c(x).cast("double")), r"^(-?)0\.", "$1.")
-    return F.concat(s, F.lit(" ("), F.format_string("%.2f", _c(x) * 100), F.lit("%)"))
+    s = F.regexp_replace(printed(x, 5), r"^(-?)0\.", "$1.")
+    return F.concat(s, F.lit(" ("), printed(_c(x) * 100, 2), F.lit("%)"))
 
 
 # H10 -----------------------------------------------------------------------
 def detokenize(tokens) -> Column:
     """Join tokens by a space and re-attach n't, punctuation and quotes."""
     t = F.array_join(_c(tokens), " ")
-    t = F.regexp_replace(t, r"\b([A-Za-z]+)\s+n['’]t\b", "$1n't")
-    t = F.regexp_replace(t, r"\s+([,.!?])", "$1")
-    t = F.regexp_replace(t, r'\s+"', '"')
-    t = F.regexp_replace(t, r'"\s+', '"')
+    for pattern, replacement in REATTACHED:
+        t = F.regexp_replace(t, pattern, replacement)
     return t
 
 
 # H11 -----------------------------------------------------------------------
 def split_sentences(c) -> Column:
     """Split after . ! ? + whitespace when an upper-case letter follows; drop empties."""
-    marked = F.regexp_replace(_c(c), r"([.!?])\s+(?=[A-Z])", "$1\u0001")
-    return F.filter(F.transform(F.split(marked, "\u0001"), lambda x: F.trim(x)), lambda x: x != "")
+    marked = F.regexp_replace(_c(c), SENTENCE_END, "$1\u0001")
+    return F.filter(F.transform(F.split(marked, "\u0001"), strip), lambda x: x != "")
+
+
+def strip(c) -> Column:
+    """Text without Unicode white space at its ends (``trim`` only removes spaces)."""
+    return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
 
 
 # H13 -----------------------------------------------------------------------
@@ -217,7 +237,7 @@ def pct_diff(pa, pb) -> Column:
     return F.when((pa + pb) == 0, F.lit(0.0)).otherwise(100.0 * (pa - pb) / ((pa + pb) / 2.0))
 
 
-def keyness_status(ll, diff, critical: float = 3.84) -> Column:
+def keyness_status(ll, diff, critical: float = CRITICAL_LL) -> Column:
     ll, diff = _c(ll), _c(diff)
     return (
         F.when((ll >= critical) & (diff > 0), F.lit("POSKW"))

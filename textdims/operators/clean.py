@@ -175,6 +175,11 @@ def insert_after(df: DataFrame, after: str, name: str, expr: Column) -> DataFram
     return df.select(*sel)
 
 
+def text_key(col: str) -> Column:
+    """SHA-256 of a text as 32 bytes: what duplicates are grouped and joined on, so that no text is shuffled as a key."""
+    return F.unhex(F.sha2(F.col(col).cast("binary"), 256))
+
+
 def duplicate_report(df: DataFrame, col: str) -> DataFrame:
     """Rows whose text occurs more than once, with the count.
 
@@ -182,25 +187,27 @@ def duplicate_report(df: DataFrame, col: str) -> DataFrame:
     third of all rows costs one row per map task); the join back is planned
     by AQE (broadcast when the duplicated set is small, skew-split otherwise).
     """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("text_count")).filter(F.col("text_count") > 1)
-    return df.join(counts, col, "inner")
+    keyed = df.withColumn("_k", text_key(col))
+    counts = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("text_count")).filter(F.col("text_count") > 1)
+    return keyed.join(counts, "_k", "inner").drop("_k")
 
 
 def exact_dedup(df: DataFrame, col: str, order_cols=("id",)) -> DataFrame:
-    """Keep the first row per text in (order_cols) order.
+    """Keep the first row per text in (order_cols) order; ``order_cols`` identify a row.
 
-    ``min_by`` over the row struct is a partial aggregate: no window over a
-    hot text, one surviving row per text per map task.
+    The least order key of each text key is a partial aggregate (no window over a
+    hot text); the rows that hold one stay, by a semi-join on it.
     """
-    cols = df.columns
-    key = F.struct(*[F.col(c) for c in order_cols])
-    agg = df.groupBy(F.col(col).alias("_k")).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), key).alias("_r"))
-    return agg.select("_r.*")
+    order = F.struct(*[F.col(c) for c in order_cols])
+    keyed = df.withColumn("_k", text_key(col)).withColumn("_o", order)
+    first = keyed.groupBy("_k").agg(F.min("_o").alias("_f"))
+    same = keyed["_k"].eqNullSafe(first["_k"]) & keyed["_o"].eqNullSafe(first["_f"])
+    return keyed.join(first, same, "left_semi").drop("_k", "_o")
 
 
 def distinct_count(df: DataFrame, col: str) -> DataFrame:
     """D3: rows and distinct values of a column."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.col(col)).alias("n_distinct"))
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(text_key(col)).alias("n_distinct"))
 
 
 def value_counts(df: DataFrame, col: str, missing: str = "unknown") -> DataFrame:
@@ -261,13 +268,16 @@ def keep_earliest(df: DataFrame, group_col: str, ts_col: str = "created_utc", id
     return df.filter(F.col(group_col).isNull()).unionByName(reps)
 
 
-def stage_report(stages: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Rows after each named stage, and removed vs. the previous stage."""
-    from functools import reduce
-
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).withColumn("stage", F.lit(name)).withColumn("step", F.lit(i)) for i, (name, df) in enumerate(stages)]
-    allp = reduce(lambda a, b: a.unionByName(b), parts)
-    from pyspark.sql import Window
-
-    w = Window.orderBy("step")
-    return allp.withColumn("removed", F.lag("rows").over(w) - F.col("rows")).select("step", "stage", "rows", "removed")
+def cleaning_report(df: DataFrame, col: str, n: int = 10) -> DataFrame:
+    """D21 of the cleaning head (blank, exact duplicates, short texts) in one pass: equal texts pass
+    or fail every step together, so counts by text key hold all the steps."""
+    per_text = df.select(text_key(col).alias("k"), (~H.is_blank(col)).alias("filled"), (H.word_count(col) >= n).alias("long")).groupBy("k", "filled", "long").agg(F.count(F.lit(1)).alias("n"))
+    t = per_text.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("read"),
+        F.coalesce(F.sum(F.when(F.col("filled"), F.col("n"))), F.lit(0)).alias("drop_blank"),
+        F.count(F.when(F.col("filled"), 1)).alias("exact_dedup"),
+        F.count(F.when(F.col("filled") & F.col("long"), 1)).alias("min_words"),
+    )
+    steps = ("read", "drop_blank", "exact_dedup", "min_words")
+    rows = [F.struct(F.lit(i).alias("step"), F.lit(s).alias("stage"), F.col(s).alias("rows"), ((F.col(steps[i - 1]) - F.col(s)) if i else F.lit(None).cast("long")).alias("removed")) for i, s in enumerate(steps)]
+    return t.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as H
-from .tokens import TOKEN_PATTERN
+from .tokens import tag_tokens
 
 # ---------------------------------------------------------------------------
 # Fixed values
@@ -25,6 +25,14 @@ HIGHLIGHT_STOPLIST = ("edith", "doorbell", "michael", "recorded", "attempt", "re
 BOLD_OPEN, BOLD_CLOSE = "\\textbf{", "}"
 BUNDLE_EXAMPLES = 10
 BUNDLE_LINES = 30
+# Header of a plain example.
+TEXT_ID, GROUP, MODEL, FILE = "Text ID: ", "Group: ", "Model: ", "File:   "
+# Headings of a bundle.
+EXCERPT_BLOCK = "\n===== EXCERPT: %s (text ID %s) =====\n%s\n\n--- Loading words for this example (%s): %s\n"
+MEANS_HEADING = "\n=== MEAN SOURCE SCORES ===\n"
+LOADINGS_HEADING = "\n=== FACTOR LOADINGS ("
+HEADING_END = ") ===\n"
+EXCERPTS_HEADING = "\n=== EXAMPLE EXCERPTS ===\n"
 
 
 def group_means(scores: DataFrame, groups: DataFrame) -> DataFrame:
@@ -57,19 +65,17 @@ def example_label(factor, pole, ex_id):
 def annotate_examples(examples: DataFrame, texts: DataFrame, pole_lemmas: DataFrame, stoplist=HIGHLIGHT_STOPLIST, text_col: str = "text") -> DataFrame:
     """J8 + H10-H14: tokens of each selected text re-assembled with pole lemmas marked.
 
-    ``pole_lemmas``: (factor, pole, lemma) primary lemmas of each pole (bounded by the
-    keyword cap).  Output per example: marked sentences joined by newlines
-    (``paragraphs``) and the sorted matched lemma set.
+    ``pole_lemmas``: (factor, pole, lemma) lemmas listed for each pole, secondary
+    ones included; they are matched with the lemma as tagged.  Output per
+    example: marked sentences joined by newlines (``paragraphs``) and the
+    sorted matched lemma set.
     """
     sel = examples.select("factor", "pole", "ex_id", "text_id")
     t = texts.join(sel.select("text_id").distinct(), "text_id", "left_semi")
     cleaned = F.regexp_replace(F.col(text_col), r"[{}\\]", "")
-    toks = t.select("text_id", F.posexplode(F.regexp_extract_all(cleaned, F.lit(TOKEN_PATTERN), 0)).alias("pos", "word"))
-    toks = toks.withColumn("lemma", F.lower("word"))
+    toks = tag_tokens(t.select("text_id", cleaned.alias("text")))
     per = sel.join(toks, "text_id")
-    from ..session import bounded_broadcast
-
-    pl = bounded_broadcast(pole_lemmas.filter(~F.col("lemma").isin(*stoplist)).select("factor", "pole", "lemma", F.lit(True).alias("hit")), 50000)
+    pl = pole_lemmas.filter(~F.col("lemma").isin(*stoplist)).select("factor", "pole", "lemma").distinct().withColumn("hit", F.lit(True))
     per = per.join(pl, ["factor", "pole", "lemma"], "left")
     marked = F.when(F.col("hit"), F.concat(F.lit(BOLD_OPEN), F.col("word"), F.lit(BOLD_CLOSE))).otherwise(F.col("word"))
     g = per.groupBy("factor", "pole", "ex_id", "text_id").agg(
@@ -82,6 +88,34 @@ def annotate_examples(examples: DataFrame, texts: DataFrame, pole_lemmas: DataFr
     return g.select("factor", "pole", "ex_id", "text_id", F.array_join(paras, "\n").alias("paragraphs"), F.array_join("matched", ", ").alias("matched_lemmas"))
 
 
+def plain_examples(examples: DataFrame, texts: DataFrame, used: DataFrame, text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """J8, second rendering + C13: (documents, uncovered (text_id, factor, pole)).
+
+    A document is a header (text, group, model, file, score, loading words) and the full text.
+    ``texts``: (text_id, group, model, file, text); ``used``: D19 rows.
+    An example without a D19 row has no loading words and is reported as uncovered.
+    """
+    j = examples.select("factor", "pole", "ex_id", "text_id", "score").join(texts, "text_id").join(
+        used.select("text_id", "factor", "pole", "n", "words"), ["text_id", "factor", "pole"], "left"
+    )
+    label = F.concat(F.lit("f"), F.col("factor").cast("string"), F.lit("_"), F.when(F.col("pole") == 1, F.lit("pos")).otherwise(F.lit("neg")))
+    document = F.array_join(
+        F.array(
+            F.concat(F.lit(TEXT_ID), F.col("text_id").cast("string")),
+            F.concat(F.lit(GROUP), F.col("group")),
+            F.concat(F.lit(MODEL), F.col("model")),
+            F.concat(F.lit(FILE), F.col("file")),
+            F.lit(""),
+            F.concat(F.lit("Score ("), label, F.lit("): "), F.col("score").cast("string")),
+            F.concat(F.lit("Loading words ("), label, F.lit("), N="), F.coalesce("n", F.lit(0)).cast("string"), F.lit(": "), F.coalesce("words", F.lit(""))),
+            F.lit(""),
+        ),
+        "\n",
+    )
+    docs = j.select("factor", "pole", "ex_id", "text_id", F.concat(document, F.col(text_col)).alias("document"))
+    return docs, j.filter(F.col("n").isNull()).select("text_id", "factor", "pole").distinct()
+
+
 def head_lines(c, n: int = BUNDLE_LINES):
     """First n lines of a text."""
     return F.array_join(F.slice(F.split(c, "\n"), 1, n), "\n")
@@ -97,7 +131,7 @@ def interpretation_bundle(examples: DataFrame, excerpts: DataFrame, loadings_tex
     """
     ex = excerpts.filter(F.col("ex_id") <= n_examples)
     block = F.format_string(
-        "\n===== EXCERPT: %s (text ID %s) =====\n%s\n\n--- Loading words for this example (%s): %s\n",
+        EXCERPT_BLOCK,
         example_label(F.col("factor"), F.col("pole"), F.col("ex_id")),
         F.col("text_id").cast("string"),
         head_lines(F.col("body"), n_lines),
@@ -110,10 +144,10 @@ def interpretation_bundle(examples: DataFrame, excerpts: DataFrame, loadings_tex
     task = F.format_string(task_template, F.concat(F.lit("f"), F.col("factor").cast("string")), pole_name)
     prompt = F.concat(
         F.lit(system_text), F.lit("\n\n"), task, F.lit("\n"),
-        F.lit("\n=== MEAN SOURCE SCORES ===\n"), F.coalesce(F.col("means"), F.lit("")), F.lit("\n"),
-        F.lit("\n=== FACTOR LOADINGS ("), F.concat(F.lit("f"), F.col("factor").cast("string"), F.lit("_"), pole_name), F.lit(") ===\n"),
+        F.lit(MEANS_HEADING), F.coalesce(F.col("means"), F.lit("")), F.lit("\n"),
+        F.lit(LOADINGS_HEADING), F.concat(F.lit("f"), F.col("factor").cast("string"), F.lit("_"), pole_name), F.lit(HEADING_END),
         F.coalesce(F.col("loadings"), F.lit("")), F.lit("\n"),
-        F.lit("\n=== EXAMPLE EXCERPTS ===\n"), F.array_join(F.transform("bs", lambda s: s["b"]), "\n"),
+        F.lit(EXCERPTS_HEADING), F.array_join(F.transform("bs", lambda s: s["b"]), "\n"),
     )
     return j.select("factor", "pole", prompt.alias("prompt"))
 
@@ -139,5 +173,5 @@ def parse_pole_list(c, ids: bool = False):
     return F.transform(items, lambda x: F.struct(
         F.regexp_extract(x, r"^\(?([^\s,()]+)", 1).alias("item"),
         F.regexp_extract(x, r"\((-?[0-9]*\.[0-9]+)\)", 1).cast("double").alias("loading"),
-        ~x.startswith("(").alias("primary"),
+        (~x.startswith("(")).alias("primary"),
     ))

@@ -1,75 +1,24 @@
-"""Factor extraction, loadings, factor lists and dimension scores.
+"""Loadings, communalities, factor lists and dimension scores.
 
-Only the p x p correlation matrix (p bounded by the keyword cap) is decomposed
-on the driver with numpy; everything that grows with texts or tokens (hits,
-pair counts, scores) stays in Spark.  Loadings are a long table
-``(var, factor, loading)``; operators below work on any such table.
+Loadings are a long table ``(var, factor, loading)``, from any factor analysis;
+the operators below work on any such table and grow with the texts, not on the
+driver.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import stats
-from ..functions.text import fmt_loading
+from ..functions.text import fmt_loading, printed
 
 CUTOFF = 0.3
 COMMUNALITY_MIN = 0.15
-N_FACTORS = 3
-MAX_PC_FACTORS = 100
-MAX_BROADCAST_VARS = 5000  # loading tables are broadcast only up to this many variables
-
-
-def principal_components(R: np.ndarray, min_eigen: float = 1.0, max_factors: int = MAX_PC_FACTORS):
-    """Unit priors; factors with eigenvalue >= 1 (at most 100); communalities capped at 1."""
-    w, V = np.linalg.eigh(R)
-    order = np.argsort(w)[::-1]
-    w, V = w[order], V[:, order]
-    k = int(min(max_factors, max(1, (w >= min_eigen).sum())))
-    L = V[:, :k] * np.sqrt(np.clip(w[:k], 0, None))
-    comm = np.minimum((L**2).sum(axis=1), 1.0)
-    return w, comm
-
-
-def principal_factors(R: np.ndarray, k: int = N_FACTORS):
-    """J4 extraction: principal factors, prior communality = max |r| (off-diagonal)."""
-    Rr = R.copy()
-    off = np.abs(R - np.diag(np.diag(R)))
-    np.fill_diagonal(Rr, off.max(axis=1) if R.shape[0] > 1 else 1.0)
-    w, V = np.linalg.eigh(Rr)
-    order = np.argsort(w)[::-1][:k]
-    L = V[:, order] * np.sqrt(np.clip(w[order], 0, None))
-    # sign convention: column sums non-negative
-    L = L * np.where(L.sum(axis=0) < 0, -1.0, 1.0)
-    comm = (L**2).sum(axis=1)
-    over = comm > 1.0  # Heywood: cap communality at 1
-    if over.any():
-        L[over] = L[over] / np.sqrt(comm[over])[:, None]
-    return L
-
-
-def rotate_promax(L: np.ndarray, power: int = 3) -> np.ndarray:
-    P = stats.promax(L, power) if L.shape[1] > 1 else L
-    return P * np.where(P.sum(axis=0) < 0, -1.0, 1.0)
-
-
-def factor_model(spark: SparkSession, R: np.ndarray, vars_: list, k: int = N_FACTORS, communality_min: float = COMMUNALITY_MIN):
-    """J3 + B14 + J4: eigenvalues, communalities, kept variables and promax loadings as DataFrames."""
-    eig, comm = principal_components(R)
-    keep = np.where(comm >= communality_min)[0]
-    eig_df = spark.createDataFrame(pd.DataFrame({"number": np.arange(1, len(eig) + 1, dtype="int64"), "eigenvalue": eig.astype(float)}))
-    comm_df = spark.createDataFrame(pd.DataFrame({"var": vars_, "communality": comm.astype(float), "kept": (comm >= communality_min).astype("int32")}))
-    if len(keep) == 0:
-        load_df = spark.createDataFrame([], "var string, factor int, loading double")
-    else:
-        kk = min(k, len(keep))
-        Lr = rotate_promax(principal_factors(R[np.ix_(keep, keep)], kk))
-        rows = [(vars_[keep[i]], f + 1, float(Lr[i, f])) for i in range(len(keep)) for f in range(kk)]
-        load_df = spark.createDataFrame(rows, "var string, factor int, loading double")
-    return eig_df, comm_df, load_df
+
+
+def communalities(loadings: DataFrame) -> DataFrame:
+    """(var, communality): sum of a variable's squared loadings, at most 1."""
+    return loadings.groupBy("var").agg(F.least(F.lit(1.0), F.sum(F.col("loading") * F.col("loading"))).alias("communality"))
 
 
 def split_communality(comm: DataFrame, cutoff: float = COMMUNALITY_MIN):
@@ -77,6 +26,13 @@ def split_communality(comm: DataFrame, cutoff: float = COMMUNALITY_MIN):
     return comm.filter(F.col("communality") >= cutoff), comm.filter(F.col("communality") < cutoff)
 
 
+def explained(loadings: DataFrame) -> DataFrame:
+    """(number, eigenvalue): variance that each factor explains, largest first."""
+    per = loadings.groupBy("factor").agg(F.sum(F.col("loading") * F.col("loading")).alias("eigenvalue"))
+    w = Window.orderBy(F.col("eigenvalue").desc(), "factor")  # one row for each factor
+    return per.select(F.row_number().over(w).cast("long").alias("number"), "eigenvalue")
+
+
 def scree(eig: DataFrame, n: int = 20) -> DataFrame:
     """First n eigenvalues with their number."""
     return eig.orderBy("number").limit(n)
@@ -116,7 +72,7 @@ def factor_entries(loadings: DataFrame, labels: DataFrame, cutoff: float = CUTOF
     """E12 entries: primary (word (.45)) and secondary ((word (-.35))) per factor/pole.
 
     Secondary entries: other factors with |loading| >= cutoff of variables that
-    have a primary factor.  Sort key: |loading| rounded to 2 decimals, then word.
+    have a primary factor.  Sort key: |loading| as printed, then word.
     """
     prim = assign_loading(loadings, cutoff).select("var", F.col("factor").alias("pfactor"))
     lab = labels.select("var", "lemma")
@@ -133,7 +89,7 @@ def factor_entries(loadings: DataFrame, labels: DataFrame, cutoff: float = CUTOF
         is_primary.alias("primary"),
         F.when(is_primary, F.concat(word, F.lit(" ("), fl, F.lit(")"))).otherwise(F.concat(F.lit("("), word, F.lit(" ("), fl, F.lit("))"))).alias("entry"),
         F.when(is_primary, F.concat(F.col("var"), F.lit(" ("), fl, F.lit(")"))).otherwise(F.concat(F.lit("("), F.col("var"), F.lit(" ("), fl, F.lit("))"))).alias("entry_id"),
-        F.round(F.abs("loading"), 2).alias("sort_key"),
+        F.abs(printed(F.col("loading"), 2).cast("double")).alias("sort_key"),
     )
 
 
@@ -159,22 +115,15 @@ def pole_counts(entries: DataFrame) -> DataFrame:
 
 
 def factor_scores(texts: DataFrame, hits: DataFrame, primary: DataFrame, k: int) -> DataFrame:
-    """score(text, factor) = sum of pole over present primary-loaded variables (raw 0/1); 0 when none.
-
-    The loading table is bounded by the keyword cap, so it is broadcast.
-    """
-    from ..session import bounded_broadcast
-
-    s = hits.join(bounded_broadcast(primary.select("var", "factor", "pole"), MAX_BROADCAST_VARS), "var").groupBy("text_id", "factor").agg(F.sum("pole").alias("score"))
+    """score(text, factor) = sum of pole over present primary-loaded variables (raw 0/1); 0 when none."""
+    s = hits.join(primary.select("var", "factor", "pole"), "var").groupBy("text_id", "factor").agg(F.sum("pole").alias("score"))
     grid = texts.select("text_id", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("factor"))
     return grid.join(s, ["text_id", "factor"], "left").select("text_id", "factor", F.coalesce("score", F.lit(0)).cast("long").alias("score"))
 
 
 def used_words(texts: DataFrame, hits: DataFrame, primary: DataFrame, labels: DataFrame, k: int) -> DataFrame:
     """Per text x factor x pole: number and sorted list of present primary-loaded words."""
-    from ..session import bounded_broadcast
-
-    p = bounded_broadcast(primary.select("var", "factor", "pole").join(labels.select("var", "lemma"), "var", "left"), MAX_BROADCAST_VARS)
+    p = primary.select("var", "factor", "pole").join(labels.select("var", "lemma"), "var", "left")
     h = hits.join(p, "var").groupBy("text_id", "factor", "pole").agg(
         F.count(F.lit(1)).alias("n"),
         F.array_join(F.array_sort(F.collect_list(F.coalesce("lemma", "var"))), ", ").alias("words"),

@@ -18,15 +18,21 @@ from pyspark.sql import functions as F
 from ..functions.text import keyness_status, log_likelihood, pct_diff
 
 STATUS_PRIORITY = {"POSKW": 0, "NEGKW": 1, "NOTKW": 2}
+UNKNOWN_STRATUM = "unknown"
+
+
+def _stratum(col: str = "stratum"):
+    """A missing stratum is a stratum of its own."""
+    return F.coalesce(F.col(col).cast("string"), F.lit(UNKNOWN_STRATUM))
 
 
 def doc_frequency(presence: DataFrame) -> DataFrame:
     """Number of distinct texts per (stratum, lemma); ``presence`` is distinct already."""
-    return presence.groupBy("stratum", "lemma").agg(F.count(F.lit(1)).alias("n_texts"))
+    return presence.groupBy(_stratum().alias("stratum"), "lemma").agg(F.count(F.lit(1)).alias("n_texts"))
 
 
 def stratum_sizes(texts: DataFrame, stratum_col: str = "stratum") -> DataFrame:
-    return texts.groupBy(F.col(stratum_col).alias("stratum")).agg(F.count(F.lit(1)).alias("size"))
+    return texts.groupBy(_stratum(stratum_col).alias("stratum")).agg(F.count(F.lit(1)).alias("size"))
 
 
 def _per_lemma(counts: DataFrame, count_col: str) -> DataFrame:
@@ -36,6 +42,24 @@ def _per_lemma(counts: DataFrame, count_col: str) -> DataFrame:
     )
 
 
+def _against_rest(per_lemma: DataFrame, sizes: DataFrame, only_present: bool) -> DataFrame:
+    """(lemma, stratum, a, g, c, d): counts in the stratum and in all, sizes of the stratum and of the rest.
+
+    The strata enter as one value (#strata entries).  With ``only_present`` a lemma's own
+    strata are exploded, otherwise every stratum is.
+    """
+    total = sizes.select(F.sum("size")).scalar()
+    if only_present:
+        size_of = sizes.select(F.map_from_entries(F.collect_list(F.struct("stratum", "size")))).scalar()
+        rows = per_lemma.select("lemma", "g", F.explode("m").alias("stratum", "a")).withColumn("c", F.element_at(size_of, F.col("stratum")))
+    else:
+        strata = sizes.select(F.collect_list(F.struct("stratum", "size"))).scalar()
+        rows = per_lemma.select("lemma", "m", "g", F.explode(strata).alias("s")).select(
+            "lemma", "g", F.col("s.stratum").alias("stratum"), F.coalesce(F.col("m")[F.col("s.stratum")], F.lit(0)).alias("a"), F.col("s.size").alias("c")
+        )
+    return rows.select("lemma", "stratum", F.col("a").cast("long").alias("a"), F.col("g").cast("long").alias("g"), "c", (total - F.col("c")).alias("d"))
+
+
 def _keyness_columns(a, b, c, d, digits: int | None) -> list:
     a, b, c, d = (x.cast("double") for x in (a, b, c, d))
     per_a = F.when(c > 0, a / c * 1000.0).otherwise(F.lit(0.0))
@@ -68,18 +92,9 @@ def keyness(presence: DataFrame, texts: DataFrame, cutoff_pct: float = 3.0, digi
     comparison_per_1k, expected, ll, pct_diff, status, ll_rank_key.
     """
     sizes = stratum_sizes(texts)
-    total = sizes.select(F.sum("size")).scalar()
-    strata = sizes.select(F.collect_list(F.struct("stratum", "size"))).scalar()
-    counts = presence.groupBy("lemma", "stratum").agg(F.count(F.lit(1)).alias("a"))
-    per_lemma = _per_lemma(counts, "a")
-    rows = per_lemma.select("lemma", "m", "g", F.explode(strata).alias("s")).select(
-        "lemma",
-        F.col("s.stratum").alias("stratum"),
-        F.coalesce(F.col("m")[F.col("s.stratum")], F.lit(0)).cast("long").alias("a"),
-        F.col("g").cast("long").alias("g"),
-        F.col("s.size").alias("c"),
-        (total - F.col("s.size")).alias("d"),
-    )
+    counts = presence.groupBy("lemma", _stratum().alias("stratum")).agg(F.count(F.lit(1)).alias("a"))
+    # a positive cut-off leaves no stratum in which a lemma doesn't occur
+    rows = _against_rest(_per_lemma(counts, "a"), sizes, only_present=cutoff_pct > 0)
     rows = rows.filter((F.col("c") > 0) & (F.col("a") >= F.col("c") * float(cutoff_pct) / 100.0))
     b = F.col("g") - F.col("a")
     return rows.select(
@@ -96,19 +111,8 @@ def token_keyness(tokens: DataFrame, digits: int | None = 6) -> DataFrame:
 
     ``tokens``: (stratum, lemma) one row per token occurrence.
     """
-    counts = tokens.groupBy("lemma", "stratum").agg(F.count(F.lit(1)).alias("a"))
-    label_tok = counts.groupBy("stratum").agg(F.sum("a").alias("size"))
-    total = label_tok.select(F.sum("size")).scalar()
-    labels = label_tok.select(F.collect_list(F.struct("stratum", "size"))).scalar()
-    per_lemma = _per_lemma(counts, "a")
-    rows = per_lemma.select("lemma", "m", "g", F.explode(labels).alias("s")).select(
-        "lemma",
-        F.col("s.stratum").alias("stratum"),
-        F.coalesce(F.col("m")[F.col("s.stratum")], F.lit(0)).cast("long").alias("a"),
-        F.col("g").cast("long").alias("g"),
-        F.col("s.size").alias("c"),
-        (total - F.col("s.size")).alias("d"),
-    )
+    counts = tokens.groupBy("lemma", _stratum().alias("stratum")).agg(F.count(F.lit(1)).alias("a"))
+    rows = _against_rest(_per_lemma(counts, "a"), counts.groupBy("stratum").agg(F.sum("a").alias("size")), only_present=False)
     b = F.col("g") - F.col("a")
     return rows.select(
         "stratum",
@@ -129,17 +133,11 @@ def rank_order():
     return [status_priority().asc(), F.col("ll_rank_key").desc(), F.col("lemma").asc()]
 
 
-def rank_keyness(kn: DataFrame, cutoff_pct: float = 3.0) -> DataFrame:
+def rank_keyness(kn: DataFrame) -> DataFrame:
     """Rank of every lemma inside its stratum (priority, rounded LL desc, lemma).
 
-    With a cut-off c > 0 a stratum keeps at most (mean distinct lemmas per
-    text) * 100 / c lemmas, whatever the corpus size (the a-counts of a stratum
-    sum to its lemma-text pairs), so one window per stratum is bounded.
-    Without a cut-off the distributed numbering (range sort + offsets) is used.
+    Distributed numbering (range sort and offsets): no stratum has to fit one task.
     """
-    if cutoff_pct and cutoff_pct > 0:
-        w = Window.partitionBy("stratum").orderBy(*rank_order())
-        return kn.withColumn("rank", F.row_number().over(w).cast("long"))
     from .ids import sequential_ids
 
     keyed = kn.withColumn("_prio", status_priority()).withColumn("_neg_ll", -F.col("ll_rank_key"))

@@ -2,10 +2,11 @@
 
 Profiles are trained from labelled rows: log P(gram | language) with add-one
 smoothing over the profile vocabulary.  A text's score for a language is
-N * default_l + sum over its grams seen in l of c * (log p - default_l), so
-only seen grams are joined (the unseen mass is one column of arithmetic).
-The language list enters as a bounded scalar value; the profile table is
-joined by gram (AQE broadcasts it only when measured small).
+N * default_l + sum over its grams seen in l of (log p - default_l), so
+only seen grams add something.  Detection is one pass: the profile (one row per
+gram, written once; its size is that of the gram alphabet, not of the corpus)
+is joined by gram, and the sums of each text are partial before they are
+shuffled, so no gram is hot.
 """
 
 from __future__ import annotations
@@ -19,14 +20,6 @@ NGRAM = 3
 UNKNOWN = "unknown"
 
 
-def text_grams(df: DataFrame, id_col: str, text_col: str, n: int = NGRAM) -> DataFrame:
-    return (
-        df.select(F.col(id_col).alias("id"), F.explode(char_wb_ngrams(F.col(text_col), n, n)).alias("gram"))
-        .groupBy("id", "gram")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-
-
 def language_profiles(labelled: DataFrame, id_col: str = "id", text_col: str = "text", lang_col: str = "lang", n: int = NGRAM) -> DataFrame:
     """(lang, gram, logp, default): smoothed log-probabilities of each seen gram."""
     g = labelled.select(F.col(lang_col).alias("lang"), F.explode(char_wb_ngrams(F.col(text_col), n, n)).alias("gram")).filter(
@@ -47,33 +40,26 @@ def _profiles(counts: DataFrame) -> DataFrame:
     )
 
 
-def detect_language(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text", n: int = NGRAM, tg: DataFrame | None = None) -> DataFrame:
+def detect_language(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text", n: int = NGRAM) -> DataFrame:
     """(id, language): argmax over languages (ties -> smaller code); blank/null text -> 'unknown'."""
-    defaults = profiles.select("lang", "default").distinct()
-    langs = defaults.select(F.sort_array(F.collect_list(F.struct("lang", "default")))).scalar()
-    if tg is None:
-        tg = text_grams(df.filter(F.col(text_col).isNotNull()), id_col, text_col, n)
-    ntot = tg.groupBy("id").agg(F.sum("c").alias("n"))
-    seen = tg.join(profiles.select("lang", "gram", (F.col("logp") - F.col("default")).alias("gain")), "gram").groupBy("id", "lang").agg(
-        F.sum(F.col("c") * F.col("gain")).alias("gain")
-    )
-    cand = ntot.select("id", "n", F.explode(langs).alias("l")).select("id", "n", F.col("l.lang").alias("lang"), F.col("l.default").alias("default"))
-    sc = cand.join(seen, ["id", "lang"], "left").select("id", "lang", (F.col("n") * F.col("default") + F.coalesce("gain", F.lit(0.0))).alias("score"))
-    best = sc.groupBy("id").agg(F.min_by("lang", F.struct((-F.col("score")).alias("s"), F.col("lang"))).alias("language"))
+    from ..session import materialize
+
+    # one row for each language
+    defaults = {r["lang"]: r["default"] for r in profiles.select("lang", "default").distinct().orderBy("lang").collect()}
+    if not defaults:
+        return df.select(F.col(id_col).alias("id"), F.lit(UNKNOWN).alias("language"))
+    langs = sorted(defaults)
+    gain = F.col("logp") - F.col("default")
+    wide = profiles.groupBy("gram").agg(*[F.sum(F.when(F.col("lang") == x, gain)).alias(f"g{i}") for i, x in enumerate(langs)])
+    wide = materialize(wide, "language-profile")
+    grams = df.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.explode(char_wb_ngrams(F.col(text_col), n, n)).alias("gram"))
+    sums = grams.join(wide, "gram", "left").groupBy("id").agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(f"g{i}"), F.lit(0.0)).alias(f"g{i}") for i in range(len(langs))])
+    scores = [F.struct((-(F.col("n") * F.lit(defaults[x]) + F.col(f"g{i}"))).alias("s"), F.lit(x).alias("lang")) for i, x in enumerate(langs)]
+    best = sums.select("id", F.array_min(F.array(*scores))["lang"].alias("language"))
     return df.select(F.col(id_col).alias("id")).join(best, "id", "left").select("id", F.coalesce("language", F.lit(UNKNOWN)).alias("language"))
 
 
-def train_and_detect(df: DataFrame, id_col: str = "id", text_col: str = "text", lang_col: str = "lang", n: int = NGRAM) -> DataFrame:
-    """Profiles from the labelled rows of ``df`` and detection on all its rows, from one
-    gram table (the texts are split into grams once)."""
-    from pyspark import StorageLevel
-
-    tg = (
-        df.filter(F.col(text_col).isNotNull())
-        .select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.explode(char_wb_ngrams(F.col(text_col), n, n)).alias("gram"))
-        .groupBy("id", "lang", "gram")
-        .agg(F.count(F.lit(1)).alias("c"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    prof = _profiles(tg.filter(F.col("lang").isNotNull()).groupBy("lang", "gram").agg(F.sum("c").alias("c")))
-    return detect_language(df, prof, id_col, text_col, n, tg=tg.select("id", "gram", "c"))
+def train_and_detect(df: DataFrame, id_col: str = "id", text_col: str = "text", lang_col: str = "lang", n: int = NGRAM, train=None) -> DataFrame:
+    """Profiles from the labelled rows that ``train`` allows (a condition; all by default), detection on all rows."""
+    labelled = df if train is None else df.filter(train)
+    return detect_language(df, language_profiles(labelled.filter(F.col(text_col).isNotNull()), id_col, text_col, lang_col, n), id_col, text_col, n)

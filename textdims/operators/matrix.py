@@ -1,8 +1,9 @@
 """Document x keyword matrix and pair statistics.
 
 The long (text, var) hit table is the truth; the wide 0/1 matrix exists
-only as an export (``merge_columns``).  The vocabulary is bounded by the
-keyword cap (``max_total``), so broadcasting it is safe by construction.
+only as an export (``merge_columns``), in groups of columns.  Nothing depends on
+the size of the vocabulary: joins with it are planned by its measured size, pair
+counts are worked off in blocks of variables.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from ..functions.text import WORD_PATTERN
 from .ids import sequential_ids
 from .tokens import UNKNOWN_LEMMA
 
-MAX_VOCAB = 5000  # hard bound checked before anything p x p is built
+BLOCK = 2048  # variables on each side of a block of the Gram matrix
+EXPORT_COLUMNS = 1000  # variables in one wide export
 
 
 def raw_lemma(w: Column) -> Column:
@@ -29,49 +31,26 @@ def raw_lemma(w: Column) -> Column:
     )
 
 
-def text_raw_lemmas(texts: DataFrame, text_col: str = "text", keys=("text_id", "stratum")) -> DataFrame:
-    """Distinct raw lemmas per text (row-local)."""
-    forms = F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(WORD_PATTERN), 0))
-    return texts.select(*keys, F.explode(F.array_distinct(F.transform(forms, raw_lemma))).alias("lemma"))
-
-
-def keyword_index(keywords: DataFrame, prefix: str = "v", width: int = 6, bounded: bool = True) -> DataFrame:
-    """Sorted distinct keywords numbered from 1 -> (var, idx, lemma).
-
-    The keyword list is bounded by the selection cap, so a single ordered
-    window numbers it; ``bounded=False`` uses the distributed numbering.
-    """
+def keyword_index(keywords: DataFrame, prefix: str = "v", width: int = 6) -> DataFrame:
+    """Sorted distinct keywords numbered from 1 -> (var, idx, lemma)."""
     kw = keywords.select(F.trim("lemma").alias("lemma")).filter(F.col("lemma") != "").distinct()
-    if bounded:
-        from pyspark.sql import Window
-
-        s = kw.withColumn("idx", F.row_number().over(Window.orderBy("lemma")).cast("long"))
-    else:
-        s = sequential_ids(kw, ["lemma"], out="idx", start=1)
+    s = sequential_ids(kw, ["lemma"], out="idx", start=1)
     return s.select(F.concat(F.lit(prefix), F.lpad(F.col("idx").cast("string"), width, "0")).alias("var"), "idx", "lemma")
 
 
-def keyword_hits(text_lemmas: DataFrame, index: DataFrame) -> DataFrame:
-    """Long 0/1 matrix as hits (text_id, stratum, var, idx).
+def text_keyword_hits(texts: DataFrame, index: DataFrame, text_col: str = "text", keys=("text_id", "stratum"), match: str = "raw") -> DataFrame:
+    """J1 straight from the texts: distinct word forms exploded, lemma per form, join
+    with the vocabulary, then a distinct over the (small) hit rows - two
+    forms of a text can share a lemma.
 
-    The vocabulary is broadcast after its size is checked against the cap;
-    a larger user vocabulary falls back to a shuffle join.
+    ``match``: ``raw`` compares the lemma as tagged, ``lower`` its lower-cased
+    resolved form (the one that keyness counts).
     """
-    from ..session import bounded_broadcast
-
-    return text_lemmas.join(bounded_broadcast(index, MAX_VOCAB), "lemma").select("text_id", "stratum", "var", "idx")
-
-
-def text_keyword_hits(texts: DataFrame, index: DataFrame, text_col: str = "text", keys=("text_id", "stratum")) -> DataFrame:
-    """J1 straight from the texts: distinct word forms exploded (whole-stage codegen,
-    no lambdas), raw lemma per form, size-checked broadcast join with the
-    vocabulary, then a distinct over the (small) hit rows - two forms of a text
-    can share a raw lemma."""
-    from ..session import bounded_broadcast
-
+    if match not in ("raw", "lower"):
+        raise ValueError("match must be 'raw' or 'lower'")
     forms = texts.select(*keys, F.explode(F.array_distinct(F.regexp_extract_all(F.col(text_col), F.lit(WORD_PATTERN), 0))).alias("w"))
-    lem = forms.select(*keys, raw_lemma(F.col("w")).alias("lemma"))
-    return lem.join(bounded_broadcast(index, MAX_VOCAB), "lemma").select(*keys, "var", "idx").distinct()
+    lem = forms.select(*keys, (raw_lemma(F.col("w")) if match == "raw" else F.lower("w")).alias("lemma"))
+    return lem.join(index, "lemma").select(*keys, "var", "idx").distinct()
 
 
 def drop_zero_rows(texts: DataFrame, hits: DataFrame) -> DataFrame:
@@ -91,72 +70,79 @@ def presence_grid(texts: DataFrame, hits: DataFrame, index: DataFrame) -> DataFr
     return grid.join(h, ["text_id", "var"], "left").select("text_id", "var", F.coalesce("present", F.lit(0)).cast("int").alias("present"))
 
 
-def _vocab_list(index: DataFrame) -> list:
-    """Variable names of the vocabulary, checked against the cap before anything reaches the driver."""
-    if index.limit(MAX_VOCAB + 1).count() > MAX_VOCAB:
-        raise ValueError(f"the vocabulary exceeds the cap of {MAX_VOCAB} variables")
-    return [r["var"] for r in index.select("var").orderBy("var").collect()]
-
+def merge_columns(texts: DataFrame, hits: DataFrame, index: DataFrame, first: int = 1, columns: int = EXPORT_COLUMNS) -> DataFrame:
+    """Wide 0/1 export (text_id, v000001, ...) of the variables numbered from ``first``, every text one row.
 
-def merge_columns(texts: DataFrame, hits: DataFrame, index: DataFrame) -> DataFrame:
-    """Wide 0/1 export (text_id, v000001, ...), every text one row.
-
-    The variable list is the bounded vocabulary; it must be known for the
-    pivot, so it is read once from the (small) index.
+    A pivot needs its column names: those of one export are read from the index.
     """
-    vars_ = _vocab_list(index)
-    wide = hits.groupBy("text_id").pivot("var", vars_).agg(F.max(F.lit(1)))
+    group = index.filter(F.col("idx").between(first, first + columns - 1))
+    vars_ = [r["var"] for r in group.select("var").orderBy("idx").collect()]
+    wide = hits.filter(F.col("idx").between(first, first + columns - 1)).groupBy("text_id").pivot("var", vars_).agg(F.max(F.lit(1)))
     out = texts.select("text_id").join(wide, "text_id", "left").fillna(0, subset=vars_)
     return out.select("text_id", *[F.col(v).cast("int").alias(v) for v in vars_])
 
 
-def _gram_partition(p: int):
+def merge_column_groups(texts: DataFrame, hits: DataFrame, index: DataFrame, columns: int = EXPORT_COLUMNS):
+    """C10 for any number of variables: one wide export for each ``columns`` of them."""
+    p = index.select(F.max("idx")).first()[0] or 0
+    for first in range(1, p + 1, columns):
+        yield merge_columns(texts, hits, index, first, columns)
+
+
+def _gram_block(low_i: int, low_j: int, size: int):
+    """Adds up X_i^T X_j over the texts of a task; variables low.. low+size-1 on each side."""
+
     def fn(batches):
-        g = np.zeros((p + 1, p + 1), dtype=np.int64)
-        n = 0
+        g = np.zeros((size, size), dtype=np.int64)
         for pdf in batches:
-            idx = pdf["idxs"]
-            if len(idx) == 0:
-                continue
-            n += len(idx)
-            # dense indicator rows, chunked; X^T X accumulates pair counts
-            for start in range(0, len(idx), 2048):
-                chunk = idx.iloc[start:start + 2048]
-                X = np.zeros((len(chunk), p + 1), dtype=np.float32)
-                for r, arr in enumerate(chunk):
-                    X[r, np.asarray(arr, dtype=np.int64)] = 1.0
-                g += np.rint(X.T @ X).astype(np.int64)
-        ii, jj = np.nonzero(np.triu(g))
-        # row (-1, -1) carries the number of texts seen by this task
-        yield pd.DataFrame({"i": np.append(ii, -1).astype("int64"), "j": np.append(jj, -1).astype("int64"),
-                            "n11": np.append(g[ii, jj], n).astype("int64")})
+            arrays = [np.asarray(x, dtype=np.int64) for x in pdf["idxs"]]
+            for start in range(0, len(arrays), 2048):
+                chunk = arrays[start:start + 2048]
+                row = np.repeat(np.arange(len(chunk)), [len(x) for x in chunk])
+                var = np.concatenate(chunk)
+                sides = []
+                for low in (low_i, low_j):
+                    x = np.zeros((len(chunk), size), dtype=np.float32)
+                    inside = (var >= low) & (var < low + size)
+                    x[row[inside], var[inside] - low] = 1.0
+                    sides.append(x)
+                g += np.rint(sides[0].T @ sides[1]).astype(np.int64)
+        ii, jj = np.nonzero(g)
+        keep = ii + low_i <= jj + low_j
+        ii, jj = ii[keep], jj[keep]
+        yield pd.DataFrame({"i": (ii + low_i).astype("int64"), "j": (jj + low_j).astype("int64"), "n11": g[ii, jj]})
 
     return fn
 
 
-def cooccurrence(hits: DataFrame, index: DataFrame, n_texts=None) -> DataFrame:
+def cooccurrence(hits: DataFrame, index: DataFrame, n_texts=None, block: int = BLOCK) -> DataFrame:
     """(var_i, var_j, n11, n10, n01, n00) for all pairs i < j.
 
-    Each task multiplies the indicator rows of its texts (X^T X, dense p x p
-    bounded by the keyword cap) and emits its partial counts; one aggregate
-    sums them.  No pair rows per text are generated, and the per-text arrays
-    are bounded by p.
+    The texts' variable lists are written once.  For each pair of variable blocks
+    a task multiplies the indicator rows of its texts (X_i^T X_j, at most
+    block x block) and emits its partial counts; one aggregate sums them.  No
+    pair rows per text are generated, and any number of variables is worked off.
     """
-    p = index.select(F.max("idx")).first()[0] or 0
-    if p > MAX_VOCAB:
-        raise ValueError(f"{p} variables exceed the cap {MAX_VOCAB}")
     from ..session import materialize
 
-    per_text = hits.groupBy("text_id").agg(F.collect_list("idx").alias("idxs"))
-    partial = per_text.mapInPandas(_gram_partition(p), "i long, j long, n11 long")
-    # the summed Gram matrix (at most p^2/2 + 1 rows) is written once and reused
+    p = index.select(F.max("idx")).first()[0] or 0
+    per_text = materialize(hits.groupBy("text_id").agg(F.collect_set("idx").alias("idxs")), "text-variables")
+    size = min(block, max(1, p))
+    lows = range(1, p + 1, size)
+    partial = None
+    for a in lows:
+        for b in lows:
+            if a <= b:
+                part = per_text.select("idxs").mapInPandas(_gram_block(a, b, size), "i long, j long, n11 long")
+                partial = part if partial is None else partial.unionAll(part)
+    if partial is None:
+        partial = hits.select(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).cast("long").alias("n11")).limit(0)
     g = materialize(partial.groupBy("i", "j").agg(F.sum("n11").alias("n11")), "gram")
     if n_texts is None:
-        n_texts = g.filter(F.col("i") == -1).select(F.sum("n11")).scalar()
-    g = g.filter(F.col("i") >= 0)
+        n_texts = per_text.select(F.count(F.lit(1))).scalar()
     diag = g.filter(F.col("i") == F.col("j")).select(F.col("i").alias("k"), F.col("n11").alias("nk"))
     margins = index.select(F.col("idx").alias("k"), "var").join(diag, "k", "left").select("k", "var", F.coalesce("nk", F.lit(0)).alias("nk"))
-    # all pairs of the bounded vocabulary: one array value exploded twice
+    # all pairs of variables (the output itself): one array value exploded twice
     m = margins.select(F.sort_array(F.collect_list(F.struct("k", "var", "nk")))).scalar()
     pairs = (
         margins.select(F.struct("k", "var", "nk").alias("a"))
@@ -201,15 +187,3 @@ def select_by_correlation(corr: DataFrame, r_min: float) -> DataFrame:
         F.struct(F.col("var_j").alias("var"), F.abs("r").alias("ar")),
     )).alias("s")).select("s.*")
     return both.groupBy("var").agg(F.max("ar").alias("max_abs_r")).filter(F.col("max_abs_r") >= r_min)
-
-
-def correlation_matrix(corr: DataFrame, index: DataFrame):
-    """Driver-side p x p numpy matrix (p bounded by the keyword cap) and the variable order."""
-    vars_ = _vocab_list(index)
-    p = len(vars_)
-    pos = {v: i for i, v in enumerate(vars_)}
-    R = np.eye(p)
-    for row in corr.select("var_i", "var_j", "r").toLocalIterator():
-        i, j = pos[row["var_i"]], pos[row["var_j"]]
-        R[i, j] = R[j, i] = row["r"]
-    return R, vars_

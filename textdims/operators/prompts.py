@@ -34,6 +34,16 @@ USER_PROMPT = (
     "- Write only the body of the post.\n"
     "- Write in English.\n"
 )
+GUIDED_PROMPT = (
+    "Read the summary below.\n\n"
+    "TASK:\n\n"
+    "Your task is to write a post based ONLY on the summary provided below.\n"
+    "- Do not acknowledge this prompt; respond straightaway.\n"
+    "- Do not include a title line.\n"
+    "- Write only the body of the post.\n"
+    "- Write in English.\n"
+    "- Do not invent information beyond what is in the summary.\n"
+)
 CONSTRAINTS_BLOCK = "Constraints (must follow):\n- Avoid generic motivational or uplifting endings.\n"
 
 
@@ -49,8 +59,9 @@ def attach_summary(texts: DataFrame, summaries: DataFrame, key: str = "post_id",
 
 
 def build_prompt(df: DataFrame, kind: str = "generic", summary_col: str = "summary",
-                 system: str = SYSTEM_PROMPT, user: str = USER_PROMPT) -> DataFrame:
-    """H7: full prompt text: system + user + length line + constraints (generic) or summary (guided)."""
+                 system: str = SYSTEM_PROMPT, user: str | None = None) -> DataFrame:
+    """H7: full prompt text: system + task of the kind + length line + constraints (generic) or summary (guided)."""
+    user = user or (USER_PROMPT if kind == "generic" else GUIDED_PROMPT)
     tail = F.lit(CONSTRAINTS_BLOCK) if kind == "generic" else F.col(summary_col)
     prompt = F.concat(
         F.lit(f"SYSTEM PROMPT:\n{system}\n"), F.lit(f"USER PROMPT:\n{user}"), F.col("length_line"), F.lit("\n"), tail, F.lit("\n")
@@ -73,9 +84,7 @@ def rename_by_index(texts: DataFrame, index: DataFrame, key: str = "hash") -> tu
 
 def label_variables(df: DataFrame, index: DataFrame, var_col: str = "var") -> DataFrame:
     """C4: var id -> word (left join on the bounded vocabulary), falling back to the id."""
-    from ..session import bounded_broadcast
-
-    return df.join(bounded_broadcast(index.select(F.col("var").alias(var_col), "lemma"), 50000), var_col, "left").withColumn(
+    return df.join(index.select(F.col("var").alias(var_col), "lemma"), var_col, "left").withColumn(
         "word", F.coalesce("lemma", var_col)
     ).drop("lemma")
 
@@ -107,7 +116,9 @@ def batch_complete(df: DataFrame, fn: Callable[[str, str], str], key: str = "id"
     """One isolated request per row -> (id, response, error, attempts).
 
     Empty output counts as a failure; failures are recorded per row, never
-    fatal.  ``workers`` sets the parallelism (``repartition(workers)``).
+    fatal.  ``workers`` sets the parallelism (``repartition(workers)``): the
+    completer is user code, mostly a call to a service that allows so many
+    requests at a time; without it every input partition is a worker.
     """
     src = df.select(F.col(key).alias("id"), F.col(system_col).alias("system"), F.col(user_col).alias("user"))
     if workers:

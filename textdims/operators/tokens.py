@@ -134,11 +134,3 @@ def text_lemmas(texts: DataFrame, text_col: str = "text", keys=("text_id", "stra
     kept = F.filter(forms, is_content_form)
     uniq = F.array_distinct(F.transform(kept, lambda w: F.lower(w)))
     return texts.select(*keys, F.explode(uniq).alias("lemma"))
-
-
-def text_forms(texts: DataFrame, text_col: str = "text", keys=("text_id", "stratum"), lower: bool = True) -> DataFrame:
-    """Per-text distinct word forms (the driver-table token rule: lower-cased word runs)."""
-    forms = F.regexp_extract_all(F.col(text_col), F.lit(WORD_PATTERN), 0)
-    if lower:
-        forms = F.transform(forms, lambda w: F.lower(w))
-    return texts.select(*keys, F.explode(F.array_distinct(forms)).alias("lemma"))

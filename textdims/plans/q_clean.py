@@ -8,6 +8,7 @@ from ..functions import text as H
 from ..operators import clean as C
 from ..operators import ids as I
 from ..operators import listing as L
+from ..session import materialize
 from ..sources import tables
 from . import sqlfrag as S
 from .registry import register
@@ -294,7 +295,9 @@ g AS (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM f)"""
     f"WITH {POSTS_SQL}, {_FENCES} SELECT id, n_words FROM w, g WHERE n_words IS NOT NULL AND n_words >= lo AND n_words <= hi",
 )
 def q_iqr_filter(spark, sf):
-    return C.iqr_filter(C.with_word_count(_posts(spark, sf), "selftext"), "n_words").select("id", "n_words")
+    # the counts are written once: the fences and the filter read them, not the texts
+    counts = materialize(C.with_word_count(_posts(spark, sf), "selftext").select("id", "n_words"), "word-counts")
+    return C.iqr_filter(counts, "n_words")
 
 
 @register(
@@ -382,7 +385,7 @@ m AS (SELECT * FROM d WHERE {WC} >= {MIN_WORDS}),
 k AS (SELECT * FROM m WHERE id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)),
 l AS (SELECT * FROM k WHERE coalesce(language, 'unknown') = '{TARGET_LANG}' OR id IN (SELECT doc_id FROM labels WHERE quality = 1))
 SELECT id, subreddit, language, strftime(to_timestamp(created_utc), '%Y-%m-%dT%H:%M:%SZ') AS created_utc_datetime,
-       {WC} AS selftext_word_count FROM l""",
+       {WC} AS selftext_word_count, 'id,subreddit,selftext,selftext_word_count,language,created_utc,created_utc_datetime' AS column_order FROM l""",
 )
 def q_clean_posts(spark, sf):
     """The cleaning chain: blank -> exact dedup -> min words -> id drop -> language (B16 placement)."""
@@ -394,7 +397,7 @@ def q_clean_posts(spark, sf):
     p = C.keep_language(p, TARGET_LANG, lbl.filter("quality = 1").select(F.col("doc_id").alias("id")))
     p = C.insert_after(p, "created_utc", "created_utc_datetime", F.date_format(H.epoch_to_ts("created_utc"), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     p = C.insert_after(p, "selftext", "selftext_word_count", H.word_count("selftext"))
-    return p.select("id", "subreddit", "language", "created_utc_datetime", "selftext_word_count")
+    return p.select("id", "subreddit", "language", "created_utc_datetime", "selftext_word_count", F.lit(",".join(p.columns)).alias("column_order"))
 
 
 @register(
@@ -407,9 +410,5 @@ s AS (SELECT 0 AS step, 'read' AS stage, count(*) AS rows FROM posts UNION ALL S
 SELECT step, stage, rows, lag(rows) OVER (ORDER BY step) - rows AS removed FROM s""",
 )
 def q_stage_report(spark, sf):
-    p0 = _posts(spark, sf)
-    p1 = C.drop_blank(p0, "selftext")
-    p2 = C.exact_dedup(p1, "selftext")
-    p3 = C.min_words(p2, "selftext", MIN_WORDS)
-    r = C.stage_report([("read", p0), ("drop_blank", p1), ("exact_dedup", p2), ("min_words", p3)])
+    r = C.cleaning_report(_posts(spark, sf), "selftext", MIN_WORDS)
     return r.select(F.col("step").cast("int").alias("step"), "stage", "rows", "removed")

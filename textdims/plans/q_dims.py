@@ -19,8 +19,8 @@ from .registry import register
 
 R_MIN = 0.3
 CUT = FA.CUTOFF
-FACTOR_STRATA = ("de", "es", "fr")  # strata whose membership defines the reference dimensions
-K_FACTORS = len(FACTOR_STRATA)
+FACTOR_STRATA = ("generic_gpt", "summary_guided_gpt", "generic_qwen")  # strata of the membership loadings
+K_FACTORS = 3
 
 
 # ---------------------------------------------------------------------------
@@ -34,27 +34,44 @@ def _index(spark, sf):
     t = _texts(spark, sf)
     kn = K.keyness(T.text_lemmas(t), t, CUTOFF_PCT)
     kw = K.consolidate(K.quota_topk(kn, CEILING, WEIGHTED, WEIGHT), MAX_TOTAL, WEIGHTED)
-    # the vocabulary (bounded by MAX_TOTAL) is written once; every later job reads it
+    # the vocabulary is written once; every later job reads it
     return materialize(M.keyword_index(kw), "keyword-index")
 
 
 def _hits(spark, sf):
+    """Texts, vocabulary, and the narrow hit table, written once: all later steps read it, not the texts."""
     t = _texts(spark, sf)
     idx = _index(spark, sf)
-    return t, idx, M.keyword_hits(M.text_raw_lemmas(t), idx)
+    return t, idx, materialize(M.text_keyword_hits(t, idx), "keyword-hits")
 
 
 def _matrix_texts(t, hits):
-    return M.drop_zero_rows(t, hits)
+    """B11; the text itself is not needed after the hits are known."""
+    return M.drop_zero_rows(t.drop("text"), hits)
 
 
 def _pairs(spark, sf):
-    t, idx, hits = _hits(spark, sf)
+    _, idx, hits = _hits(spark, sf)
     return idx, M.cooccurrence(hits, idx)
 
 
+def literal_loadings(idx):
+    """A fixed long loading table over the vocabulary (var, factor, loading): positive, negative,
+    secondary and tied loadings by a rule on the variable number, so that any
+    factor analysis' table can take its place."""
+    f = F.explode(F.sequence(F.lit(1), F.lit(K_FACTORS))).alias("factor")
+    n = F.pmod(F.col("idx") * (F.lit(5) + F.col("factor") * 12), F.lit(41)) - 20
+    return idx.select("var", "idx", f).select("var", F.col("factor").cast("int").alias("factor"), (n / F.lit(25.0)).alias("loading"))
+
+
+def _loaded(spark, sf):
+    """Texts, vocabulary, hits and the loading table."""
+    t, idx, hits = _hits(spark, sf)
+    return t, idx, hits, literal_loadings(idx)
+
+
 def _stratum_loadings(spark, sf):
-    """Reference dimensions: phi of each keyword with membership of a stratum (factor f)."""
+    """Phi of each keyword with membership of a stratum (a profile of the strata, not the dimensions)."""
     t, idx, hits = _hits(spark, sf)
     mt = _matrix_texts(t, hits).select("text_id", "stratum")
     n = mt.select(F.count(F.lit(1))).scalar()
@@ -68,8 +85,7 @@ def _stratum_loadings(spark, sf):
     nd = F.lit(n).cast("double")
     num = nd * F.col("n11") - F.col("nv").cast("double") * F.col("ns")
     den = F.sqrt(F.col("nv").cast("double") * (nd - F.col("nv")) * F.col("ns") * (nd - F.col("ns")))
-    load = j.select("var", F.col("factor").cast("int").alias("factor"), F.when(den > 0, num / den).otherwise(F.lit(0.0)).alias("loading"))
-    return t, idx, hits, materialize(load, "stratum-loadings")
+    return j.select("var", F.col("factor").cast("int").alias("factor"), F.when(den > 0, num / den).otherwise(F.lit(0.0)).alias("loading"))
 
 
 # ---------------------------------------------------------------------------
@@ -91,9 +107,9 @@ kw AS (SELECT DISTINCT trim(lemma) AS lemma FROM ordered WHERE trim(lemma) <> ''
 idx AS (SELECT 'v' || lpad(CAST(row_number() OVER (ORDER BY lemma) AS VARCHAR), 6, '0') AS var,
                row_number() OVER (ORDER BY lemma) AS idx, lemma FROM kw),
 rl AS (SELECT DISTINCT text_id, stratum, {raw_lemma_sql('w')} AS lemma FROM (
-  SELECT doc_id AS text_id, lang AS stratum, unnest(regexp_extract_all(text, {S.WORD})) AS w FROM documents)),
+  SELECT doc_id AS text_id, {S.STRATUM} AS stratum, unnest(regexp_extract_all(text, {S.WORD})) AS w FROM documents)),
 hits AS (SELECT rl.text_id, rl.stratum, idx.var, idx.idx FROM rl JOIN idx USING (lemma)),
-mt AS (SELECT doc_id AS text_id, lang AS stratum, {tables.folder_sql('lang')} AS folder FROM documents
+mt AS (SELECT doc_id AS text_id, {S.STRATUM} AS stratum, {S.STRATUM} AS folder FROM documents
        WHERE doc_id IN (SELECT text_id FROM hits)),
 nmt AS (SELECT count(*) AS n FROM mt)"""
 
@@ -115,7 +131,7 @@ phi AS (
 _FMAP = " ".join(f"WHEN '{s}' THEN {i + 1}" for i, s in enumerate(FACTOR_STRATA))
 _STRATA_LIST = ", ".join(f"('{s}')" for s in FACTOR_STRATA)
 
-_LOAD = f"""{_VOCAB},
+_STRATUM_LOAD = f"""{_VOCAB},
 ns AS (SELECT stratum, count(*) AS ns FROM mt GROUP BY stratum),
 nv AS (SELECT var, count(*) AS nv FROM hits GROUP BY var),
 n11 AS (SELECT var, stratum, count(*) AS n11 FROM hits GROUP BY var, stratum),
@@ -126,7 +142,12 @@ lj AS (
   FROM nv CROSS JOIN fs JOIN ns ON ns.stratum = fs.stratum LEFT JOIN n11 ON n11.var = nv.var AND n11.stratum = fs.stratum),
 load AS (
   SELECT var, factor, CASE WHEN sqrt(nv * (n - nv) * ns * (n - ns)) > 0 THEN (n * n11 - nv * ns) / sqrt(nv * (n - nv) * ns * (n - ns)) ELSE 0.0 END AS loading
-  FROM lj),
+  FROM lj)"""
+
+_LOAD = f"""{_VOCAB},
+load AS (
+  SELECT var, CAST(f AS INTEGER) AS factor, ((idx * (5 + f * 12)) % 41 - 20) / 25.0 AS loading
+  FROM idx CROSS JOIN (SELECT unnest(range(1, {K_FACTORS + 1})) AS f)),
 mxl AS (SELECT var, max(abs(loading)) AS mx FROM load GROUP BY var),
 tops AS (SELECT l.var, l.factor, l.loading FROM load l JOIN mxl m ON l.var = m.var AND abs(l.loading) = m.mx),
 prim AS (
@@ -135,7 +156,7 @@ prim AS (
 ent AS (
   SELECT l.factor, CASE WHEN l.loading > 0 THEN 1 ELSE -1 END AS pole, l.var, coalesce(i.lemma, l.var) AS word,
          l.factor = p.factor AS is_primary, l.loading,
-         regexp_replace(printf('%.2f', l.loading), '^(-?)0\\.', '\\1.') AS fl, round(abs(l.loading), 2) AS sort_key
+         regexp_replace(printf('%.2f', l.loading), '^(-?)0\\.', '\\1.') AS fl, abs(CAST(printf('%.2f', l.loading) AS DOUBLE)) AS sort_key
   FROM load l JOIN prim p ON l.var = p.var LEFT JOIN idx i ON i.var = l.var
   WHERE l.factor = p.factor OR abs(l.loading) >= {CUT}),
 ent2 AS (
@@ -174,10 +195,19 @@ def q_presence_grid(spark, sf):
     return M.presence_grid(t, hits, idx)
 
 
-@register("merge_columns")
+#: Variables of the registered wide export.
+WIDE = 50
+
+
+@register(
+    "merge_columns",
+    f"WITH {_VOCAB} SELECT mt.text_id, "
+    + ", ".join(f"CAST(max(CASE WHEN h.idx = {i} THEN 1 ELSE 0 END) AS INTEGER) AS v{i:06d}" for i in range(1, WIDE + 1))
+    + " FROM mt LEFT JOIN hits h USING (text_id) GROUP BY mt.text_id",
+)
 def q_merge_columns(spark, sf):
     t, idx, hits = _hits(spark, sf)
-    return M.merge_columns(_matrix_texts(t, hits), hits, idx)
+    return M.merge_columns(_matrix_texts(t, hits), hits, idx, 1, WIDE)
 
 
 @register("cooccurrence", f"WITH {_PAIRS} SELECT var_i, var_j, n11, n10, n01, n00 FROM pairs")
@@ -205,41 +235,42 @@ def q_tetrachoric(spark, sf):
     return M.tetrachoric(_pairs(spark, sf)[1])
 
 
-def _factor_model(spark, sf):
-    idx, pairs = _pairs(spark, sf)
-    R, vars_ = M.correlation_matrix(M.tetrachoric(pairs), idx)
-    return FA.factor_model(spark, R, vars_, FA.N_FACTORS)
+_COMM_SQL = "SELECT var, least(1.0, sum(loading * loading)) AS communality FROM load GROUP BY var"
 
 
-@register("communalities")
+@register("communalities", f"WITH {_LOAD}, c AS ({_COMM_SQL}) SELECT var, round(communality, 6) AS communality FROM c")
 def q_communalities(spark, sf):
-    return _factor_model(spark, sf)[1]
-
-
-@register("scree")
-def q_scree(spark, sf):
-    return FA.scree(_factor_model(spark, sf)[0], 20)
+    return FA.communalities(_loaded(spark, sf)[3]).select("var", F.round("communality", 6).alias("communality"))
 
 
-@register("rotate")
-def q_rotate(spark, sf):
-    return _factor_model(spark, sf)[2]
+@register(
+    "split_communality",
+    f"""WITH {_LOAD}, c AS ({_COMM_SQL})
+SELECT var, round(communality, 6) AS communality, CASE WHEN communality >= {FA.COMMUNALITY_MIN} THEN 'kept' ELSE 'dropped' END AS "set" FROM c""",
+)
+def q_split_communality(spark, sf):
+    kept, dropped = FA.split_communality(FA.communalities(_loaded(spark, sf)[3]))
+    both = kept.withColumn("set", F.lit("kept")).unionByName(dropped.withColumn("set", F.lit("dropped")))
+    return both.select("var", F.round("communality", 6).alias("communality"), "set")
 
 
-@register("split_communality")
-def q_split_communality(spark, sf):
-    kept, dropped = FA.split_communality(_factor_model(spark, sf)[1])
-    return kept.withColumn("set", F.lit("kept")).unionByName(dropped.withColumn("set", F.lit("dropped")))
+@register(
+    "scree",
+    f"""WITH {_LOAD}, e AS (SELECT factor, sum(loading * loading) AS v FROM load GROUP BY factor)
+SELECT row_number() OVER (ORDER BY v DESC, factor) AS number, round(v, 6) AS eigenvalue FROM e ORDER BY v DESC, factor LIMIT 20""",
+)
+def q_scree(spark, sf):
+    return FA.scree(FA.explained(_loaded(spark, sf)[3]), 20).select("number", F.round("eigenvalue", 6).alias("eigenvalue"))
 
 
-@register("stratum_loadings", f"WITH {_LOAD} SELECT var, factor, round(loading, 6) AS loading FROM load")
+@register("stratum_loadings", f"WITH {_STRATUM_LOAD} SELECT var, factor, round(loading, 6) AS loading FROM load")
 def q_stratum_loadings(spark, sf):
-    return _stratum_loadings(spark, sf)[3].select("var", "factor", F.round("loading", 6).alias("loading"))
+    return _stratum_loadings(spark, sf).select("var", "factor", F.round("loading", 6).alias("loading"))
 
 
 @register("assign_loading", f"WITH {_LOAD} SELECT var, factor, pole, round(loading, 6) AS loading FROM prim")
 def q_assign_loading(spark, sf):
-    a = FA.assign_loading(_stratum_loadings(spark, sf)[3], CUT)
+    a = FA.assign_loading(_loaded(spark, sf)[3], CUT)
     return a.select("var", "factor", "pole", F.round("loading", 6).alias("loading"))
 
 
@@ -252,7 +283,7 @@ SELECT p.factor, p.pole, p.var, coalesce(i.lemma, p.var) AS word, round(p.loadin
 FROM prim p LEFT JOIN idx i USING (var)""",
 )
 def q_loading_table(spark, sf):
-    _, idx, _, load = _stratum_loadings(spark, sf)
+    _, idx, _, load = _loaded(spark, sf)
     lt = FA.loading_table(load, idx.select("var", "lemma"), CUT)
     return lt.select("factor", "pole", "var", "word", F.round("loading", 6).alias("loading"), "label_full", F.col("rank").cast("long").alias("rank"))
 
@@ -267,7 +298,7 @@ SELECT factor, pole, count(*) AS n_all, CAST(sum(CASE WHEN is_primary THEN 1 ELS
 FROM ent2 GROUP BY factor, pole""",
 )
 def q_factor_lists(spark, sf):
-    _, idx, _, load = _stratum_loadings(spark, sf)
+    _, idx, _, load = _loaded(spark, sf)
     fl = FA.factor_lists(FA.factor_entries(load, idx.select("var", "lemma"), CUT))
     return fl.select("factor", "pole", F.col("n_all").cast("long").alias("n_all"), F.col("n_primary").cast("int").alias("n_primary"), "words", "var_ids", "primary_words")
 
@@ -278,20 +309,20 @@ def q_factor_lists(spark, sf):
 SELECT factor, pole, count(*) AS n_all, CAST(sum(CASE WHEN is_primary THEN 1 ELSE 0 END) AS BIGINT) AS n_primary FROM ent2 GROUP BY factor, pole""",
 )
 def q_pole_counts(spark, sf):
-    _, idx, _, load = _stratum_loadings(spark, sf)
+    _, idx, _, load = _loaded(spark, sf)
     return FA.pole_counts(FA.factor_entries(load, idx.select("var", "lemma"), CUT))
 
 
 @register("fmt_loading", f"WITH {_LOAD} SELECT var, factor, fl AS formatted FROM ent")
 def q_fmt_loading(spark, sf):
-    _, idx, _, load = _stratum_loadings(spark, sf)
+    _, idx, _, load = _loaded(spark, sf)
     e = FA.factor_entries(load, idx.select("var", "lemma"), CUT)
     return e.select("var", "factor", H.fmt_loading(F.regexp_extract("entry", r"\(([-0-9.]+)\)+$", 1).cast("double")).alias("formatted"))
 
 
 @register("factor_scores", f"WITH {_LOAD} SELECT text_id, factor, score FROM scores")
 def q_factor_scores(spark, sf):
-    t, idx, hits, load = _stratum_loadings(spark, sf)
+    t, idx, hits, load = _loaded(spark, sf)
     prim = FA.assign_loading(load, CUT)
     return FA.factor_scores(_matrix_texts(t, hits), hits, prim, K_FACTORS)
 
@@ -307,7 +338,7 @@ SELECT g.text_id, CAST(g.factor AS INTEGER) AS factor, CAST(g.pole AS INTEGER) A
 FROM g LEFT JOIN uw USING (text_id, factor, pole)""",
 )
 def q_used_words(spark, sf):
-    t, idx, hits, load = _stratum_loadings(spark, sf)
+    t, idx, hits, load = _loaded(spark, sf)
     prim = FA.assign_loading(load, CUT)
     u = FA.used_words(_matrix_texts(t, hits), hits, prim, idx.select("var", "lemma"), K_FACTORS)
     return u.select("text_id", F.col("factor").cast("int").alias("factor"), F.col("pole").cast("int").alias("pole"), F.col("n").cast("long").alias("n"), "words")
@@ -332,7 +363,7 @@ def q_derive_strata(spark, sf):
 
 
 def _scores_grouped(spark, sf):
-    t, idx, hits, load = _stratum_loadings(spark, sf)
+    t, idx, hits, load = _loaded(spark, sf)
     prim = FA.assign_loading(load, CUT)
     mt = _matrix_texts(t, hits)
     wide = FA.scores_wide(FA.factor_scores(mt, hits, prim, K_FACTORS), K_FACTORS)
@@ -427,7 +458,8 @@ def q_group_means(spark, sf):
   printf('%.2f', ss_model / (ss_model + ss_error) * 100.0) AS r2_pct FROM a""",
 )
 def q_anova_table(spark, sf):
-    return G.anova_table(_anovas(_li(spark, sf), EFFECTS, DEPENDENTS))
+    # p has no SQL form: checked by a test, and by anova_pvalue
+    return G.anova_table(_anovas(_li(spark, sf), EFFECTS, DEPENDENTS)).drop("p")
 
 
 @register("anova_pvalue")
@@ -447,9 +479,7 @@ _SCORE_DEPS = tuple(f"fac{f}" for f in range(1, K_FACTORS + 1))
     + ") " + _anova_select(),
 )
 def q_anova_scores(spark, sf):
-    from pyspark import StorageLevel
-
-    sg = _scores_grouped(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    sg = materialize(_scores_grouped(spark, sf), "scores-grouped")
     return _round_anova(_anovas(sg, _SCORE_EFFECTS, _SCORE_DEPS))
 
 
@@ -468,10 +498,12 @@ def q_box_stats(spark, sf):
 
 @register(
     "box_outliers",
-    f"""WITH {LI_SQL}, f AS (
-  SELECT flag AS level, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM li WHERE price IS NOT NULL GROUP BY flag)
-SELECT l_orderkey, l_linenumber, level, price AS value FROM li JOIN f ON li.flag = f.level
-WHERE price < q1 - 1.5 * (q3 - q1) OR price > q3 + 1.5 * (q3 - q1)""",
+    f"""WITH {LI_SQL}, v AS (SELECT l_orderkey, l_linenumber, flag, price * price AS value FROM li), f AS (
+  SELECT flag AS level, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM v WHERE value IS NOT NULL GROUP BY flag)
+SELECT l_orderkey, l_linenumber, level, value FROM v JOIN f ON v.flag = f.level
+WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""",
 )
 def q_box_outliers(spark, sf):
-    return G.box_outliers(_li(spark, sf), "flag", "price", ("l_orderkey", "l_linenumber"))
+    """Squared prices: continuous, and skewed enough to have outliers."""
+    squared = _li(spark, sf).withColumn("value", F.col("price") * F.col("price"))
+    return G.box_outliers(squared, "flag", "value", ("l_orderkey", "l_linenumber"))

@@ -69,12 +69,13 @@ def q_stream_collect(spark, sf):
     return out.select("id", "subreddit", "created_utc", "permalink")
 
 
-@register("run_counts")
+@register("run_counts", "SELECT CAST(3 AS BIGINT) AS n_batches, count(*) AS n_rows, CAST(1 AS BOOLEAN) AS adds_up FROM documents")
 def q_run_counts(spark, sf):
     base = _scratch(spark, "stream")
     _raw_submissions(spark, sf).repartition(3).write.json(f"{base}/in")
     ST.stream_collect(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=1).awaitTermination()
-    return ST.run_counts(f"{base}/out", spark)
+    c = ST.run_counts(f"{base}/out", spark)
+    return c.agg(F.count(F.lit(1)).alias("n_batches"), F.max("running_rows").alias("n_rows"), (F.sum("rows") == F.max("running_rows")).alias("adds_up"))
 
 
 @register(
@@ -88,30 +89,104 @@ def q_stream_first_seen(spark, sf):
     raw.write.json(f"{base}/in/part1")
     raw.write.json(f"{base}/in/part2")  # the whole listing replayed after a retry
     stream = spark.readStream.schema(ST.RAW_SUBMISSION_SCHEMA).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 2).json(f"{base}/in")
-    s = ST.stream_first_seen(stream)
+    s = ST.stream_first_seen(stream, dedup_watermark="1000 days")  # replays may come that much later
     q = s.select("id").writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 
-@register("run_provenance")
+@register(
+    "run_provenance",
+    """SELECT false AS cancelled, 'src0' AS subreddit, 'new' AS listing, (SELECT count(*) FROM documents) AS posts,
+  (SELECT count(*) FROM conversations WHERE turn > 0) AS comments, true AS timed""",
+)
 def q_run_provenance(spark, sf):
     import datetime as dt
 
     started = dt.datetime.now(dt.timezone.utc).isoformat()
-    n_posts = tables.posts(spark, sf).count()
-    n_comments = tables.table(spark, sf, "conversations").filter("turn > 0").count()
+    # both counts come from the appends themselves, one pass each
+    base = _scratch(spark, "provenance")
+    n_posts = FI.append_rows(tables.posts(spark, sf).select("id"), f"{base}/posts")
+    n_comments = FI.append_rows(tables.table(spark, sf, "conversations").filter("turn > 0").select("conv_id", "turn"), f"{base}/comments")
     params = {"subreddits": ["src0"], "listing": "new", "per_subreddit_limit": None, "include_comments": True,
               "comments_limit_per_post": None, "after_utc": None, "before_utc": None, "out_dir": "data"}
-    return FI.run_provenance(spark, started, params, {"posts": n_posts, "comments": n_comments})
+    p = FI.run_provenance(spark, started, params, {"posts": n_posts, "comments": n_comments})
+    return p.select(
+        "cancelled", F.col("params.subreddits")[0].alias("subreddit"), "params.listing", "counts.posts", "counts.comments",
+        (F.col("finished_at") >= F.col("started_at")).alias("timed"),
+    )
+
+
+@register(
+    "comments_roundtrip",
+    """SELECT CAST(conv_id * 1000 + turn AS VARCHAR) AS id, CAST(conv_id AS VARCHAR) AS post, role AS author, length(text) AS n_chars FROM conversations""",
+)
+def q_comments_roundtrip(spark, sf):
+    """A6 + A2: comments exported as NDJSON, read back through the comment reader."""
+    base = _scratch(spark, "comments")
+    c = tables.comments(spark, sf)
+    FI.export_ndjson(c.select(F.col("id").cast("string").alias("id"), "link_id", "author", "body", "created_utc"), f"{base}/run/comments")
+    back = FI.read_comments(spark, base, file_name="part-*.json")
+    return back.select("id", F.regexp_replace("link_id", "^t3_", "").alias("post"), "author", F.length("body").cast("long").alias("n_chars"))
+
+
+@register(
+    "corpus_roundtrip",
+    f"""SELECT {S.STRATUM} AS folder, count(*) AS n_texts, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents GROUP BY 1""",
+)
+def q_corpus_roundtrip(spark, sf):
+    """A11 + A10: texts exported by folder, written as one file each task, read back with their folder."""
+    base = _scratch(spark, "corpus dir")
+    FI.export_texts(tables.texts(spark, sf), f"{base}/parquet", key="text_id", text_col="text", partition_col="folder")
+    out = spark.read.parquet(f"{base}/parquet")
+    # a text per line for the reader, in folders with a space in their name
+    out.select(F.concat(F.lit("sub "), "folder").alias("part"), F.base64(F.col("text").cast("binary")).alias("value")).repartition(4, "part").write.partitionBy("part").text(f"{base}/texts")
+    whole = FI.read_corpus(spark, f"{base}/texts")
+    line = whole.select(F.regexp_replace("folder", "^part=sub ", "").alias("folder"), F.explode(F.split(FI.strip_end("text"), "\n")).alias("line"))
+    text = F.unbase64(F.regexp_replace("line", "\r", "")).cast("string")
+    return line.groupBy("folder").agg(F.count(F.lit(1)).alias("n_texts"), F.sum(F.length(text)).alias("n_chars"))
+
+
+@register("id_map_roundtrip", "SELECT CAST(doc_id AS VARCHAR) AS id, 'name of ' || CAST(n_chars AS VARCHAR) AS name FROM documents")
+def q_id_map_roundtrip(spark, sf):
+    """Two-token lines, the second with spaces of its own."""
+    path = _scratch(spark, "ids")
+    d = tables.table(spark, sf, "documents")
+    d.select(F.concat(F.lit(" "), F.col("doc_id").cast("string"), F.lit("\t name of "), F.col("n_chars").cast("string")).alias("value")).write.text(path)
+    return FI.read_id_map(spark, path)
+
+
+@register(
+    "matrix_roundtrip",
+    """SELECT doc_id AS text_id, CAST(doc_id % 2 AS INTEGER) AS a, CAST(CASE WHEN n_chars % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS b FROM documents""",
+)
+def q_matrix_roundtrip(spark, sf):
+    """Space-delimited matrix lines."""
+    path = _scratch(spark, "matrix")
+    d = tables.table(spark, sf, "documents")
+    cells = [F.col("doc_id").cast("string"), F.lit("generic"), F.lit("gpt"), F.lit("ai"), (F.col("doc_id") % 2).cast("string"), (F.col("n_chars") % 3 == 0).cast("int").cast("string")]
+    d.select(F.concat_ws(" ", *cells).alias("value")).write.text(path)
+    m = FI.read_matrix(spark, path, 2)
+    return m.select(F.col("filename").cast("long").alias("text_id"), F.col("v000001").cast("int").alias("a"), F.col("v000002").cast("int").alias("b"))
+
+
+@register(
+    "results_roundtrip",
+    "SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL",
+)
+def q_results_roundtrip(spark, sf):
+    """Tab-separated results with a header."""
+    path = _scratch(spark, "results")
+    FI.export_results(tables.table(spark, sf, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n")), path)
+    return spark.read.option("header", "true").option("sep", "\t").schema("source string, lang string, n long").csv(path)
 
 
 @register(
     "tagged_roundtrip",
-    f"""WITH toks AS (SELECT lang, unnest(regexp_extract_all(text, {S.q(T.TOKEN_PATTERN)})) AS word FROM documents),
-t AS (SELECT lang, word, {S.tag('word')} AS tag FROM toks),
-l AS (SELECT lang, word, tag, {S.lemma('word', 'tag')} AS lemma FROM t)
-SELECT lang AS folder, tag, count(*) AS n FROM l GROUP BY ALL""",
+    f"""WITH toks AS (SELECT {S.STRATUM} AS folder, unnest(regexp_extract_all(text, {S.q(T.TOKEN_PATTERN)})) AS word FROM documents),
+t AS (SELECT folder, word, {S.tag('word')} AS tag FROM toks),
+l AS (SELECT folder, word, tag, {S.lemma('word', 'tag')} AS lemma FROM t)
+SELECT folder, tag, count(*) AS n FROM l GROUP BY ALL""",
 )
 def q_tagged_roundtrip(spark, sf):
     base = _scratch(spark, "tagged")

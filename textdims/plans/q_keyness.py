@@ -12,10 +12,10 @@ from . import sqlfrag as S
 from .registry import register
 
 CUTOFF_PCT = 3.0
-CEILING = 125
-WEIGHTED = "en"  # the language playing the weighted ("human") stratum
+CEILING = 250  # keywords of a stratum; the weighted one has WEIGHT times as many
+WEIGHTED = "human"
 WEIGHT = 2
-MAX_TOTAL = 300
+MAX_TOTAL = 1000
 
 KEYNESS_OUT = (
     "stratum, lemma, target_count, comparison_count, target_per_1k, comparison_per_1k, expected, ll, pct_diff, status"
@@ -34,7 +34,7 @@ def _keyness(spark, sf):
 
 # keyness with unrounded LL kept for ranking
 _KN_RANKED = f"""{S.presence_cte()},
-sizes AS (SELECT lang AS stratum, count(*) AS size FROM documents GROUP BY lang),
+sizes AS (SELECT {S.STRATUM} AS stratum, count(*) AS size FROM documents GROUP BY 1),
 tot AS (SELECT sum(size) AS n FROM sizes),
 counts AS (SELECT stratum, lemma, count(*) AS a FROM presence GROUP BY stratum, lemma),
 gtot AS (SELECT lemma, sum(a) AS g FROM counts GROUP BY lemma),
@@ -76,7 +76,7 @@ def q_doc_frequency(spark, sf):
 @register(
     "keyness",
     f"""WITH {S.presence_cte()},
-sizes AS (SELECT lang AS stratum, count(*) AS size FROM documents GROUP BY lang),
+sizes AS (SELECT {S.STRATUM} AS stratum, count(*) AS size FROM documents GROUP BY 1),
 tot AS (SELECT sum(size) AS n FROM sizes),
 counts AS (SELECT stratum, lemma, count(*) AS a FROM presence GROUP BY stratum, lemma),
 gtot AS (SELECT lemma, sum(a) AS g FROM counts GROUP BY lemma),
@@ -96,7 +96,7 @@ def q_keyness(spark, sf):
 @register(
     "token_keyness",
     f"""WITH _forms AS (
-  SELECT lang AS stratum, unnest(regexp_extract_all(text, {S.WORD})) AS w FROM documents
+  SELECT {S.STRATUM} AS stratum, unnest(regexp_extract_all(text, {S.WORD})) AS w FROM documents
 ), toks AS (SELECT stratum, lower(w) AS lemma FROM _forms),
 counts AS (SELECT stratum, lemma, count(*) AS a FROM toks GROUP BY stratum, lemma),
 sizes AS (SELECT stratum, sum(a) AS size FROM counts GROUP BY stratum),

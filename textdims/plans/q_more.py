@@ -6,28 +6,30 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as H
+from ..operators import clean as CL
 from ..operators import corpus as CO
 from ..operators import examples as EX
 from ..operators import factors as FA
 from ..operators import lang as LG
 from ..operators import prompts as PR
 from ..operators import tokens as T
+from ..session import materialize
 from ..sources import tables
 from . import sqlfrag as S
-from .q_clean import POSTS_SQL, preview_sql
-from .q_dims import _GROUPS_SQL, _LOAD, CUT, K_FACTORS, _matrix_texts, _stratum_loadings
+from .q_clean import _FENCES, POSTS_SQL, preview_sql
+from .q_dims import _GROUPS_SQL, _LOAD, CUT, K_FACTORS, _loaded, _matrix_texts
 from .registry import register
 
 N_TOP, N_OTHER = EX.N_TOP, EX.N_OTHER
 
 
 def _examples_inputs(spark, sf):
-    t, idx, hits, load = _stratum_loadings(spark, sf)
+    t, idx, hits, load = _loaded(spark, sf)
     prim = FA.assign_loading(load, CUT)
     mt = _matrix_texts(t, hits)
-    scores = FA.factor_scores(mt, hits, prim, K_FACTORS)
+    scores = materialize(FA.factor_scores(mt, hits, prim, K_FACTORS), "factor-scores")
     groups = mt.select("text_id", H.derive_group(H.stratum_source("folder"), H.stratum_prompt("folder"), H.stratum_model("folder")).alias("group"))
-    return t, idx, hits, prim, scores, groups
+    return t, idx, hits, load, prim, scores, groups
 
 
 _EX_SQL = f"""{_LOAD},
@@ -73,34 +75,99 @@ def q_example_labels(spark, sf):
     return e.select("text_id", EX.example_label(F.col("factor"), F.col("pole"), F.col("ex_id")).alias("label"))
 
 
-def _pole_lemmas(prim, idx):
-    return prim.join(idx.select("var", "lemma"), "var").select("factor", "pole", "lemma")
+def _pole_lemmas(load, idx):
+    """Lemmas listed for a pole, primary and secondary ones."""
+    return FA.factor_entries(load, idx.select("var", "lemma"), CUT).select("factor", "pole", F.col("word").alias("lemma"))
 
 
-@register("examples")
+_STOP = ", ".join(S.q(x) for x in EX.HIGHLIGHT_STOPLIST)
+_ANN_SQL = f"""{_EX_SQL},
+apl AS (SELECT DISTINCT factor, pole, word AS lemma FROM ent WHERE word NOT IN ({_STOP})),
+aet AS (SELECT ex.factor, ex.pole, ex.ex_id, ex.text_id, regexp_extract_all(regexp_replace(d.text, '[{{}}\\\\]', '', 'g'), {S.q(T.TOKEN_PATTERN)}) AS ws
+        FROM ex JOIN documents d ON d.doc_id = ex.text_id),
+atk AS (SELECT factor, pole, ex_id, text_id, generate_subscripts(ws, 1) AS pos, unnest(ws) AS word FROM aet),
+amk AS (SELECT atk.*, apl.lemma AS hit, CASE WHEN apl.lemma IS NULL THEN word ELSE '\\textbf{{' || word || '}}' END AS m
+        FROM atk LEFT JOIN apl ON apl.factor = atk.factor AND apl.pole = atk.pole AND apl.lemma = {S.lemma('atk.word', S.tag('atk.word'))}),
+ajn AS (SELECT factor, pole, ex_id, text_id, string_agg(m, ' ' ORDER BY pos) AS t,
+               coalesce(array_to_string(list_sort(list_distinct(list(hit) FILTER (hit IS NOT NULL))), ', '), '') AS matched_lemmas FROM amk GROUP BY ALL),
+arj AS (SELECT * REPLACE (regexp_replace(regexp_replace(regexp_replace(regexp_replace(t,
+  '\\b([A-Za-z]+)\\s+n[''’]t\\b', '\\1n''t', 'g'), '\\s+([,.!?])', '\\1', 'g'), '\\s+"', '"', 'g'), '"\\s+', '"', 'g') AS t) FROM ajn),
+aes AS (SELECT * REPLACE (replace(replace(replace(replace(t, '$', '\\$'), '#', '\\#'), '&', '\\&'), '_', '\\_') AS t) FROM arj),
+ann AS (SELECT factor, pole, ex_id, text_id, array_to_string(list_transform(list_filter(list_transform(string_split(
+    regexp_replace(t, '([.!?])\\s+([A-Z])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> ''),
+    lambda x: regexp_replace(x, '(\\p{{So}})', '{{\\\\EmojiFont \\1}}', 'g')), chr(10)) AS paragraphs, matched_lemmas FROM aes)"""
+
+
+@register("examples", f"WITH {_ANN_SQL} SELECT factor, pole, ex_id, text_id, paragraphs, matched_lemmas FROM ann")
 def q_examples(spark, sf):
-    t, idx, hits, prim, scores, groups = _examples_inputs(spark, sf)
+    t, idx, hits, load, prim, scores, groups = _examples_inputs(spark, sf)
     e = EX.top_examples(scores, groups)
-    return EX.annotate_examples(e, t, _pole_lemmas(prim, idx))
+    a = EX.annotate_examples(e, t, _pole_lemmas(load, idx))
+    return a.select(*[F.col(c).cast("int").alias(c) for c in ("factor", "pole", "ex_id")], "text_id", "paragraphs", "matched_lemmas")
+
 
+BUNDLE_SYSTEM = "You are an expert in register analysis interpreting dimensions of variation."
+BUNDLE_TASK = "Interpret dimension %s, %s pole, from the loadings, the group means and the excerpts below."
+
+
+@register(
+    "plain_examples",
+    f"""WITH {_EX_SQL},
+puw AS (SELECT h.text_id, p.factor, p.pole, count(*) AS n, string_agg(coalesce(i.lemma, h.var), ', ' ORDER BY coalesce(i.lemma, h.var)) AS words
+       FROM hits h JOIN prim p USING (var) LEFT JOIN idx i ON i.var = h.var GROUP BY ALL),
+pd AS (SELECT ex.factor, ex.pole, ex.ex_id, ex.text_id, ex.score, ex.grp, m.folder, d.text, coalesce(u.n, 0) AS n, coalesce(u.words, '') AS words,
+              'f' || ex.factor || '_' || (CASE WHEN ex.pole = 1 THEN 'pos' ELSE 'neg' END) AS label
+       FROM ex JOIN documents d ON d.doc_id = ex.text_id JOIN mt m ON m.text_id = ex.text_id
+       LEFT JOIN puw u ON u.text_id = ex.text_id AND u.factor = ex.factor AND u.pole = ex.pole)
+SELECT factor, pole, ex_id, text_id, 'Text ID: ' || text_id || chr(10) || 'Group: ' || grp || chr(10) || 'Model: ' ||
+       (CASE WHEN folder = 'human' THEN 'human' ELSE lower(string_split(folder, '_')[-1]) END) || chr(10) || 'File:   ' || folder || '/' || text_id || chr(10) || chr(10) ||
+       'Score (' || label || '): ' || score || chr(10) || 'Loading words (' || label || '), N=' || n || ': ' || words || chr(10) || text AS document
+FROM pd""",
+)
+def q_plain_examples(spark, sf):
+    t, idx, hits, load, prim, scores, groups = _examples_inputs(spark, sf)
+    e = EX.top_examples(scores, groups)
+    used = FA.used_words(_matrix_texts(t, hits), hits, prim, idx.select("var", "lemma"), K_FACTORS)
+    shown = t.join(groups, "text_id").select(
+        "text_id", "group", H.stratum_model("folder").alias("model"), F.concat_ws("/", "folder", F.col("text_id").cast("string")).alias("file"), "text"
+    )
+    docs, _ = EX.plain_examples(e, shown, used)
+    return docs.select(*[F.col(c).cast("int").alias(c) for c in ("factor", "pole", "ex_id")], "text_id", "document")
 
-@register("interpretation_bundle")
+
+@register(
+    "interpretation_bundle",
+    f"""WITH {_ANN_SQL},
+buw AS (SELECT h.text_id, p.factor, p.pole, string_agg(coalesce(i.lemma, h.var), ', ' ORDER BY coalesce(i.lemma, h.var)) AS words
+       FROM hits h JOIN prim p USING (var) LEFT JOIN idx i ON i.var = h.var GROUP BY ALL),
+bb AS (SELECT a.factor, a.pole, a.ex_id, CASE WHEN a.pole = 1 THEN 'pos' ELSE 'neg' END AS pn, a.text_id,
+              array_to_string(string_split(a.paragraphs, chr(10))[1:{EX.BUNDLE_LINES}], chr(10)) AS body, coalesce(nullif(u.words, ''), '(none)') AS words
+       FROM ann a LEFT JOIN buw u ON u.text_id = a.text_id AND u.factor = a.factor AND u.pole = a.pole WHERE a.ex_id <= {EX.BUNDLE_EXAMPLES}),
+bk AS (SELECT factor, pole, pn, string_agg(chr(10) || '===== EXCERPT: ' || printf('f%d_%s_%03d', factor, pn, ex_id) || ' (text ID ' || text_id || ') =====' || chr(10) || body ||
+              chr(10) || chr(10) || '--- Loading words for this example (' || pn || '): ' || words || chr(10), chr(10) ORDER BY ex_id) AS blocks FROM bb GROUP BY ALL),
+bl AS (SELECT factor, pole, 'variables loading on this pole = ' || count(*) || chr(10) || string_agg(entry, ', ' ORDER BY -sort_key, word, entry, entry_id) AS loadings FROM ent2 GROUP BY factor, pole),
+bm AS (SELECT factor, array_to_string(list_sort(list(grp || chr(9) || n || chr(9) || printf('%.4f', mean))), chr(10)) AS means
+       FROM (SELECT s.factor, g.grp, count(*) AS n, avg(s.score) AS mean FROM scores s JOIN grp g USING (text_id) GROUP BY ALL) GROUP BY factor)
+SELECT bk.factor, bk.pole, {S.q(BUNDLE_SYSTEM)} || chr(10) || chr(10) || 'Interpret dimension f' || bk.factor || ', ' || pn ||
+       ' pole, from the loadings, the group means and the excerpts below.' || chr(10) || chr(10) || '=== MEAN SOURCE SCORES ===' || chr(10) || coalesce(means, '') || chr(10) ||
+       chr(10) || '=== FACTOR LOADINGS (f' || bk.factor || '_' || pn || ') ===' || chr(10) || coalesce(loadings, '') || chr(10) || chr(10) || '=== EXAMPLE EXCERPTS ===' || chr(10) || blocks AS prompt
+FROM bk LEFT JOIN bl ON bl.factor = bk.factor AND bl.pole = bk.pole LEFT JOIN bm ON bm.factor = bk.factor""",
+)
 def q_interpretation_bundle(spark, sf):
-    t, idx, hits, prim, scores, groups = _examples_inputs(spark, sf)
+    t, idx, hits, load, prim, scores, groups = _examples_inputs(spark, sf)
     e = EX.top_examples(scores, groups)
-    ann = EX.annotate_examples(e, t, _pole_lemmas(prim, idx))
+    ann = EX.annotate_examples(e, t, _pole_lemmas(load, idx))
     used = FA.used_words(_matrix_texts(t, hits), hits, prim, idx.select("var", "lemma"), K_FACTORS)
     exc = ann.join(used, ["text_id", "factor", "pole"], "left").select(
         "factor", "pole", "ex_id", "text_id", F.col("paragraphs").alias("body"), F.coalesce("words", F.lit("")).alias("loading_words")
     )
-    fl = FA.factor_lists(FA.factor_entries(_stratum_loadings(spark, sf)[3], idx.select("var", "lemma"), CUT))
+    fl = FA.factor_lists(FA.factor_entries(load, idx.select("var", "lemma"), CUT))
     lt = fl.select("factor", "pole", F.concat(F.format_string("variables loading on this pole = %d\n", F.col("n_all")), F.col("words")).alias("loadings"))
     means = EX.group_means(scores, groups).groupBy("factor").agg(
-        F.array_join(F.array_sort(F.collect_list(F.format_string("%s\t%d\t%.4f", F.col("group"), F.col("n"), F.col("mean")))), "\n").alias("means")
+        F.array_join(F.array_sort(F.collect_list(F.concat_ws("\t", "group", F.col("n").cast("string"), H.printed("mean", 4)))), "\n").alias("means")
     )
-    system = "You are an expert in register analysis interpreting dimensions of variation."
-    task = "Interpret dimension %s, %s pole, from the loadings, the group means and the excerpts below."
-    return EX.interpretation_bundle(e, exc, lt, means, system, task)
+    b = EX.interpretation_bundle(e, exc, lt, means, BUNDLE_SYSTEM, BUNDLE_TASK)
+    return b.select(F.col("factor").cast("int").alias("factor"), F.col("pole").cast("int").alias("pole"), "prompt")
 
 
 # --- tagging / tokens ---------------------------------------------------------
@@ -167,17 +234,17 @@ def q_wrap_symbols(spark, sf):
 @register(
     "highlight",
     f"""WITH {_EX_SQL},
-pl AS (SELECT p.factor, p.pole, i.lemma FROM prim p JOIN idx i USING (var)
-       WHERE i.lemma NOT IN ({', '.join(S.q(s) for s in EX.HIGHLIGHT_STOPLIST)})),
+pl AS (SELECT DISTINCT factor, pole, word AS lemma FROM ent
+       WHERE word NOT IN ({', '.join(S.q(s) for s in EX.HIGHLIGHT_STOPLIST)})),
 et AS (SELECT ex.factor, ex.pole, ex.ex_id, ex.text_id, d.text FROM ex JOIN documents d ON d.doc_id = ex.text_id),
 w AS (SELECT factor, pole, ex_id, text_id, unnest(regexp_extract_all(regexp_replace(text, '[{{}}\\\\]', '', 'g'), {S.q(T.TOKEN_PATTERN)})) AS word FROM et),
-m AS (SELECT DISTINCT w.factor, w.pole, w.ex_id, w.text_id, lower(w.word) AS lemma FROM w
-      JOIN pl ON pl.factor = w.factor AND pl.pole = w.pole AND pl.lemma = lower(w.word))
+m AS (SELECT DISTINCT w.factor, w.pole, w.ex_id, w.text_id, {S.lemma('w.word', S.tag('w.word'))} AS lemma FROM w
+      JOIN pl ON pl.factor = w.factor AND pl.pole = w.pole AND pl.lemma = {S.lemma('w.word', S.tag('w.word'))})
 SELECT factor, pole, ex_id, text_id, string_agg(lemma, ', ' ORDER BY lemma) AS matched_lemmas FROM m GROUP BY ALL""",
 )
 def q_highlight(spark, sf):
-    t, idx, hits, prim, scores, groups = _examples_inputs(spark, sf)
-    ann = EX.annotate_examples(EX.top_examples(scores, groups), t, _pole_lemmas(prim, idx))
+    t, idx, hits, load, prim, scores, groups = _examples_inputs(spark, sf)
+    ann = EX.annotate_examples(EX.top_examples(scores, groups), t, _pole_lemmas(load, idx))
     return ann.filter(F.col("matched_lemmas") != "").select(
         F.col("factor").cast("int").alias("factor"), F.col("pole").cast("int").alias("pole"), F.col("ex_id").cast("int").alias("ex_id"),
         "text_id", "matched_lemmas",
@@ -200,15 +267,15 @@ _LEN_SQL = """(CASE WHEN wc IS NULL THEN '- Length: 120–500 words.' || chr(10)
 
 
 def _ptexts(spark, sf):
-    """Texts to prompt for: conversation openings keyed by post id; lengths from posts with >= 10 words."""
+    """Texts to prompt for: conversation openings keyed by post id; lengths from the posts."""
     conv = tables.table(spark, sf, "conversations").filter("turn = 0").select(F.col("conv_id").alias("post_id"))
     posts = tables.posts(spark, sf).select(F.col("id").alias("post_id"), H.word_count("selftext").alias("selftext_word_count"))
-    return conv, posts.filter(F.col("selftext_word_count") >= 10)
+    return conv, posts
 
 
 _PT_SQL = f"""{POSTS_SQL},
 conv AS (SELECT conv_id AS post_id FROM conversations WHERE turn = 0),
-pw AS (SELECT id AS post_id, {S.word_count('selftext')} AS wc FROM posts WHERE {S.word_count('selftext')} >= 10),
+pw AS (SELECT id AS post_id, {S.word_count('selftext')} AS wc FROM posts),
 al AS (SELECT c.post_id, pw.wc FROM conv c LEFT JOIN pw USING (post_id))"""
 
 
@@ -241,9 +308,9 @@ def q_attach_summary(spark, sf):
     return PR.attach_summary(conv, _summaries(spark, sf)).select("post_id", "summary")
 
 
-def _prompt_sql(tail):
+def _prompt_sql(tail, user=PR.USER_PROMPT):
     sp = S.q(f"SYSTEM PROMPT:\n{PR.SYSTEM_PROMPT}\n")
-    up = S.q(f"USER PROMPT:\n{PR.USER_PROMPT}")
+    up = S.q(f"USER PROMPT:\n{user}")
     return f"{sp} || {up} || {_LEN_SQL} || chr(10) || {tail} || chr(10)"
 
 
@@ -256,7 +323,7 @@ def q_build_prompt(spark, sf):
 @register(
     "build_prompt_guided",
     f"""WITH {_PT_SQL}, {_SUMMARY_SQL}, g AS (SELECT al.*, su.summary FROM al JOIN su USING (post_id) WHERE su.summary IS NOT NULL AND su.summary <> '')
-SELECT post_id, {_prompt_sql('summary')} AS prompt FROM g""",
+SELECT post_id, {_prompt_sql('summary', PR.GUIDED_PROMPT)} AS prompt FROM g""",
 )
 def q_build_prompt_guided(spark, sf):
     conv, posts = _ptexts(spark, sf)
@@ -294,7 +361,7 @@ def q_rename_by_index(spark, sf):
 FROM prim p LEFT JOIN idx i USING (var)""",
 )
 def q_label_variables(spark, sf):
-    t, idx, hits, prim, *_ = _examples_inputs(spark, sf)
+    t, idx, hits, load, prim, *_ = _examples_inputs(spark, sf)
     lv = PR.label_variables(prim.select("var"), idx)
     return lv.select("var", "word", H.label_text(F.col("word"), F.col("var"), full=True).alias("label_full"))
 
@@ -318,7 +385,13 @@ def _echo_completer(system: str, user: str) -> str:
     return f"{len(system)}:{len(user)}"
 
 
-@register("batch_complete")
+@register(
+    "batch_complete",
+    f"""WITH {_PT_SQL}, b AS (SELECT post_id, {_prompt_sql(S.q(PR.CONSTRAINTS_BLOCK))} AS prompt FROM al),
+sp AS (SELECT post_id, trim(regexp_extract(prompt, 'SYSTEM PROMPT:\\s*((?s).+?)\\nUSER PROMPT:', 1), ' ' || chr(9) || chr(10) || chr(13)) AS s,
+              trim(regexp_extract(prompt, 'USER PROMPT:\\s*((?s).+)', 1), ' ' || chr(9) || chr(10) || chr(13)) AS u FROM b)
+SELECT post_id AS id, CAST(length(s) AS VARCHAR) || ':' || CAST(length(u) AS VARCHAR) AS response, CAST(NULL AS VARCHAR) AS error, CAST(1 AS INTEGER) AS attempts FROM sp""",
+)
 def q_batch_complete(spark, sf):
     conv, posts = _ptexts(spark, sf)
     ok, _ = PR.split_prompts(PR.build_prompt(PR.attach_length(conv, posts), "generic"))
@@ -331,7 +404,7 @@ w3 AS (SELECT id, language, w FROM (SELECT id, language,
         unnest(string_split_regex(trim(regexp_replace(lower(selftext), '\\s+', ' ', 'g')), ' ')) AS w FROM posts WHERE selftext IS NOT NULL) WHERE w <> ''),
 g3 AS (SELECT id, language, substr(' ' || w || ' ', o + 1, 3) AS gram FROM (
         SELECT id, language, w, unnest(generate_series(0, length(w) + 2 - 3)) AS o FROM w3)),
-pc AS (SELECT language AS lang, gram, count(*) AS c FROM g3 WHERE language IS NOT NULL GROUP BY ALL),
+pc AS (SELECT language AS lang, gram, count(*) AS c FROM g3 WHERE language IS NOT NULL AND id % 2 = 0 GROUP BY ALL),
 voc AS (SELECT count(DISTINCT gram) AS v FROM pc),
 lt AS (SELECT lang, sum(c) AS t FROM pc GROUP BY lang),
 prof AS (SELECT pc.lang, pc.gram, ln((pc.c + 1.0) / (CAST(lt.t AS DOUBLE) + voc.v)) AS logp, ln(1.0 / (CAST(lt.t AS DOUBLE) + voc.v)) AS dflt
@@ -344,31 +417,38 @@ sc AS (SELECT nt.id, dl.lang, nt.n * dl.dflt + coalesce(seen.gain, 0.0) AS score
 best AS (SELECT id, arg_min(lang, struct_pack(s := -score, l := lang)) AS language FROM sc GROUP BY id)"""
 
 
+_TRAIN = "id % 2 = 0"
+
+
 @register("detect_language", f"WITH {_LANG_SQL} SELECT p.id, coalesce(b.language, 'unknown') AS language FROM posts p LEFT JOIN best b USING (id)")
 def q_detect_language(spark, sf):
     p = tables.posts(spark, sf)
-    return LG.train_and_detect(p, "id", "selftext", "language")
+    return LG.train_and_detect(p, "id", "selftext", "language", train=_TRAIN)
 
 
 @register(
     "language_accuracy",
     f"""WITH {_LANG_SQL}, d AS (SELECT p.id, p.language AS truth, coalesce(b.language, 'unknown') AS detected FROM posts p LEFT JOIN best b USING (id))
-SELECT truth, count(*) AS n, CAST(sum(CASE WHEN truth = detected THEN 1 ELSE 0 END) AS BIGINT) AS n_correct FROM d GROUP BY truth""",
+SELECT truth, count(*) AS n, CAST(sum(CASE WHEN truth = detected THEN 1 ELSE 0 END) AS BIGINT) AS n_correct FROM d WHERE id % 2 = 1 GROUP BY truth""",
 )
 def q_language_accuracy(spark, sf):
     p = tables.posts(spark, sf)
-    d = LG.train_and_detect(p, "id", "selftext", "language").join(p.select("id", F.col("language").alias("truth")), "id")
+    # trained on one half of the labelled rows, counted on the other
+    d = LG.train_and_detect(p, "id", "selftext", "language", train=_TRAIN).filter(f"NOT ({_TRAIN})").join(p.select("id", F.col("language").alias("truth")), "id")
     return d.groupBy("truth").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("truth") == F.col("language")).cast("long")).alias("n_correct"))
 
 
 # --- corpus size (D9, B20) ---------------------------------------------------------
 @register(
     "corpus_size",
-    f"""WITH d AS (SELECT {tables.folder_sql('lang')} AS folder, 't' || lpad(CAST(doc_id AS VARCHAR), 4, '0') AS name, text FROM documents),
+    f"""WITH {_TOK_SQL},
+tw AS (SELECT text_id, sum(len(list_filter(string_split_regex(line, '\\s+'), lambda x: x <> ''))) AS n FROM (
+       SELECT text_id, word || chr(9) || tag || chr(9) || lemma AS line FROM tl) WHERE regexp_matches(line, '^[A-Za-z]') GROUP BY text_id),
+d AS (SELECT {tables.folder_sql('lang')} AS folder, 't' || lpad(CAST(doc_id AS VARCHAR), 4, '0') AS name, coalesce(n, 0) AS n
+      FROM documents LEFT JOIN tw ON tw.text_id = documents.doc_id),
 c AS (SELECT CASE WHEN folder = 'human' THEN 'human' ELSE 'ai' END AS source, folder AS model,
              CASE WHEN regexp_matches(substr(name, 2, 2), '^[0-9]{{2}}$') THEN substr(name, 2, 2) ELSE 'unknown' END AS season,
-             CAST(coalesce(list_sum(list_transform(list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '^[A-Za-z]')),
-                  lambda l: len(list_filter(string_split_regex(l, '\\s+'), lambda x: x <> '')))), 0) AS BIGINT) AS n_words FROM d),
+             CAST(n AS BIGINT) AS n_words FROM d),
 g AS (SELECT grouping(source, model, season) AS gid, source, model, season, count(*) AS n_texts, CAST(sum(n_words) AS BIGINT) AS n_words
       FROM c GROUP BY GROUPING SETS ((source), (model), (source, model), (season), ()))
 SELECT CASE gid WHEN 3 THEN 'source' WHEN 5 THEN 'model' WHEN 1 THEN 'source/model' WHEN 6 THEN 'season' ELSE 'overall' END AS kind,
@@ -377,7 +457,7 @@ SELECT CASE gid WHEN 3 THEN 'source' WHEN 5 THEN 'model' WHEN 1 THEN 'source/mod
 )
 def q_corpus_size(spark, sf):
     t = tables.texts(spark, sf).withColumn("name", H.zero_pad(F.col("text_id"), 4, "t"))
-    return CO.corpus_size(CO.corpus_texts(t))
+    return CO.corpus_size(CO.corpus_texts(t, words=CO.tagged_words(F.col("text"))))
 
 
 @register(
@@ -392,11 +472,11 @@ def q_derive_season(spark, sf):
 
 @register(
     "preview_outliers",
-    f"WITH {POSTS_SQL} SELECT id, {preview_sql('selftext', 400)} AS preview FROM posts WHERE {S.word_count('selftext')} > 1000",
+    f"WITH {POSTS_SQL}, {_FENCES} SELECT id, {preview_sql('selftext', 400)} AS preview FROM w, g WHERE n_words < lo OR n_words > hi",
 )
 def q_preview_outliers(spark, sf):
-    p = tables.posts(spark, sf)
-    return p.filter(H.word_count("selftext") > 1000).select("id", H.preview("selftext", 400).alias("preview"))
+    p = tables.posts(spark, sf).withColumn("n_words", H.word_count("selftext"))
+    return CL.iqr_outliers(p, "n_words", "selftext", 400).select("id", "preview")
 
 
 # --- remaining inventory items --------------------------------------------------------
@@ -445,11 +525,9 @@ def q_normalize_levels(spark, sf):
     return t.select("text_id", H.normalize_level(F.concat(F.lit("  "), F.upper("folder"), F.lit(" "))).alias("level"))
 
 
-@register("parse_pole_list")
+@register("parse_pole_list", f'WITH {_LOAD} SELECT factor, CAST(pole AS INTEGER) AS pole, word AS item, CAST(fl AS DOUBLE) AS loading, is_primary AS "primary" FROM ent2')
 def q_parse_pole_list(spark, sf):
-    from .q_dims import _stratum_loadings as sl
-
-    _, idx, _, load = sl(spark, sf)
+    _, idx, _, load = _loaded(spark, sf)
     fl = FA.factor_lists(FA.factor_entries(load, idx.select("var", "lemma"), CUT))
     return fl.select("factor", "pole", F.explode(EX.parse_pole_list(F.col("words"))).alias("e")).select("factor", "pole", "e.*")
 

@@ -8,6 +8,7 @@ no back-references; ``regexp_replace`` needs the 'g' flag to replace all.)
 from __future__ import annotations
 
 from ..functions.text import WORD_PATTERN
+from ..sources.tables import folder_sql
 from ..operators.tokens import CONTENT_TAG_PREFIXES, SHORT_WORD_TAG, DEFAULT_TAG, STOP_LEMMAS, SUFFIX_RULES, UNKNOWN_LEMMA
 
 
@@ -16,6 +17,7 @@ def q(s: str) -> str:
 
 
 WORD = q(WORD_PATTERN)
+STRATUM = folder_sql("lang")
 
 
 def word_count(col: str) -> str:
@@ -61,7 +63,7 @@ def presence_cte(name: str = "presence") -> str:
     """CTE (text_id, stratum, lemma): distinct content lemmas per document."""
     return f"""
 _forms AS (
-  SELECT doc_id AS text_id, lang AS stratum, unnest(regexp_extract_all(text, {WORD})) AS w FROM documents
+  SELECT doc_id AS text_id, {STRATUM} AS stratum, unnest(regexp_extract_all(text, {WORD})) AS w FROM documents
 ), _tagged AS (
   SELECT text_id, stratum, w, {tag('w')} AS tg FROM _forms
 ), _lem AS (

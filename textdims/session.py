@@ -71,11 +71,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Tables written by ``materialize`` in this process, for ``release``.
+_WRITTEN: list[str] = []
+
+
 def materialize(df, name: str = "stage"):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor re-reads the files instead of
     recomputing upstream stages) and computes the plan exactly once.
+    ``release`` removes the files once the results that read them are done with.
     """
     import uuid
 
@@ -83,17 +88,14 @@ def materialize(df, name: str = "stage"):
     base = checkpoint_dir(spark).rstrip("/")
     path = f"{base}/textdims/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
-def bounded_broadcast(df, max_rows: int):
-    """``broadcast(df)`` when the table is measured at most ``max_rows`` rows,
-    otherwise the plain DataFrame (Spark then plans a shuffle join).
-
-    Used for tables whose size is bounded by a parameter (keyword cap,
-    factors); the count runs on the already materialised small table.
-    """
-    from pyspark.sql import functions as F
-
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def release(spark: SparkSession) -> None:
+    """Remove every table that ``materialize`` has written so far, and the cache; results that still read them end with that."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)
+    spark.catalog.clearCache()

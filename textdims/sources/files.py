@@ -9,12 +9,15 @@ a column where the method keeps one file per stratum.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import strip
+
 SUBMISSIONS_FILE = "reddit_submissions.ndjson"
 COMMENTS_FILE = "reddit_comments.ndjson"
 
@@ -57,7 +60,12 @@ def _read_ndjson(spark: SparkSession, base: str, file_name: str, schema: T.Struc
         .option("mode", "PERMISSIVE")
         .json(base)
     )
-    return df.withColumn("source_file", F.col("_metadata.file_path"))
+    return df.withColumn("source_file", F.col("_metadata.file_path")).withColumn("source_block", F.col("_metadata.file_block_start")).withColumn("source_row", F.monotonically_increasing_id())
+
+
+#: File and line order of records read by ``read_posts`` or ``read_comments``: numbers of a scan grow along a file
+#: (within a block of it by row, from block to block by the block's start).
+FILE_ORDER = ("source_file", "source_block", "source_row")
 
 
 def read_posts(spark: SparkSession, base: str, schema: T.StructType = SUBMISSION_SCHEMA, file_name: str = SUBMISSIONS_FILE) -> DataFrame:
@@ -127,20 +135,29 @@ def read_corpus(spark: SparkSession, base: str, pattern: str = "*.txt") -> DataF
     """A10: whole-file texts below ``base``: (path, folder, name, text); top folder = stratum."""
     df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(base, wholetext=True)
     path = F.col("_metadata.file_path")
-    root = base.rstrip("/")
-    rel = F.regexp_replace(F.regexp_replace(path, r"^file:", ""), "^" + _re_escape(root) + "/?", "")
+    # names come percent-encoded, below the base as the file system qualifies it
+    decoded = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    qualified = _qualified(spark, base)
+    rel = F.substring(decoded, len(qualified) + 2, 1 << 20)
     return df.select(
-        path.alias("path"),
+        decoded.alias("path"),
         F.element_at(F.split(rel, "/"), 1).alias("folder"),
-        F.regexp_extract(path, r"([^/]+)$", 1).alias("name"),
+        F.regexp_extract(decoded, r"([^/]+)$", 1).alias("name"),
         F.col("value").alias("text"),
     )
 
 
-def _re_escape(s: str) -> str:
-    import re
+def _qualified(spark: SparkSession, base: str) -> str:
+    """``base`` with the scheme and host of its file system, local ones as ``file:/``."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return re.sub("^file:/+", "file:/", fs.makeQualified(p).toString().rstrip("/"))
+
 
-    return re.escape(s)
+def strip_end(c) -> "F.Column":
+    """Text without a final line feed."""
+    return F.regexp_replace(c, r"\n$", "")
 
 
 def export_texts(df: DataFrame, path: str, key: str = "post_id", text_col: str = "selftext", partition_col: str | None = None) -> None:
@@ -161,12 +178,12 @@ def read_tagged(spark: SparkSession, base: str, strict: bool = True) -> tuple[Da
     """
     df = spark.read.option("recursiveFileLookup", "true").text(base).withColumn("path", F.col("_metadata.file_path"))
     if strict:
-        parts = F.split(F.trim(F.col("value")), "\t")
+        parts = F.split(strip(F.col("value")), "\t")
         x = df.select("path", parts.alias("p"))
         ok = x.filter(F.size("p") == 3)
         rej = x.filter(F.size("p") > 3)
     else:
-        parts = F.split(F.trim(F.col("value")), r"\s+")
+        parts = F.split(strip(F.col("value")), r"(?U)\s+")
         x = df.select("path", parts.alias("p"))
         ok = x.filter(F.size("p") >= 3)
         rej = x.limit(0)
@@ -176,18 +193,18 @@ def read_tagged(spark: SparkSession, base: str, strict: bool = True) -> tuple[Da
 
 def read_keywords(spark: SparkSession, path: str) -> DataFrame:
     """Trimmed non-empty lines."""
-    return spark.read.text(path).select(F.trim("value").alias("lemma")).filter(F.col("lemma") != "")
+    return spark.read.text(path).select(strip("value").alias("lemma")).filter(F.col("lemma") != "")
 
 
 def write_keywords(df: DataFrame, path: str, col: str = "lemma") -> None:
-    """Sorted distinct list, one per line."""
-    df.select(col).distinct().orderBy(col).coalesce(1).write.mode("overwrite").text(path)
+    """Sorted distinct list, one per line, in as many files as the sort has parts (in name order)."""
+    df.select(col).distinct().orderBy(col).write.mode("overwrite").text(path)
 
 
 def read_id_map(spark: SparkSession, path: str, key: str = "id", value: str = "name") -> DataFrame:
     """Two-token lines (key, rest)."""
-    p = F.split(F.trim(F.col("value")), r"\s+", 2)
-    return spark.read.text(path).filter(F.trim("value") != "").select(p[0].alias(key), p[1].alias(value))
+    p = F.split(strip("value"), r"(?U)\s+", 2)
+    return spark.read.text(path).filter(strip("value") != "").select(p[0].alias(key), p[1].alias(value))
 
 
 def read_matrix(spark: SparkSession, path: str, n_vars: int) -> DataFrame:

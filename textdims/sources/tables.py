@@ -40,11 +40,11 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """documents -> texts with the language as the stratum (sub-corpus)."""
+    """documents -> texts; the folder (sub-corpus) is the stratum."""
     d = table(spark, sf_dir, "documents")
     return d.select(
         F.col("doc_id").alias("text_id"),
-        F.col("lang").alias("stratum"),
+        folder_of(F.col("lang")).alias("stratum"),
         F.col("source").alias("source"),
         folder_of(F.col("lang")).alias("folder"),
         F.col("text"),
@@ -55,12 +55,12 @@ def folder_of(lang):
     e = F.when(F.lit(False), F.lit(None))
     for k, v in FOLDER_OF_LANG.items():
         e = e.when(lang == k, F.lit(v))
-    return e.otherwise(F.concat(F.lit("other_"), lang))
+    return e.otherwise(F.concat(F.lit("other_"), F.coalesce(lang, F.lit("unknown"))))
 
 
 def folder_sql(col: str = "lang") -> str:
     whens = " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in FOLDER_OF_LANG.items())
-    return f"(CASE {whens} ELSE 'other_' || {col} END)"
+    return f"(CASE {whens} ELSE 'other_' || coalesce({col}, 'unknown') END)"
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:

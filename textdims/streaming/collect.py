@@ -2,8 +2,10 @@
 
 ``stream_collect`` reads NDJSON records as they land (explicit schema),
 normalises them (A3/A4) and appends each micro-batch to the output folder
-through ``foreachBatch`` with a checkpoint, so a restart resumes exactly
-where it stopped; per-batch counts are kept as provenance rows.
+through ``foreachBatch`` with a checkpoint.  A batch has a folder of its own
+(``batch_id=<n>``) and overwrites it, so a batch that is run again after a
+failure leaves no row twice; its count (an observation on the one pass that
+writes it) is kept as a provenance row.
 ``Trigger.AvailableNow`` processes what is there and stops; ``query.stop()``
 cancels between batches (the method's cancel flag).
 
@@ -17,7 +19,7 @@ within that delay.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,18 +52,23 @@ def stream_collect(spark: SparkSession, in_dir: str, out_dir: str, checkpoint: s
     raw = reader.json(in_dir)
     norm = normalize_submission(raw) if kind == "submission" else normalize_comment(raw)
 
-    def write_batch(batch: DataFrame, epoch_id: int):
-        b = batch.withColumn("batch_id", F.lit(epoch_id).cast("long"))
-        b.write.mode("append").parquet(f"{out_dir}/rows")
-        batch.sparkSession.createDataFrame(
-            [(epoch_id,)], "batch_id long"
-        ).withColumn("rows", F.lit(batch.count()).cast("long")).write.mode("append").parquet(f"{out_dir}/provenance")
-
-    w = norm.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = norm.writeStream.foreachBatch(batch_writer(out_dir)).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()
 
 
+def batch_writer(out_dir: str):
+    """Writes a micro-batch and its count; the same batch number replaces what it wrote before."""
+
+    def write_batch(batch: DataFrame, epoch_id: int):
+        seen = Observation()
+        batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{out_dir}/rows/batch_id={epoch_id}")
+        counts = batch.sparkSession.createDataFrame([(int(seen.get["rows"]),)], "rows long")
+        counts.write.mode("overwrite").parquet(f"{out_dir}/provenance/batch_id={epoch_id}")
+
+    return write_batch
+
+
 def stream_first_seen(df: DataFrame, text_col: str = "selftext", min_words: int = 10, id_col: str = "id",
                       dedup_watermark: str | None = None, ts_col: str = "created_utc") -> DataFrame:
     """K2: drop blank and short posts and replayed ids in a stream."""
@@ -76,6 +83,6 @@ def run_counts(out_dir: str, spark: SparkSession) -> DataFrame:
     """Running totals of rows appended, per micro-batch."""
     from pyspark.sql import Window
 
-    p = spark.read.parquet(f"{out_dir}/provenance")
+    p = spark.read.parquet(f"{out_dir}/provenance").select(F.col("batch_id").cast("long").alias("batch_id"), "rows")
     w = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
     return p.withColumn("running_rows", F.sum("rows").over(w))
