@@ -60,7 +60,7 @@ def literal_loadings(idx):
     secondary and tied loadings by a rule on the variable number, so that any
     factor analysis' table can take its place."""
     f = F.explode(F.sequence(F.lit(1), F.lit(K_FACTORS))).alias("factor")
-    n = F.pmod(F.col("idx") * (F.lit(5) + F.col("factor") * 12), F.lit(41)) - 20
+    n = F.pmod(F.col("idx") * (F.lit(3) + F.col("factor") * 7), F.lit(41)) - 20
     return idx.select("var", "idx", f).select("var", F.col("factor").cast("int").alias("factor"), (n / F.lit(25.0)).alias("loading"))
 
 
@@ -146,7 +146,7 @@ load AS (
 
 _LOAD = f"""{_VOCAB},
 load AS (
-  SELECT var, CAST(f AS INTEGER) AS factor, ((idx * (5 + f * 12)) % 41 - 20) / 25.0 AS loading
+  SELECT var, CAST(f AS INTEGER) AS factor, ((idx * (3 + f * 7)) % 41 - 20) / 25.0 AS loading
   FROM idx CROSS JOIN (SELECT unnest(range(1, {K_FACTORS + 1})) AS f)),
 mxl AS (SELECT var, max(abs(loading)) AS mx FROM load GROUP BY var),
 tops AS (SELECT l.var, l.factor, l.loading FROM load l JOIN mxl m ON l.var = m.var AND abs(l.loading) = m.mx),

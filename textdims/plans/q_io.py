@@ -140,10 +140,10 @@ def q_corpus_roundtrip(spark, sf):
     FI.export_texts(tables.texts(spark, sf), f"{base}/parquet", key="text_id", text_col="text", partition_col="folder")
     out = spark.read.parquet(f"{base}/parquet")
     # a text per line for the reader, in folders with a space in their name
-    out.select(F.concat(F.lit("sub "), "folder").alias("part"), F.base64(F.col("text").cast("binary")).alias("value")).repartition(4, "part").write.partitionBy("part").text(f"{base}/texts")
+    out.select(F.concat(F.lit("sub "), "folder").alias("part"), F.hex(F.col("text").cast("binary")).alias("value")).repartition(4, "part").write.partitionBy("part").text(f"{base}/texts")
     whole = FI.read_corpus(spark, f"{base}/texts")
     line = whole.select(F.regexp_replace("folder", "^part=sub ", "").alias("folder"), F.explode(F.split(FI.strip_end("text"), "\n")).alias("line"))
-    text = F.unbase64(F.regexp_replace("line", "\r", "")).cast("string")
+    text = F.unhex("line").cast("string")
     return line.groupBy("folder").agg(F.count(F.lit(1)).alias("n_texts"), F.sum(F.length(text)).alias("n_chars"))
 
 
