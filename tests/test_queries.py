@@ -11,7 +11,9 @@ from textdims.sources.tables import TABLES
 from .conftest import SF_SMALL
 
 FAST = ["keyness", "quota_topk", "clean_posts", "duplicate_report", "exact_dedup", "describe", "iqr_filter", "listing_limit",
-        "cap_comments", "anova", "box_stats", "corpus_size", "normalize_template", "match_terms", "seq_ids", "tag_tokens"]
+        "cap_comments", "anova", "box_stats", "corpus_size", "normalize_template", "match_terms", "seq_ids", "tag_tokens",
+        "box_outliers", "stage_report", "communalities", "run_counts", "comments_roundtrip", "corpus_roundtrip", "id_map_roundtrip", "matrix_roundtrip",
+        "results_roundtrip", "near_dup_members", "build_prompt_guided", "merge_columns"]
 
 
 def _norm(v):
