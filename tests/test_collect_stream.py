@@ -123,3 +123,18 @@ def test_first_in_file_and_line_order_stays(spark):
             f.writelines(json.dumps({"id": i, "selftext": t}) + "\n" for i, t in rows)
     posts = FI.read_posts(spark, base)
     assert sorted(r.id for r in C.exact_dedup(posts, "selftext", FI.FILE_ORDER).collect()) == ["b", "y", "z"]
+
+
+def test_first_seen_is_never_late(spark):
+    """Posts spread over more than the delay, newest files first, each file replayed at once and all of them at the end."""
+    base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+    os.makedirs(f"{base}/in")
+    files = [range(k * 10, k * 10 + 10) for k in (3, 3, 2, 1, 1, 0, 3, 2, 1, 0)]
+    for at, ids in enumerate(files):
+        with open(f"{base}/in/{at}.json", "w") as f:
+            f.writelines(json.dumps({"id": str(i), "created_utc": 1.7e9 + i * 86400, "selftext": "word " * 12}) + "\n" for i in ids)
+        os.utime(f"{base}/in/{at}.json", (1.7e9 + at, 1.7e9 + at))
+    stream = spark.readStream.schema(ST.RAW_SUBMISSION_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{base}/in")
+    s = ST.stream_first_seen(stream, dedup_watermark="1 hour").select("id")
+    s.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(int(r.id) for r in spark.read.parquet(f"{base}/out").collect()) == list(range(40))

@@ -12,9 +12,10 @@ cancels between batches (the method's cancel flag).
 ``stream_first_seen`` is the incremental form of the cleaning head: blank
 and short posts dropped, replayed ids dropped.  Exact de-duplication keeps
 every seen id in the state store (state grows with distinct ids); with
-``dedup_watermark`` the state is bounded by event time instead
-(``dropDuplicatesWithinWatermark``), which is exact for replays that arrive
-within that delay.
+``dedup_watermark`` the state is bounded by arrival instead
+(``dropDuplicatesWithinWatermark`` on the time of the micro-batch), which is
+exact for replays that arrive within that delay.  The time of a post plays no
+part, so a post is never late however old it is and whatever the order of the files.
 """
 
 from __future__ import annotations
@@ -70,12 +71,13 @@ def batch_writer(out_dir: str):
 
 
 def stream_first_seen(df: DataFrame, text_col: str = "selftext", min_words: int = 10, id_col: str = "id",
-                      dedup_watermark: str | None = None, ts_col: str = "created_utc") -> DataFrame:
-    """K2: drop blank and short posts and replayed ids in a stream."""
+                      dedup_watermark: str | None = None) -> DataFrame:
+    """K2: drop blank and short posts and replayed ids in a stream; ``dedup_watermark``: the longest interval between a post and its replay."""
     s = df.filter(~H.is_blank(text_col)).filter(H.word_count(text_col) >= min_words)
     if dedup_watermark:
-        s = s.withColumn("_event_time", F.timestamp_seconds(F.col(ts_col))).withWatermark("_event_time", dedup_watermark)
-        return s.dropDuplicatesWithinWatermark([id_col]).drop("_event_time")
+        # in a stream this is the time of the micro-batch, the same when a batch is run again
+        s = s.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", dedup_watermark)
+        return s.dropDuplicatesWithinWatermark([id_col]).drop("_arrived")
     return s.dropDuplicates([id_col])
 
 
