@@ -58,3 +58,11 @@ def test_drop_copies_keeps_columns_and_largest(spark):
     out = exact_dedup.drop_copies(df)
     assert out.columns == df.columns
     assert sorted(str(r["doc_id"]) for r in out.collect()) == ["2", "9", "None"]
+
+
+def test_drop_copies_leaves_one_of_repeated_rows(spark):
+    twice = [(1, "own"), (3, "copy"), (2, "COPY"), (None, "no id"), (None, "NO id"), (None, None), (None, "")]
+    df = docs(spark, twice * 2 + [(4, "once"), (3, "another of that id")])
+    out = exact_dedup.drop_copies(df)
+    assert out.columns == df.columns
+    assert sorted(((r["doc_id"], lower(r["text"])) for r in out.collect()), key=str) == sorted([(1, "own"), (3, "copy"), (None, "no id"), (None, ""), (4, "once"), (3, "another of that id")], key=str)

@@ -124,3 +124,14 @@ def test_one_of_each_group_stays(spark):
     assert out.columns == df.columns
     assert sorted(r["doc_id"] for r in out.collect()) == [i for i in range(90) if i % 3 or i == 0]
     assert simhash.drop_near_copies(docs(spark, [])).count() == 0
+
+
+def test_one_of_repeated_rows_stays(spark):
+    rng = random.Random(8)
+    a, b, c, d = (words(rng, 60) for _ in range(4))
+    twice = [(1, a), (2, a), (None, b), (None, c), (5, d)]
+    df = docs(spark, twice * 2 + [(1, a.upper()), (5, d.upper()), (5, c + " more " + b)])
+    out = simhash.drop_near_copies(df)
+    assert out.columns == df.columns
+    # texts that share an id are told apart, components without ids too
+    assert sorted(((r["doc_id"], r["text"].lower()) for r in out.collect()), key=str) == sorted([(1, a), (None, b), (None, c), (5, d), (5, c + " more " + b)], key=str)

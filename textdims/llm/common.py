@@ -37,6 +37,16 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str = "doc_id", text_col:
     return docs.join(left, same, "left_anti")
 
 
+def one_of_repeats(docs: DataFrame, repeats: DataFrame, same: Column) -> DataFrame:
+    """The rows of ``docs`` that match ``repeats`` (__id, __key; each once) by ``same``, one row of each match.
+
+    The rows are numbered in a written table, so that the choice is the same whenever it is read.
+    """
+    rows = cut(docs.join(repeats, same).withColumn("__row", F.monotonically_increasing_id()))
+    first = rows.groupBy("__id", "__key").agg(F.min("__row").alias("__row")).select("__row")
+    return rows.join(first, "__row", "left_semi").drop("__id", "__key", "__row")
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound Arrow batches in rows and bytes unless the session says otherwise."""
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):

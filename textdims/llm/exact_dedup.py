@@ -15,7 +15,7 @@ checkpoint folder, with the text of open groups only.
 
 Defined cases: a null text is empty; empty texts are equal to each other; a
 null id ranks below every other id and rows that share the largest id of their
-group all stay; repeated rows are counted each; an empty table gives no rows;
+group are all marked as kept (``drop_copies`` leaves one of them); repeated rows are counted each; an empty table gives no rows;
 other columns of the input are not read.
 """
 
@@ -26,7 +26,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_and_text
+from .common import cut, id_and_text, one_of_repeats
 
 #: Bytes in the digit of each round; the last repeats until every group has ended.
 DIGITS = (64, 1 << 10, 1 << 14, 1 << 18, 1 << 22)
@@ -72,7 +72,17 @@ def dedup_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with all its columns, without the rows that are copies of a later one."""
-    gone = dedup_groups(docs, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
+    """``docs`` with all its columns, one row of each group: the largest id, and any one of the rows that share it."""
+    copies = dedup_groups(docs, id_col, text_col).filter("group_size > 1").groupBy(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__key"))
+    copies = cut(copies.agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("n")))
     norm = ascii_lower(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(gone["__id"]) & (F.sha2(norm.cast("binary"), 256) == gone["__sha"]), "left_anti")
+
+    def same(side):
+        return docs[id_col].cast("long").eqNullSafe(side["__id"]) & (F.sha2(norm.cast("binary"), 256) == side["__key"])
+
+    gone = copies.filter("not kept or n > 1").select("__id", "__key")
+    repeats = copies.filter("kept and n > 1").select("__id", "__key")
+    rest = docs.join(gone, same(gone), "left_anti")
+    if repeats.isEmpty():
+        return rest
+    return rest.unionAll(one_of_repeats(docs, repeats, same(repeats)))

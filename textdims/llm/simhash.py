@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_and_text, map_arrow, text_key, without
+from .common import cut, id_and_text, map_arrow, one_of_repeats, text_key
 from .components import components
 
 SHINGLE = 3
@@ -180,15 +180,36 @@ def links(distinct: DataFrame, bucket: int = BUCKET, max_bits: int = MAX_BITS) -
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS, bucket: int = BUCKET) -> DataFrame:
     """doc_id, key, fp, component_id (smallest doc_id reachable over links, itself included)."""
+    return _rooted_groups(docs, id_col, text_col, shingle, max_bits, bucket).drop("root")
+
+
+def _rooted_groups(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int, bucket: int) -> DataFrame:
+    """``near_groups`` with the root of the component: components can share their smallest doc_id."""
     rows = cut(fingerprints(docs, id_col, text_col, shingle))
     distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(distinct, bucket, max_bits)).select(F.col("id").alias("fp"), "root")
     member = distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = cut(member.join(least, "root").select("fp", "component_id"))
-    return rows.join(classes, "fp").select("doc_id", "key", "fp", "component_id")
+    classes = cut(member.join(least, "root").select("fp", "component_id", "root"))
+    return rows.join(classes, "fp").select("doc_id", "key", "fp", "component_id", "root")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with all its columns, one document (the smallest id) of each component."""
-    return without(docs, near_groups(docs, id_col, text_col, shingle, max_bits).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))), id_col, text_col)
+    """``docs`` with all its columns, one row of each component: the smallest id, and any one of the rows that share it."""
+    groups = cut(_rooted_groups(docs, id_col, text_col, shingle, max_bits, BUCKET))
+    least = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    # of the texts that share the smallest id of a component, that of the least key
+    firsts = groups.filter(least).groupBy("root", F.col("doc_id").alias("__id"), F.col("key").alias("__key")).agg(F.count(F.lit(1)).alias("n"))
+    stays = firsts.groupBy("root").agg(F.min("__key").alias("stays"))
+    firsts = firsts.join(stays, "root").withColumn("kept", F.col("__key") == F.col("stays")).filter("not kept or n > 1")
+    later = groups.filter(~least).select(F.col("doc_id").alias("__id"), F.col("key").alias("__key")).distinct()
+    rows = cut(firsts.select("__id", "__key", "kept").unionAll(later.withColumn("kept", F.lit(False))))
+
+    def same(side):
+        return docs[id_col].cast("long").eqNullSafe(side["__id"]) & (text_key(docs[text_col]) == side["__key"])
+
+    gone, repeats = rows.select("__id", "__key"), rows.filter("kept").select("__id", "__key")
+    rest = docs.join(gone, same(gone), "left_anti")
+    if repeats.isEmpty():
+        return rest
+    return rest.unionAll(one_of_repeats(docs, repeats, same(repeats)))
