@@ -75,3 +75,19 @@ def test_query_on_whole_table(spark):
 
 def test_empty_table(spark):
     assert s.find_secrets(docs(spark, [])).count() == 0
+
+
+def test_secrets_beside_foreign_signs_and_base_spans():
+    rng = random.Random(14)
+    letters = s.ENCODINGS["base62"]
+    hits = {"path": 0, "id": 0, "hook": 0, "short": 0}
+    for _ in range(100):
+        key, short, digest = "".join(rng.choices(letters, k=32)), "".join(rng.choices(letters, k=17)), "".join(rng.choices("0123456789abcdef", k=32))
+        for name, text, secret in (("path", f"get /api-v1/{key} now", key), ("id", f"key_id/{key}", key), ("hook", f"/hook/{digest}/{key}", key), ("short", f"see {short} there", short)):
+            at = text.index(secret)
+            found = s.scan(text)
+            hits[name] += any(k == 3 and a <= at and at + len(secret) <= b for a, k, b in found)
+            random_ = [(a, b) for a, k, b in found if k == 3]
+            assert all(b <= c for (_, b), (c, _) in zip(random_, random_[1:]))
+    assert min(hits.values()) >= 90, hits
+    assert [x for x in s.scan("/usr-local/share_of/applications-and/mime_types key_id/configuration-manager/factoryBean") if x[1] == 3] == []

@@ -2,17 +2,19 @@
 
 Base patterns (kinds assign, access, hex) mark their spans whatever the tests say.
 
-Battery: every maximal run of at least ``SHORTEST`` token characters outside
-the base spans is tried under each encoding whose alphabet holds it (decimal
-numbers are no secrets).  Under the encoding, as if the characters were drawn
-evenly and independently, it must pass a chi-squared test of the alphabet's
+Battery: outside the base spans, the text is cut into the maximal runs of each
+encoding's alphabet.  Every run of at least ``SHORTEST`` characters (below that no
+outcome of the runs test is rare enough to reject) is tried under the smallest
+alphabets that hold it (decimal numbers are no secrets).  Under the encoding, as if
+the characters were drawn evenly and independently, it must pass a chi-squared test of the alphabet's
 uniformity, a runs test above and below the alphabet's middle, and a test of serial
 correlation.  Then the token is held against ordinary structured text: a fixed
 model of letter, digit and sign classes that follow one another.  The ratio of the two
 likelihoods is an e-value for "structured", so its inverse bounds the chance
 that a structured token looks this random; it falls with the length, so long tokens
 can show more than short ones.  Within a document the Benjamini-Hochberg
-procedure, with weights by length, keeps the false discoveries at ``RATE``.
+procedure, with weights by length, keeps the false discoveries at ``RATE``.  Runs of
+different encodings overlap; discoveries that do are one span.
 
 Spans are in code points, end exclusive.  Defined cases: a null text is empty;
 an empty text has no spans; null ids and repeated rows are scanned like any other;
@@ -39,9 +41,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 
-#: Tokens that the battery looks at, and its error rates.
-SHORTEST, ALPHA, RATE = 20, 1e-4, 1e-3
-_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}={{0,2}}")
+#: Error rates of the battery, and the least length at which each of its tests can reject: n characters on
+#: one side of the middle have a chance of 2 ** (1 - n); the other two tests reject shorter ones.
+ALPHA, RATE = 1e-4, 1e-3
+SHORTEST = 1 + math.ceil(-math.log2(ALPHA))
+_CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{SHORTEST},}}")
+_PADDING = re.compile("={0,2}")
 # the same runs as HEX with their least length, found without stopping at each short one
 _LONG_HEX = re.compile(rf"[0-9a-f]{{{HEX_LEAST},}}")
 
@@ -57,6 +62,7 @@ ENCODINGS = {
     "base64": _UPPER + _LOWER + _DIGITS + "+/",
     "base64url": _UPPER + _LOWER + _DIGITS + "-_",
 }
+_RUNS = [re.compile(rf"[{re.escape(letters)}]{{{SHORTEST},}}") for letters in ENCODINGS.values()]
 
 
 def base_spans(text: str) -> Iterator[tuple[int, int, int]]:
@@ -161,18 +167,27 @@ def discoveries(tokens: list[tuple[float, int]], rate: float = RATE) -> list[boo
     return out.tolist()
 
 
+def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """(start, end) of the maximal runs of each encoding outside the base spans, with their padding."""
+    found, at = set(), 0
+    for a, b in [*sorted((a, b) for a, _, b in base), (len(text), len(text))]:
+        for m in _CANDIDATE.finditer(text, at, max(at, a)):
+            for run in _RUNS:
+                found.update((x.start(), _PADDING.match(text, x.end(), a).end()) for x in run.finditer(text, *m.span()))
+        at = max(at, b)
+    return sorted(found)
+
+
 def random_spans(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
-    covered = sorted((a, b) for a, _, b in base)
-    found, at = [], 0
-    for m in _CANDIDATE.finditer(text):
-        a, b = m.span()
-        while at < len(covered) and covered[at][1] <= a:
-            at += 1
-        if not any(c < b and a < d for c, d in covered[at:]):
-            found.append((a, b, randomness(m[0])))
+    found = [(a, b, randomness(text[a:b])) for a, b in candidates(text, base)]
+    spans: list[list[int]] = []
     for (a, b, _), ok in zip(found, discoveries([(p, b - a) for a, b, p in found]), strict=True):
-        if ok:
-            yield a, 3, b
+        if ok and spans and a < spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], b)
+        elif ok:
+            spans.append([a, b])
+    for a, b in spans:
+        yield a, 3, b
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
