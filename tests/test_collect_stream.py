@@ -1,5 +1,6 @@
 """Collector-side operators, modeled on the reference's offline collect test, plus stream = batch."""
 
+import gzip
 import json
 import os
 import tempfile
@@ -138,3 +139,19 @@ def test_first_seen_is_never_late(spark):
     s = ST.stream_first_seen(stream, dedup_watermark="1 hour").select("id")
     s.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start().awaitTermination()
     assert sorted(int(r.id) for r in spark.read.parquet(f"{base}/out").collect()) == list(range(40))
+
+
+def test_corpus_files_are_bounded(spark, tmp_path, monkeypatch):
+    """A folder of many texts lies in many files, none with more than a small part of it."""
+    from textdims.plans import q_io
+
+    sf = str(tmp_path / "sf")
+    rows = [(i, "word " * 100, "en" if i % 3 else "de") for i in range(600)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("source", F.lit("s")).write.parquet(f"{sf}/documents.parquet")
+    monkeypatch.setattr(FI, "CORPUS_FILE_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(q_io, "_scratch", lambda spark, name: str(tmp_path / name))
+    got = {(r.folder, r.n_texts, r.n_chars) for r in q_io.q_corpus_roundtrip(spark, sf).collect()}
+    assert got == {("human", 400, 200_000), ("generic_gpt", 200, 100_000)}
+    files = (tmp_path / "corpus dir/texts").rglob("part-*")
+    sizes = [len(gzip.decompress(p.read_bytes()) if p.suffix == ".gz" else p.read_bytes()) for p in files]
+    assert sum(sizes) >= 600_000 and max(sizes) <= 40_000

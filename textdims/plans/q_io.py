@@ -135,13 +135,13 @@ def q_comments_roundtrip(spark, sf):
     f"""SELECT {S.STRATUM} AS folder, count(*) AS n_texts, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents GROUP BY 1""",
 )
 def q_corpus_roundtrip(spark, sf):
-    """A11 + A10: texts exported by folder, written as one file each task, read back with their folder."""
+    """A11 + A10: texts exported by folder, written as files of bounded bytes, read back with their folder."""
     base = _scratch(spark, "corpus dir")
     FI.export_texts(tables.texts(spark, sf), f"{base}/parquet", key="text_id", text_col="text", partition_col="folder")
     out = spark.read.parquet(f"{base}/parquet")
     # a text per line for the reader, in folders with a space in their name
-    out.select(F.concat(F.lit("sub "), "folder").alias("part"), F.hex(F.col("text").cast("binary")).alias("value")).repartition(4, "part").write.partitionBy("part").text(f"{base}/texts")
-    whole = FI.read_corpus(spark, f"{base}/texts")
+    FI.export_corpus(out.select(F.concat(F.lit("sub "), "folder").alias("part"), "name", "text"), f"{base}/texts", F.hex(F.col("text").cast("binary")))
+    whole = FI.read_corpus(spark, f"{base}/texts", "*.txt.gz")
     line = whole.select(F.regexp_replace("folder", "^part=sub ", "").alias("folder"), F.explode(F.split(FI.strip_end("text"), "\n")).alias("line"))
     text = F.unhex("line").cast("string")
     return line.groupBy("folder").agg(F.count(F.lit(1)).alias("n_texts"), F.sum(F.length(text)).alias("n_chars"))

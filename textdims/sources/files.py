@@ -12,7 +12,7 @@ import datetime as _dt
 import re
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,6 +170,21 @@ def export_texts(df: DataFrame, path: str, key: str = "post_id", text_col: str =
     w.parquet(path)
 
 
+#: Bytes of text in one file of ``export_corpus``, unpacked, on average at most.
+CORPUS_FILE_BYTES = 16 << 20
+
+
+def export_corpus(df: DataFrame, path: str, line: Column, folder: str = "part", key: str = "name") -> None:
+    """Lines in gzipped text files by folder, for ``read_corpus``: a folder is dealt by ``key`` to as many files as the bytes of all lines need.
+
+    ``line`` is made after the rows are dealt.
+    """
+    size = df.agg(F.sum(F.octet_length(line).cast("long") + 1)).first()[0] or 0
+    n = max(1, -(-size // CORPUS_FILE_BYTES))
+    dealt = df.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(n))).repartition(folder, "salt")
+    dealt.select(folder, "salt", line.alias("value")).write.partitionBy(folder, "salt").option("compression", "gzip").text(path)
+
+
 def read_tagged(spark: SparkSession, base: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """Tab-separated word/tag/lemma lines -> (tokens, rejects).
 
