@@ -103,3 +103,20 @@ def test_match_rule_of_the_matrix(spark):
     raw = sorted((r.text_id, r.var) for r in M.text_keyword_hits(texts, index).collect())
     low = sorted((r.text_id, r.var) for r in M.text_keyword_hits(texts, index, match="lower").collect())
     assert raw == [(1, "v000001"), (1, "v000002"), (2, "v000002")] and low == [(1, "v000001"), (2, "v000001")]
+
+
+def test_wide_export_has_every_variable(spark, monkeypatch):
+    """The registered export holds all variables in groups, with the flags of the hit table."""
+    from textdims.operators import matrix
+    from textdims.plans import QUERIES
+
+    from .conftest import SF_SMALL
+
+    monkeypatch.setattr(matrix.merge_column_groups, "__defaults__", (40,))
+    hits = {(r.text_id, r.var) for r in QUERIES["keyword_matrix"](spark, SF_SMALL).collect()}
+    names = [r.var for r in QUERIES["keyword_index"](spark, SF_SMALL).orderBy("idx").collect()]
+    rows = {(r.text_id, r.group): r.flags for r in QUERIES["merge_column_groups"](spark, SF_SMALL).collect()}
+    groups = range(1, -(-len(names) // 40) + 1)
+    assert len(names) > 50 and set(rows) == {(i, g) for i, _ in hits for g in groups}
+    got = {(i, names[(g - 1) * 40 + k]) for (i, g), flags in rows.items() for k, x in enumerate(flags) if x}
+    assert got == hits and all(sum(len(rows[i, g]) for g in groups) == len(names) for i, _ in hits)

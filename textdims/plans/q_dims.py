@@ -210,6 +210,23 @@ def q_merge_columns(spark, sf):
     return M.merge_columns(_matrix_texts(t, hits), hits, idx, 1, WIDE)
 
 
+@register(
+    "merge_column_groups",
+    f"""WITH {_VOCAB}
+SELECT mt.text_id, CAST((i.idx - 1) // {M.EXPORT_COLUMNS} + 1 AS INTEGER) AS "group",
+       list(CASE WHEN h.text_id IS NULL THEN 0 ELSE 1 END ORDER BY i.idx) AS flags
+FROM mt CROSS JOIN idx i LEFT JOIN hits h ON h.text_id = mt.text_id AND h.idx = i.idx GROUP BY ALL""",
+)
+def q_merge_column_groups(spark, sf):
+    """C10 whole: the 0/1 flags of all variables, one row for each text and group of ``EXPORT_COLUMNS`` variables."""
+    t, idx, hits = _hits(spark, sf)
+    texts = materialize(_matrix_texts(t, hits).select("text_id"), "matrix-texts")
+    out = texts.select("text_id", F.lit(0).alias("group"), F.array().cast("array<int>").alias("flags")).limit(0)
+    for k, wide in enumerate(M.merge_column_groups(texts, hits, idx), 1):
+        out = out.unionAll(wide.select("text_id", F.lit(k).alias("group"), F.array(*wide.columns[1:]).alias("flags")))
+    return out
+
+
 @register("cooccurrence", f"WITH {_PAIRS} SELECT var_i, var_j, n11, n10, n01, n00 FROM pairs")
 def q_cooccurrence(spark, sf):
     return _pairs(spark, sf)[1]
