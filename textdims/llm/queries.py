@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, language_id, line_dedup, quality, secret_scan, simhash, token_counts, toxicity
+from . import bpe, conversation_repair, decontaminate, exact_dedup, language_id, line_dedup, quality, secret_scan, simhash, token_counts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,84 @@ _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_windows(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.hit_counts(found)
+
+
+def damage(conversations: DataFrame) -> DataFrame:
+    """``conversations`` with about a quarter of its turns dropped, emptied, stripped of their ends, repeated or given to the user."""
+    none = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), none), F.lit(":"), F.coalesce(F.col("turn").cast("string"), none))
+    how = F.crc32(key.cast("binary")) % 20
+    text = F.coalesce(F.col("text").cast("string"), none)
+    rows = conversations.select(
+        "conv_id",
+        "turn",
+        F.when(how == 4, "user").otherwise(F.coalesce(F.col("role").cast("string"), none)).alias("role"),
+        F.when(how == 1, "").when(how == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.when(how == 0, 0).when(how == 3, 2).otherwise(1).alias("copies"),
+    )
+    return rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).drop("copy", "copies")
+
+
+_CRC32 = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length({key}) + 1), lambda i: CAST(ord({key}[i]) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+
+def _edit(cost: str, letter: str, after: str) -> str:
+    """Cost and audit as one string that sorts by both: ten digits, a colon, the letters."""
+    return f"(lpad(CAST(CAST(substr({after}, 1, 10) AS BIGINT) + {cost} AS VARCHAR), 10, '0') || ':{letter}' || substr({after}, 12))"
+
+
+def _step(state: str, follows: str, role: str, first: str = "") -> str:
+    """The best way on from a state without an insertion before the turn."""
+    return f"""least({_edit("2", "D", state)}, CASE WHEN NOT gone AND i = '{role}' THEN {_edit("more", "K", follows)} END,
+        {first}CASE WHEN NOT gone THEN {_edit("more + 1", "R", follows)} END)"""
+
+
+_FIRST_SYSTEM = f"CASE WHEN NOT gone AND i = 's' THEN {_edit('more', 'K', 'vs')} END, "
+
+_REPAIR_SQL = rf"""
+    WITH RECURSIVE h AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {_CRC32.format(key="(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS how FROM conversations),
+    r AS (SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+                 CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                 unnest(range(CASE how WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h),
+    o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS k FROM r),
+    f AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b'
+                         WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'd'
+                         WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS fault,
+                    substr(role, 1, 1) AS i, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY k) AS i0 FROM o),
+    n AS (SELECT *, fault IN ('b', 'd') AS gone, CASE fault WHEN 't' THEN 5 ELSE 0 END AS more FROM f),
+    c AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                 count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+                 count(*) FILTER (i0 IS NOT NULL AND i0 || i NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+    v AS (SELECT conv_id, n + 1 AS k, '0000000000:' AS v0, '0000000010:II' AS vs, '0000000005:I' AS vu, '0000000000:' AS va FROM c
+          UNION ALL
+          SELECT conv_id, k, least(b0, {_edit("5", "I", f"least(bu, {_edit('5', 'I', 'ba')})")}), least(bs, {_edit("5", "I", f"least(bu, {_edit('5', 'I', 'ba')})")}),
+                 least(bu, {_edit("5", "I", "ba")}), least(ba, {_edit("5", "I", "bu")})
+          FROM (SELECT n.conv_id, n.k, {_step("v0", "vu", "u", _FIRST_SYSTEM)} AS b0, {_step("vs", "vu", "u")} AS bs,
+                       {_step("vu", "va", "a")} AS bu, {_step("va", "vu", "u")} AS ba
+                FROM v JOIN n ON n.conv_id IS NOT DISTINCT FROM v.conv_id AND n.k = v.k - 1)),
+    a AS (SELECT conv_id, CAST(substr(v0, 1, 10) AS BIGINT) AS cost, substr(v0, 12) AS audit FROM v WHERE k = 1),
+    e AS (SELECT conv_id, p, audit[p] AS x, length(replace(substr(audit, 1, p), 'I', '')) AS k FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM a)),
+    l AS (SELECT e.conv_id, p, x, role, i, CASE WHEN x = 'I' THEN '' ELSE text END AS text, row_number() OVER (PARTITION BY e.conv_id ORDER BY p) AS j,
+                 first_value(x = 'K' AND i = 's') OVER (PARTITION BY e.conv_id ORDER BY p) AS opened
+          FROM e LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM e.conv_id AND f.k = e.k AND x <> 'I' WHERE x <> 'D'),
+    t AS (SELECT conv_id, string_agg((CASE WHEN x = 'K' THEN role WHEN (j - CASE WHEN opened THEN 1 ELSE 0 END) % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY p) AS text
+          FROM l GROUP BY conv_id),
+    ids AS (SELECT DISTINCT conv_id FROM conversations)
+    SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(t.text, '')) AS repaired_sha256
+    FROM ids LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM ids.conv_id LEFT JOIN a ON a.conv_id IS NOT DISTINCT FROM ids.conv_id
+         LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM ids.conv_id
+    """
+
+
+@query("op12_conversation_repair", _REPAIR_SQL)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    done = conversation_repair.repair(damage(conversations)).withColumnRenamed("conv_id", "id")
+    ids = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    counts = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    nothing = F.sha2(F.lit(""), 256)
+    return ids.join(done, F.col("conv_id").eqNullSafe(F.col("id")), "left").select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
