@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversation_repair, decontaminate, exact_dedup, language_id, line_dedup, quality, secret_scan, simhash, token_counts, toxicity
+from . import bpe, conversation_repair, decontaminate, exact_dedup, language_id, license_scan, line_dedup, quality, secret_scan, simhash, source_divergence, token_counts, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +231,67 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     nothing = F.sha2(F.lit(""), 256)
     return ids.join(done, F.col("conv_id").eqNullSafe(F.col("id")), "left").select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"))
+
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+
+def _scan_sql() -> str:
+    """Phrases by their places; templates by running counts of the words that are new in the block of each start."""
+    words = [(label, license_scan.words_of(text.encode()), share) for label, text, share in license_scan.TEMPLATES]
+    kept = license_scan.Scanner(license_scan.TEMPLATES, {})
+    kept.order(numpy.zeros(len(kept.number), numpy.int64))
+    tp = ", ".join(f"({k}, '{label}', {len(w)}, {len(set(w))}, {t.asked})" for k, ((label, w, _), t) in enumerate(zip(words, kept.templates, strict=True)))
+    tw = ", ".join(f"({k}, '{x.decode()}')" for k, (_, w, _) in enumerate(words) for x in sorted(set(w)))
+    places = []
+    for phrase, label in license_scan.PHRASES.items():
+        w = phrase.split()
+        same = " AND ".join(f"w[p + {k}] = '{x}'" for k, x in enumerate(w))
+        places.append(f"SELECT r, '{label}' AS label, p - 1 AS start FROM (SELECT r, w, unnest(range(1, len(w) - {len(w) - 2})) AS p FROM d) WHERE {same}")
+    return f"""
+    WITH tp(t, label, size, m, asked) AS (VALUES {tp}), tw(t, word) AS (VALUES {tw}),
+         d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+         x AS (SELECT r, t, j, n, word, size FROM (SELECT r, len(w) AS n, unnest(w) AS word, unnest(range(0, len(w))) AS j FROM d) JOIN tw USING (word) JOIN tp USING (t)),
+         y AS (SELECT r, t, least(j, greatest(0, n - size)) AS high, greatest(0, j - size + 1, coalesce(lag(j) OVER (PARTITION BY r, t, word ORDER BY j) + 1, 0)) AS low FROM x),
+         e AS (SELECT r, t, low AS s, 1 AS step FROM y WHERE low <= high UNION ALL SELECT r, t, high + 1, -1 FROM y WHERE low <= high),
+         c AS (SELECT r, t, sum(sum(step)) OVER (PARTITION BY r, t ORDER BY s) AS n FROM e GROUP BY r, t, s),
+         b AS (SELECT r, label, max(n) / CAST(any_value(m) AS DOUBLE) AS score FROM c JOIN tp USING (t) GROUP BY r, t, label HAVING max(n) >= any_value(asked)),
+         p AS ({" UNION ALL ".join(places)}),
+         pl AS (SELECT r, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY r),
+         al AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM p UNION ALL SELECT r, label FROM b) GROUP BY r),
+         sc AS (SELECT r, max(score) AS score FROM b GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+           coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(score, 0.0) END AS score
+    FROM d LEFT JOIN pl USING (r) LEFT JOIN al USING (r) LEFT JOIN sc USING (r)
+    """
+
+
+@query("op11_license_scan", _scan_sql())
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.label_digest(license_scan.find_licenses(table(spark, sf_dir, "documents")))
+
+
+@query(
+    "op13_source_divergence",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS ts FROM documents),
+         t AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+         k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+         l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+         g AS (SELECT DISTINCT lang, source FROM d),
+         c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+         s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+         p AS (SELECT g.lang, g.source, k.term, c.n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 2) // (CAST(coalesce(s.total, 0) AS HUGEINT) + 2 * v) AS p,
+                      1 + CAST(1000000000 AS HUGEINT) * (k.n + 2) // (CAST(l.total AS HUGEINT) + 2 * v) AS q
+               FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN s USING (lang, source)),
+         w AS (SELECT lang, a.source, b.source AS other, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+               FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+         pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+                   FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN w ON w.lang = a.lang AND w.source = a.source AND w.other = b.source),
+         terms AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM (FROM pairs UNION ALL FROM terms) QUALIFY part = 'pair' OR rank <= 10
+    """,
+)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
