@@ -51,13 +51,12 @@ def test_f_pvalue():
     assert abs(stats.f_sf(4.0, 1, 1000000) - 0.0455) < 1e-3
 
 
-def test_communalities_and_explained_variance(spark):
+def test_communalities(spark):
     load = _loadings(spark, [("a", (0.5, -0.5)), ("b", (0.9, 0.9)), ("c", (0.1, 0.0))])
     got = {r.var: round(r.communality, 9) for r in FA.communalities(load).collect()}
     assert got == {"a": 0.5, "b": 1.0, "c": 0.01}
     kept, dropped = FA.split_communality(FA.communalities(load))
     assert sorted(r.var for r in kept.collect()) == ["a", "b"] and [r.var for r in dropped.collect()] == ["c"]
-    assert [(r.number, round(r.eigenvalue, 9)) for r in FA.scree(FA.explained(load)).collect()] == [(1, 1.07), (2, 1.06)]
 
 
 def test_secondary_and_tied_loadings(spark):

@@ -62,26 +62,46 @@ def bvn_cdf(h, k, r):
     return base + integral / (2 * math.pi)
 
 
-def tetrachoric(n11, n10, n01, n00, iters: int = 60):
-    """Tetrachoric r from 2x2 counts; NaN when a cell is empty (no interior maximum)."""
+def tetrachoric(n11, n10, n01, n00, steps: int = 60):
+    """Tetrachoric r from 2x2 counts; NaN when a cell is empty (no interior maximum).
+
+    Newton steps in the angle arcsin r, whose derivative is the integrand at the
+    end; a step that leaves the bracket is replaced by its middle.
+    """
     n11, n10, n01, n00 = (np.asarray(v, dtype=float) for v in (n11, n10, n01, n00))
     n = n11 + n10 + n01 + n00
     ok = (n11 > 0) & (n10 > 0) & (n01 > 0) & (n00 > 0)
-    pi = np.where(ok, (n11 + n10) / np.where(n > 0, n, 1), 0.5)
-    pj = np.where(ok, (n11 + n01) / np.where(n > 0, n, 1), 0.5)
-    p11 = np.where(ok, n11 / np.where(n > 0, n, 1), 0.25)
+    out = np.full(n.shape, np.nan)
+    if not ok.any():
+        return out
+    n11, n10, n01, n = n11[ok], n10[ok], n01[ok], n[ok]
     # X_i = 1 iff Z_i > t_i with P = p_i  =>  P(both) = BVN(-t_i, -t_j; r) and -t_i = Phi^-1(p_i)
-    h = norm_ppf(pi)
-    k = norm_ppf(pj)
-    lo = np.full(n.shape, -0.999999)
-    hi = np.full(n.shape, 0.999999)
-    for _ in range(iters):
-        mid = 0.5 * (lo + hi)
-        f = bvn_cdf(h, k, mid) - p11
-        hi = np.where(f > 0, mid, hi)
-        lo = np.where(f > 0, lo, mid)
-    r = 0.5 * (lo + hi)
-    return np.where(ok, r, np.nan)
+    h, k, p11 = norm_ppf((n11 + n10) / n), norm_ppf((n11 + n01) / n), n11 / n
+    base = norm_cdf(h) * norm_cdf(k)
+    end = math.asin(0.999999)
+    lo, hi, angle = np.full(n.shape, -end), np.full(n.shape, end), np.zeros(n.shape)
+    todo = np.arange(len(n))
+    for _ in range(steps):
+        a, x, y = angle[todo], h[todo], k[todo]
+
+        def inside(t, x=x, y=y):
+            s = np.sin(t)
+            return np.exp(-(x * x - 2 * x * y * s + y * y) / (2 * np.cos(t) ** 2))
+
+        total = sum(w * inside(0.5 * a * (u + 1.0)) for u, w in zip(_GL_X, _GL_W, strict=True))
+        f = base[todo] + 0.5 * a * total / (2 * math.pi) - p11[todo]
+        hi[todo] = np.where(f > 0, a, hi[todo])
+        lo[todo] = np.where(f > 0, lo[todo], a)
+        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+            step = a - f * 2 * math.pi / inside(a)
+        good = np.isfinite(step) & (step > lo[todo]) & (step < hi[todo])
+        new = np.where(good, step, 0.5 * (lo[todo] + hi[todo]))
+        angle[todo] = new
+        todo = todo[np.abs(new - a) > 1e-14]
+        if not len(todo):
+            break
+    out[ok] = np.sin(angle)
+    return out
 
 
 def betainc_reg(a, b, x):

@@ -1,21 +1,126 @@
-"""Loadings, communalities, factor lists and dimension scores.
+"""Factor analysis, loadings, factor lists and dimension scores.
 
-Loadings are a long table ``(var, factor, loading)``, from any factor analysis;
-the operators below work on any such table and grow with the texts, not on the
-driver.
+Components and factors come from the leading eigenpairs of a long correlation table
+(``spectral``); the rotation of k factors needs sums of products of k loadings only, so
+one aggregate over the variables answers all of it.  Loadings are a long table
+``(var, factor, loading)``; the operators below take any such table and grow with the
+texts, not on the driver.
 """
 
 from __future__ import annotations
 
+import numpy as np
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fmt_loading, printed
+from .spectral import Leading, diagonal, leading_eigenpairs, reaches, tiles
 
 CUTOFF = 0.3
 COMMUNALITY_MIN = 0.15
 
 
+#: Eigenvalues that count as components, and the most components; eigenvalues of the scree table.
+EIGEN_MIN, COMPONENTS, SCREE = 1.0, 100, 20
+
+
+def principal_components(corr: DataFrame, index: DataFrame, at_least: float = EIGEN_MIN, most: int = COMPONENTS, always: int = 0) -> Leading:
+    """Leading eigenpairs of the correlation matrix with ones on its diagonal.
+
+    ``corr`` (var_i, var_j, r) holds a pair once and may leave out zeros; ``index`` (var, idx) numbers the variables.
+    """
+    ones = diagonal(index.select("idx", F.lit(1.0).alias("value")))
+    return leading_eigenpairs(tiles(corr, index), ones, most, at_least, always)
+
+
+def component_loadings(found: Leading, index: DataFrame, at_least: float = EIGEN_MIN, most: int = COMPONENTS) -> DataFrame:
+    """(var, factor, loading) of the components of at least ``at_least``."""
+    values = found.values[reaches(found.values, at_least)][:most]
+    return _named(found, np.diag(np.sqrt(values)), index)
+
+
+def _named(found: Leading, turn: np.ndarray, index: DataFrame) -> DataFrame:
+    if not len(turn):
+        return index.select("var", F.lit(0).alias("factor"), F.lit(0.0).alias("loading")).limit(0)
+    cells = found.combine(turn).select("idx", F.col("factor").cast("int").alias("factor"), F.col("value").alias("loading"))
+    return cells.join(index.select("var", F.col("idx").cast("long").alias("idx")), "idx").select("var", "factor", "loading")
+
+
+def eigenvalues(spark, found: Leading) -> DataFrame:
+    """(number, eigenvalue), largest first; as many rows as pairs were asked for."""
+    rows = [(k + 1, float(x)) for k, x in enumerate(found.values)]
+    return spark.createDataFrame(rows, "number long, eigenvalue double")
+
+
+def _moments(a: np.ndarray) -> np.ndarray:
+    """Sums over the rows of the products of two and of four numbers, of the rows and of the rows at unit length; and of the rows."""
+    size = np.linalg.norm(a, axis=1, keepdims=True)
+    b = np.divide(a, size, out=np.zeros_like(a), where=size > 0)
+    fours = [np.einsum("ia,ib,ic,id->abcd", x, x, x, x, optimize=True).ravel() for x in (a, b)]
+    return np.concatenate([a.sum(axis=0), (a.T @ a).ravel(), (b.T @ b).ravel(), *fours])
+
+
+def varimax(twos: np.ndarray, fours: np.ndarray, p: int, sweeps: int = 100) -> np.ndarray:
+    """The rotation of k columns that spreads their squares most, from the sums of their products alone.
+
+    Planes are turned in order until no angle is left; each angle is the best one of its plane.
+    """
+    k = len(twos)
+    turn = np.eye(k)
+    for _ in range(sweeps):
+        largest = 0.0
+        for a in range(k):
+            for b in range(a + 1, k):
+                u, v = twos[a, a] - twos[b, b], 2 * twos[a, b]
+                side = fours[a, a, a, a] + fours[b, b, b, b] - 6 * fours[a, a, b, b] - (u * u - v * v) / p
+                up = 4 * (fours[a, a, a, b] - fours[a, b, b, b]) - 2 * u * v / p
+                angle = np.arctan2(up, side) / 4
+                largest = max(largest, abs(angle))
+                plane = np.eye(k)
+                plane[a, a] = plane[b, b] = np.cos(angle)
+                plane[b, a], plane[a, b] = np.sin(angle), -np.sin(angle)
+                turn = turn @ plane
+                twos = plane.T @ twos @ plane
+                fours = np.einsum("abcd,ae,bf,cg,dh->efgh", fours, plane, plane, plane, plane, optimize=True)
+        if largest < 1e-13:
+            break
+    return turn
+
+
+def promax(twos: np.ndarray, fours: np.ndarray) -> np.ndarray:
+    """The oblique turn of varimax loadings towards their cubes, factors at unit variance; from sums of products alone."""
+    k = len(twos)
+    cubes = np.array([[fours[f, g, g, g] for g in range(k)] for f in range(k)])
+    turn = np.linalg.solve(twos, cubes)
+    return turn * np.sqrt(np.diag(np.linalg.inv(turn.T @ turn)))
+
+
+def rotate(corr: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """(var, factor, loading): pattern of ``k`` principal factors, rotated by promax (power 3) after varimax at unit row lengths.
+
+    The prior communality of a variable is its largest |r|; factors need a positive
+    eigenvalue.  Factors are numbered by their sums of squares, and the sum of their loadings is positive.
+    """
+    both = corr.select(F.explode(F.array("var_i", "var_j")).alias("var"), F.abs("r").alias("r"))
+    prior = index.join(both.groupBy("var").agg(F.max("r").alias("r")), "var", "left").select("idx", F.coalesce("r", F.lit(0.0)).alias("value"))
+    found = leading_eigenpairs(tiles(corr, index), diagonal(prior), k, 0.0)
+    k = int((found.values > 0).sum())
+    if not k:
+        return _named(found, np.zeros((0, 0)), index)
+    size = np.diag(np.sqrt(found.values[:k]))
+    sums = found.sum_over(size, _moments, k + 2 * k * k + 2 * k**4)
+    ones, twos, unit_twos, fours, unit_fours = np.split(sums, np.cumsum([k, k * k, k * k, k**4]))
+    twos, unit_twos, fours, unit_fours = twos.reshape(k, k), unit_twos.reshape(k, k), fours.reshape([k] * 4), unit_fours.reshape([k] * 4)
+    p = index.count()
+    straight = varimax(unit_twos, unit_fours, p)
+    turned = np.einsum("abcd,ae,bf,cg,dh->efgh", fours, straight, straight, straight, straight, optimize=True)
+    turn = straight @ promax(straight.T @ twos @ straight, turned) if k > 1 else np.eye(1)
+    turn = turn[:, np.argsort(-np.diag(turn.T @ twos @ turn), kind="stable")]
+    turn = turn * np.where(ones @ turn < 0, -1.0, 1.0)
+    return _named(found, size @ turn, index)
+
+
 def communalities(loadings: DataFrame) -> DataFrame:
     """(var, communality): sum of a variable's squared loadings, at most 1."""
     return loadings.groupBy("var").agg(F.least(F.lit(1.0), F.sum(F.col("loading") * F.col("loading"))).alias("communality"))
@@ -26,13 +131,6 @@ def split_communality(comm: DataFrame, cutoff: float = COMMUNALITY_MIN):
     return comm.filter(F.col("communality") >= cutoff), comm.filter(F.col("communality") < cutoff)
 
 
-def explained(loadings: DataFrame) -> DataFrame:
-    """(number, eigenvalue): variance that each factor explains, largest first."""
-    per = loadings.groupBy("factor").agg(F.sum(F.col("loading") * F.col("loading")).alias("eigenvalue"))
-    w = Window.orderBy(F.col("eigenvalue").desc(), "factor")  # one row for each factor
-    return per.select(F.row_number().over(w).cast("long").alias("number"), "eigenvalue")
-
-
 def scree(eig: DataFrame, n: int = 20) -> DataFrame:
     """First n eigenvalues with their number."""
     return eig.orderBy("number").limit(n)

@@ -1,7 +1,7 @@
 """Document x keyword matrix and pair statistics.
 
 The long (text, var) hit table is the truth; the wide 0/1 matrix exists
-only as an export (``merge_columns``), in groups of columns.  Nothing depends on
+only as an export (``merge_columns``), made from bitmaps.  Nothing depends on
 the size of the vocabulary: joins with it are planned by its measured size, pair
 counts are worked off in blocks of variables.
 """
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,7 +20,9 @@ from .ids import sequential_ids
 from .tokens import UNKNOWN_LEMMA
 
 BLOCK = 2048  # variables on each side of a block of the Gram matrix
-EXPORT_COLUMNS = 1000  # variables in one wide export
+PAIRS = 512  # variables on each side of a block of written-out pairs
+EXPORT_COLUMNS = 1000  # variables in one group of the wide export
+BITMAP = 32768  # variables that one bitmap can hold
 
 
 def raw_lemma(w: Column) -> Column:
@@ -58,105 +61,165 @@ def drop_zero_rows(texts: DataFrame, hits: DataFrame) -> DataFrame:
     return texts.join(hits.select("text_id"), "text_id", "left_semi")
 
 
+def presence_bitmaps(hits: DataFrame, columns: int = EXPORT_COLUMNS) -> DataFrame:
+    """(text_id, bucket, bits): the variables of a text as bitmaps of ``columns`` variables each, buckets from 1.
+
+    One aggregate whatever the vocabulary; a (text, bucket) without variables has no row, so zeros are never written.
+    """
+    if not 0 < columns <= BITMAP:
+        raise ValueError(f"a bitmap holds 1 to {BITMAP} variables")
+    place = (F.col("idx") - 1).cast("long")
+    bucket = (F.floor(place / F.lit(columns)) + 1).cast("int")
+    return hits.select("text_id", bucket.alias("bucket"), (place % columns).alias("place")).groupBy("text_id", "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+
+
+def _rows_with_bits(texts: DataFrame, hits: DataFrame, index: DataFrame, columns: int) -> DataFrame:
+    """(text_id, bucket, vars, bits): every text with every bucket, the bucket's variables in order, and its bitmap or null."""
+    bucket = (F.floor((F.col("idx") - 1) / F.lit(columns)) + 1).cast("int").alias("bucket")
+    named = index.select(bucket, F.struct("idx", "var").alias("v")).groupBy("bucket").agg(F.array_sort(F.collect_list("v")).alias("v")).select("bucket", F.col("v.var").alias("vars"))
+    buckets = index.select(F.max(bucket).alias("last")).first()["last"] or 0
+    grid = texts.select("text_id", F.explode(F.sequence(F.lit(1), F.lit(buckets)) if buckets else F.array().cast("array<int>")).alias("bucket"))
+    return grid.join(presence_bitmaps(hits, columns), ["text_id", "bucket"], "left").join(named, "bucket")
+
+
+def _flags(bits: bytes | None, n: int) -> np.ndarray:
+    """The first ``n`` bits of a bitmap, or zeros."""
+    return np.zeros(n, np.uint8) if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8)[: (n + 7) // 8], count=n, bitorder="little")
+
+
 def presence_grid(texts: DataFrame, hits: DataFrame, index: DataFrame) -> DataFrame:
-    """(text_id, var, present 0/1) for every text x keyword.
+    """(text_id, var, present 0/1) for every text x keyword, for a consumer that wants zeros as rows.
 
-    The vocabulary enters as one bounded array value (scalar subquery) that is
-    exploded per text, then hits are left-joined; no cross join.
+    Texts meet bitmaps; the rows are written out inside the last map and never shuffled.
     """
-    vocab = index.select(F.sort_array(F.collect_list("var"))).scalar()
-    grid = texts.select("text_id", F.explode(vocab).alias("var"))
-    h = hits.select("text_id", "var", F.lit(1).alias("present"))
-    return grid.join(h, ["text_id", "var"], "left").select("text_id", "var", F.coalesce("present", F.lit(0)).cast("int").alias("present"))
 
+    def write(batches):
+        for batch in batches:
+            for text_id, vars_, bits in zip(batch.column("text_id"), batch.column("vars"), batch.column("bits").to_pylist(), strict=True):
+                n = len(vars_)
+                yield pa.RecordBatch.from_arrays([pa.array([text_id.as_py()] * n, batch.schema.field("text_id").type), vars_.values, pa.array(_flags(bits, n).astype(np.int32))], ["text_id", "var", "present"])
+
+    rows = _rows_with_bits(texts, hits, index, EXPORT_COLUMNS).select("text_id", "vars", "bits")
+    return rows.mapInArrow(write, f"text_id {texts.schema['text_id'].dataType.simpleString()}, var string, present int")
 
-def merge_columns(texts: DataFrame, hits: DataFrame, index: DataFrame, first: int = 1, columns: int = EXPORT_COLUMNS) -> DataFrame:
-    """Wide 0/1 export (text_id, v000001, ...) of the variables numbered from ``first``, every text one row.
 
-    A pivot needs its column names: those of one export are read from the index.
+def merge_columns(texts: DataFrame, hits: DataFrame, index: DataFrame, columns: int = BITMAP) -> DataFrame:
+    """(text_id, bucket, flags): the whole 0/1 matrix, a string of one character for each variable in order.
+
+    One row for each text and bucket of ``columns`` variables; the last bucket has what is left.
     """
-    group = index.filter(F.col("idx").between(first, first + columns - 1))
-    vars_ = [r["var"] for r in group.select("var").orderBy("idx").collect()]
-    wide = hits.filter(F.col("idx").between(first, first + columns - 1)).groupBy("text_id").pivot("var", vars_).agg(F.max(F.lit(1)))
-    out = texts.select("text_id").join(wide, "text_id", "left").fillna(0, subset=vars_)
-    return out.select("text_id", *[F.col(v).cast("int").alias(v) for v in vars_])
 
+    def write(batches):
+        for batch in batches:
+            flags = [(_flags(bits, len(vars_)) + 48).tobytes() for vars_, bits in zip(batch.column("vars"), batch.column("bits").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("text_id"), batch.column("bucket"), pa.array(flags, pa.binary()).cast(pa.string())], ["text_id", "bucket", "flags"])
+
+    rows = _rows_with_bits(texts, hits, index, columns).select("text_id", "bucket", "vars", "bits")
+    return rows.mapInArrow(write, f"text_id {texts.schema['text_id'].dataType.simpleString()}, bucket int, flags string")
 
-def merge_column_groups(texts: DataFrame, hits: DataFrame, index: DataFrame, columns: int = EXPORT_COLUMNS):
-    """C10 for any number of variables: one wide export for each ``columns`` of them."""
-    p = index.select(F.max("idx")).first()[0] or 0
-    for first in range(1, p + 1, columns):
-        yield merge_columns(texts, hits, index, first, columns)
 
+def merge_column_groups(texts: DataFrame, hits: DataFrame, index: DataFrame, columns: int = EXPORT_COLUMNS) -> DataFrame:
+    """C10 with the flags of each ``columns`` variables as an array: (text_id, group, flags)."""
+    return merge_columns(texts, hits, index, columns).select("text_id", F.col("bucket").alias("group"), F.split("flags", "").cast("array<int>").alias("flags"))
 
-def _gram_block(low_i: int, low_j: int, size: int):
-    """Adds up X_i^T X_j over the texts of a task; variables low.. low+size-1 on each side."""
+
+def _gram(block: int, room: int = 1 << 21):
+    """Adds up, over the texts of a task, how many hold two variables: one pass, in blocks of variables that the texts hold.
+
+    Number 0 stands for the text itself, so its pairs are the number of texts and those that hold each variable.
+    """
+
+    def count(lists: list[np.ndarray]):
+        var = np.concatenate(lists)
+        row = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+        part = var // block
+        held = np.unique(part)
+        by_block = {b: (row[part == b], var[part == b] - b * block) for b in held.tolist()}
+        for n, a in enumerate(held.tolist()):
+            for b in held.tolist()[n:]:
+                g = np.zeros((block, block), np.int64)
+                rows = np.intersect1d(by_block[a][0], by_block[b][0])
+                for start in range(0, len(rows), block):
+                    texts = rows[start : start + block]
+                    sides = []
+                    for of in {a: 0, b: 1}:
+                        r, v = by_block[of]
+                        at = np.minimum(np.searchsorted(texts, r), len(texts) - 1)
+                        own = texts[at] == r
+                        x = np.zeros((len(texts), block), np.float32)
+                        x[at[own], v[own]] = 1.0
+                        sides.append(x)
+                    g += np.rint(sides[0].T @ sides[-1]).astype(np.int64)
+                i, j = np.nonzero(g)
+                n11, i, j = g[i, j], i + a * block, j + b * block
+                yield pa.RecordBatch.from_arrays([pa.array(x[i <= j], pa.int64()) for x in (i, j, n11)], ["i", "j", "n11"])
 
     def fn(batches):
-        g = np.zeros((size, size), dtype=np.int64)
-        for pdf in batches:
-            arrays = [np.asarray(x, dtype=np.int64) for x in pdf["idxs"]]
-            for start in range(0, len(arrays), 2048):
-                chunk = arrays[start:start + 2048]
-                row = np.repeat(np.arange(len(chunk)), [len(x) for x in chunk])
-                var = np.concatenate(chunk)
-                sides = []
-                for low in (low_i, low_j):
-                    x = np.zeros((len(chunk), size), dtype=np.float32)
-                    inside = (var >= low) & (var < low + size)
-                    x[row[inside], var[inside] - low] = 1.0
-                    sides.append(x)
-                g += np.rint(sides[0].T @ sides[1]).astype(np.int64)
-        ii, jj = np.nonzero(g)
-        keep = ii + low_i <= jj + low_j
-        ii, jj = ii[keep], jj[keep]
-        yield pd.DataFrame({"i": (ii + low_i).astype("int64"), "j": (jj + low_j).astype("int64"), "n11": g[ii, jj]})
+        lists, size = [], 0
+        for batch in batches:
+            for x in batch.column("idxs"):
+                lists.append(np.r_[0, x.values.to_numpy()])
+                size += len(lists[-1])
+                if size > room:
+                    yield from count(lists)
+                    lists, size = [], 0
+        if lists:
+            yield from count(lists)
 
     return fn
 
 
-def cooccurrence(hits: DataFrame, index: DataFrame, n_texts=None, block: int = BLOCK) -> DataFrame:
-    """(var_i, var_j, n11, n10, n01, n00) for all pairs i < j.
+def pair_counts(hits: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(i, j, n11) for i <= j with n11 > 0, variables by number; number 0 is every text.
 
-    The texts' variable lists are written once.  For each pair of variable blocks
-    a task multiplies the indicator rows of its texts (X_i^T X_j, at most
-    block x block) and emits its partial counts; one aggregate sums them.  No
-    pair rows per text are generated, and any number of variables is worked off.
+    One scan of the texts' variable lists whatever the number of blocks: a task multiplies the
+    indicator rows of its texts for the pairs of blocks that they hold (X_i^T X_j, at most
+    block x block) and emits partial counts; one aggregate sums them.  Written once.
     """
     from ..session import materialize
 
-    p = index.select(F.max("idx")).first()[0] or 0
-    per_text = materialize(hits.groupBy("text_id").agg(F.collect_set("idx").alias("idxs")), "text-variables")
-    size = min(block, max(1, p))
-    lows = range(1, p + 1, size)
-    partial = None
-    for a in lows:
-        for b in lows:
-            if a <= b:
-                part = per_text.select("idxs").mapInPandas(_gram_block(a, b, size), "i long, j long, n11 long")
-                partial = part if partial is None else partial.unionAll(part)
-    if partial is None:
-        partial = hits.select(F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"), F.lit(0).cast("long").alias("n11")).limit(0)
-    g = materialize(partial.groupBy("i", "j").agg(F.sum("n11").alias("n11")), "gram")
+    per_text = hits.groupBy("text_id").agg(F.collect_set(F.col("idx").cast("long")).alias("idxs"))
+    partial = per_text.select("idxs").mapInArrow(_gram(block), "i long, j long, n11 long")
+    return materialize(partial.groupBy("i", "j").agg(F.sum("n11").alias("n11")), "gram")
+
+
+def cooccurrence(hits: DataFrame, index: DataFrame, n_texts=None, block: int = BLOCK, absent: bool = True) -> DataFrame:
+    """(var_i, var_j, n11, n10, n01, n00) for all pairs i < j, or only those that some text holds (``absent=False``).
+
+    Pairs that no text holds are written out from the margins, block by block of variables.
+    """
+    g = pair_counts(hits, block)
     if n_texts is None:
-        n_texts = per_text.select(F.count(F.lit(1))).scalar()
-    diag = g.filter(F.col("i") == F.col("j")).select(F.col("i").alias("k"), F.col("n11").alias("nk"))
-    margins = index.select(F.col("idx").alias("k"), "var").join(diag, "k", "left").select("k", "var", F.coalesce("nk", F.lit(0)).alias("nk"))
-    # all pairs of variables (the output itself): one array value exploded twice
-    m = margins.select(F.sort_array(F.collect_list(F.struct("k", "var", "nk")))).scalar()
-    pairs = (
-        margins.select(F.struct("k", "var", "nk").alias("a"))
-        .select("a", F.explode(m).alias("b"))
-        .filter(F.col("a.k") < F.col("b.k"))
-    )
-    off = g.filter(F.col("i") < F.col("j"))
-    j = pairs.join(off, (F.col("a.k") == F.col("i")) & (F.col("b.k") == F.col("j")), "left")
-    n11 = F.coalesce(F.col("n11"), F.lit(0))
-    return j.select(
-        F.col("a.var").alias("var_i"), F.col("b.var").alias("var_j"), n11.alias("n11"),
-        (F.col("a.nk") - n11).alias("n10"), (F.col("b.nk") - n11).alias("n01"),
-        (n_texts - F.col("a.nk") - F.col("b.nk") + n11).alias("n00"),
-    )
+        n_texts = F.coalesce(g.filter("j = 0").select("n11").scalar(), F.lit(0))
+    held = g.filter("i = 0 and j > 0").select(F.col("j").alias("k"), F.col("n11").alias("nk"))
+    margins = index.select(F.col("idx").cast("long").alias("k"), "var").join(held, "k", "left").select("k", "var", F.coalesce("nk", F.lit(0)).alias("nk"))
+    present = g.filter("i > 0 and i < j")
+    a, b = (margins.select(*[F.col(c).alias(f"{c}_{x}") for c in ("k", "var", "nk")]) for x in "ij")
+    if absent:
+        size = F.lit(PAIRS)
+        cells = present.select(F.floor(F.col("i") / size).alias("bi"), F.floor(F.col("j") / size).alias("bj"), "i", "j", "n11")
+        blocks = margins.groupBy(F.floor(F.col("k") / size).alias("b")).agg(F.array_sort(F.collect_list(F.struct("k", "var", "nk"))).alias("m"))
+        last = blocks.select(F.max("b")).scalar()
+        left = blocks.select(F.col("b").alias("bi"), F.col("m").alias("mi"), F.explode(F.sequence("b", last)).alias("bj"))
+        grid = left.join(blocks.select(F.col("b").alias("bj"), F.col("m").alias("mj")), "bj")
+        pairs = grid.groupBy("bi", "bj").cogroup(cells.groupBy("bi", "bj")).applyInArrow(_all_pairs, "var_i string, var_j string, n11 long, ni long, nj long")
+    else:
+        pairs = present.join(a, F.col("i") == F.col("k_i")).join(b, F.col("j") == F.col("k_j")).select("var_i", "var_j", "n11", F.col("nk_i").alias("ni"), F.col("nk_j").alias("nj"))
+    n11 = F.col("n11")
+    return pairs.select("var_i", "var_j", "n11", (F.col("ni") - n11).alias("n10"), (F.col("nj") - n11).alias("n01"), (n_texts - F.col("ni") - F.col("nj") + n11).alias("n00"))
+
+
+def _all_pairs(grid: pa.Table, cells: pa.Table) -> pa.Table:
+    """All pairs i < j of two blocks of variables with their counts, zero where ``cells`` has none."""
+    sides = []
+    for c in ("mi", "mj"):
+        m = grid[c].combine_chunks().flatten()
+        sides.append((m.field("k").to_numpy(), m.field("var"), m.field("nk").to_numpy()))
+    (ki, vi, ni), (kj, vj, nj) = sides
+    n11 = np.zeros((len(ki), len(kj)), np.int64)
+    n11[np.searchsorted(ki, cells["i"].to_numpy()), np.searchsorted(kj, cells["j"].to_numpy())] = cells["n11"].to_numpy()
+    a, b = np.nonzero(ki[:, None] < kj[None, :])
+    return pa.table({"var_i": vi.take(pa.array(a)), "var_j": vj.take(pa.array(b)), "n11": pa.array(n11[a, b]), "ni": pa.array(ni[a]), "nj": pa.array(nj[b])})
 
 
 def tetrachoric(pairs: DataFrame) -> DataFrame:
@@ -180,10 +243,11 @@ def phi(pairs: DataFrame) -> DataFrame:
     return pairs.select("var_i", "var_j", F.when(den > 0, num / den).otherwise(F.lit(0.0)).alias("r"))
 
 
-def select_by_correlation(corr: DataFrame, r_min: float) -> DataFrame:
-    """Variables whose largest |r| with another variable reaches ``r_min``."""
+def select_by_correlation(corr: DataFrame, r_min: float, top: int | None = None) -> DataFrame:
+    """Variables whose largest |r| with another variable reaches ``r_min``; with ``top``, the first so many by it (ties by name)."""
     both = corr.select(F.explode(F.array(
         F.struct(F.col("var_i").alias("var"), F.abs("r").alias("ar")),
         F.struct(F.col("var_j").alias("var"), F.abs("r").alias("ar")),
     )).alias("s")).select("s.*")
-    return both.groupBy("var").agg(F.max("ar").alias("max_abs_r")).filter(F.col("max_abs_r") >= r_min)
+    best = both.groupBy("var").agg(F.max("ar").alias("max_abs_r")).filter(F.col("max_abs_r") >= r_min)
+    return best if top is None else best.orderBy(F.col("max_abs_r").desc(), "var").limit(top)

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import text as H
@@ -55,19 +56,30 @@ def _pairs(spark, sf):
     return idx, M.cooccurrence(hits, idx)
 
 
-def literal_loadings(idx):
-    """A fixed long loading table over the vocabulary (var, factor, loading): positive, negative,
-    secondary and tied loadings by a rule on the variable number, so that any
-    factor analysis' table can take its place."""
-    f = F.explode(F.sequence(F.lit(1), F.lit(K_FACTORS))).alias("factor")
-    n = F.pmod(F.col("idx") * (F.lit(3) + F.col("factor") * 7), F.lit(41)) - 20
-    return idx.select("var", "idx", f).select("var", F.col("factor").cast("int").alias("factor"), (n / F.lit(25.0)).alias("loading"))
+def _correlation(hits, idx):
+    """J2 of the pairs that some text holds: all others are zero by the method's rule for empty cells."""
+    return materialize(M.tetrachoric(M.cooccurrence(hits, idx, absent=False)).filter("flag = 0"), "tetrachoric")
+
+
+def _components(spark, sf, always=0):
+    _, idx, hits = _hits(spark, sf)
+    return idx, FA.principal_components(_correlation(hits, idx), idx, always=always)
+
+
+def _rotated(hits, idx):
+    """Components, variables of enough communality, their rotated loadings."""
+    corr = _correlation(hits, idx)
+    comm = FA.communalities(FA.component_loadings(FA.principal_components(corr, idx), idx))
+    kept = materialize(idx.join(FA.split_communality(comm)[0].select("var"), "var"), "kept")
+    names = kept.select("var")
+    among = corr.join(names.withColumnRenamed("var", "var_i"), "var_i").join(names.withColumnRenamed("var", "var_j"), "var_j")
+    return materialize(FA.rotate(among, kept, K_FACTORS), "loadings")
 
 
 def _loaded(spark, sf):
     """Texts, vocabulary, hits and the loading table."""
     t, idx, hits = _hits(spark, sf)
-    return t, idx, hits, literal_loadings(idx)
+    return t, idx, hits, _rotated(hits, idx)
 
 
 def _stratum_loadings(spark, sf):
@@ -128,26 +140,131 @@ phi AS (
               ELSE 0.0 END AS r
   FROM pairs)"""
 
-_FMAP = " ".join(f"WHEN '{s}' THEN {i + 1}" for i, s in enumerate(FACTOR_STRATA))
-_STRATA_LIST = ", ".join(f"('{s}')" for s in FACTOR_STRATA)
-
-_STRATUM_LOAD = f"""{_VOCAB},
-ns AS (SELECT stratum, count(*) AS ns FROM mt GROUP BY stratum),
-nv AS (SELECT var, count(*) AS nv FROM hits GROUP BY var),
-n11 AS (SELECT var, stratum, count(*) AS n11 FROM hits GROUP BY var, stratum),
-fs AS (SELECT * FROM (VALUES {_STRATA_LIST}) t(stratum)),
-lj AS (
-  SELECT nv.var, CAST(CASE fs.stratum {_FMAP} END AS INTEGER) AS factor, CAST(nv.nv AS DOUBLE) AS nv, CAST(ns.ns AS DOUBLE) AS ns,
-         CAST(coalesce(n11.n11, 0) AS DOUBLE) AS n11, CAST((SELECT n FROM nmt) AS DOUBLE) AS n
-  FROM nv CROSS JOIN fs JOIN ns ON ns.stratum = fs.stratum LEFT JOIN n11 ON n11.var = nv.var AND n11.stratum = fs.stratum),
-load AS (
-  SELECT var, factor, CASE WHEN sqrt(nv * (n - nv) * ns * (n - ns)) > 0 THEN (n * n11 - nv * ns) / sqrt(nv * (n - nv) * ns * (n - ns)) ELSE 0.0 END AS loading
-  FROM lj)"""
-
-_LOAD = f"""{_VOCAB},
-load AS (
-  SELECT var, CAST(f AS INTEGER) AS factor, ((idx * (3 + f * 7)) % 41 - 20) / 25.0 AS loading
-  FROM idx CROSS JOIN (SELECT unnest(range(1, {K_FACTORS + 1})) AS f)),
+#: Nodes and weights of the quadrature in the oracles.
+_NODES, _WEIGHTS = (", ".join(repr(float(x)) for x in v) for v in np.polynomial.legendre.leggauss(40))
+
+#: J2 by bisection of the angle; normal distributions by quadrature.
+_TETRACHORIC = f"""{_PAIRS},
+gl AS (SELECT [{_NODES}] AS x, [{_WEIGHTS}] AS w),
+quantile AS (
+  WITH RECURSIVE b AS (
+    SELECT DISTINCT nk / CAST((SELECT n FROM nmt) AS DOUBLE) AS p, CAST(-9 AS DOUBLE) AS lo, CAST(9 AS DOUBLE) AS hi, nk, 0 AS step FROM marg
+    UNION ALL
+    SELECT p, CASE WHEN c < p THEN mid ELSE lo END, CASE WHEN c < p THEN hi ELSE mid END, nk, step + 1
+    FROM (SELECT *, 0.5 + mid / 2 / sqrt(2 * pi()) * list_dot_product(w, list_transform(x, lambda u: exp(-(mid * (u + 1) / 2) * (mid * (u + 1) / 2) / 2))) AS c
+          FROM (SELECT *, (lo + hi) / 2 AS mid FROM b, gl)) WHERE step < 55)
+  SELECT nk, p, (lo + hi) / 2 AS z FROM b WHERE step = 55),
+tetra AS MATERIALIZED (
+  WITH RECURSIVE b AS (
+    SELECT var_i, var_j, h.z AS h, k.z AS k, h.p * k.p - n11 / CAST((SELECT n FROM nmt) AS DOUBLE) AS base, -asin(0.999999) AS lo, asin(0.999999) AS hi, 0 AS step
+    FROM pairs JOIN quantile h ON h.nk = n11 + n10 JOIN quantile k ON k.nk = n11 + n01 WHERE n11 > 0 AND n10 > 0 AND n01 > 0 AND n00 > 0
+    UNION ALL
+    SELECT var_i, var_j, h, k, base, CASE WHEN f > 0 THEN lo ELSE mid END, CASE WHEN f > 0 THEN mid ELSE hi END, step + 1
+    FROM (SELECT *, base + mid / 4 / pi() * list_dot_product(w, list_transform(x, lambda u: exp(-(h * h - 2 * h * k * sin(mid * (u + 1) / 2) + k * k) / 2 / pow(cos(mid * (u + 1) / 2), 2)))) AS f
+          FROM (SELECT *, (lo + hi) / 2 AS mid FROM b, gl)) WHERE step < 42)
+  SELECT pairs.var_i, pairs.var_j, coalesce(sin((lo + hi) / 2), 0.0) AS r, CASE WHEN lo IS NULL THEN 1 ELSE 0 END AS flag
+  FROM pairs LEFT JOIN (FROM b WHERE step = 42) b USING (var_i, var_j))"""
+
+
+def _matrix_sql(variables: str, diagonal: str) -> str:
+    """One row: the correlations of ``variables`` (var, idx) as a list of rows, with ``diagonal`` (an expression on var) on its diagonal."""
+    return f"""SELECT list(row ORDER BY idx) AS m, list(idx ORDER BY idx) AS idx, list(var ORDER BY idx) AS var FROM (
+    SELECT a.idx, a.var, list(CASE WHEN a.idx = b.idx THEN {diagonal} ELSE coalesce(t.r, 0.0) END ORDER BY b.idx) AS row
+    FROM {variables} a CROSS JOIN {variables} b LEFT JOIN tetra t ON t.var_i = least(a.var, b.var) AND t.var_j = greatest(a.var, b.var) GROUP BY a.idx, a.var)"""
+
+
+_PRODUCT = "list_transform({a}, lambda r: list_transform({b}, lambda c: list_dot_product(r, c)))"
+
+#: J3 and B14 by the sign of (R - I): half of 1 + sign projects on the components of at least one.
+_COMPONENTS = f"""{_TETRACHORIC},
+full_matrix AS MATERIALIZED ({_matrix_sql("idx", "1.0")}),
+sign AS (
+  WITH RECURSIVE s AS (
+    SELECT 0 AS step, list_transform(m, lambda r, i: list_transform(r, lambda x, j: CASE WHEN i = j THEN 0.0 ELSE x / size END)) AS x
+    FROM full_matrix, (SELECT list_max(list_transform(m, lambda r: list_sum(list_transform(r, lambda x: abs(x))))) AS size FROM full_matrix)
+    UNION ALL
+    SELECT step + 1, list_transform(y, lambda r, i: list_transform(y, lambda c, j: (r[j] + c[i]) / 2))
+    FROM (SELECT step, list_transform(x, lambda r: list_transform(xx, lambda c, j: 1.5 * r[j] - 0.5 * list_dot_product(r, c))) AS y
+          FROM (SELECT step, x, {_PRODUCT.format(a="x", b="x")} AS xx FROM s)) WHERE step < 60)
+  SELECT x FROM s WHERE step = 60),
+comm AS MATERIALIZED (SELECT unnest(var) AS var, unnest(list_transform(m, lambda r, i: least(1.0, (1.0 + list_dot_product(r, x[i])) / 2))) AS communality FROM full_matrix, sign),
+kept AS MATERIALIZED (SELECT idx.* FROM idx JOIN comm USING (var) WHERE communality >= {FA.COMMUNALITY_MIN})"""
+
+
+def _eigen_sql(name: str, matrix: str, number: int, squarings: int = 26) -> str:
+    """CTE ``name`` (found: eigenvalue and vector of the ``number`` largest): squares of the shifted matrix, one vector taken out after each run."""
+    return f"""
+{name} AS MATERIALIZED (
+  WITH RECURSIVE shifted AS (
+    SELECT size, list_transform(m, lambda r, i: list_transform(r, lambda x, j: CASE WHEN i = j THEN x + size ELSE x END)) AS m
+    FROM {matrix}, (SELECT list_max(list_transform(m, lambda r: list_sum(list_transform(r, lambda x: abs(x))))) AS size FROM {matrix})),
+  s AS (
+    SELECT 0 AS step, m AS x, CAST([] AS STRUCT(v DOUBLE[], l DOUBLE)[]) AS found FROM shifted
+    UNION ALL
+    SELECT step + 1,
+           CASE WHEN step % {squarings + 1} < {squarings} THEN list_transform(x, lambda r: list_transform(x, lambda c: list_dot_product(r, c) / trace))
+                ELSE list_transform(x, lambda r, i: list_transform(r, lambda y, j: m[i][j] - list_sum(list_transform(now, lambda e: e.l * e.v[i] * e.v[j])))) END,
+           now
+    FROM (SELECT *, CASE WHEN step % {squarings + 1} < {squarings} THEN found
+                         ELSE list_append(found, {{'v': v, 'l': list_dot_product(v, list_transform(m, lambda r: list_dot_product(r, v)))}}) END AS now
+          FROM (SELECT *, list_transform(x[best], lambda y: y / sqrt(x[best][best])) AS v
+                FROM (SELECT s.*, m, list_sum(list_transform(x, lambda r: list_dot_product(r, r))) AS trace,
+                             list_position(list_transform(x, lambda r, i: r[i]), list_max(list_transform(x, lambda r, i: r[i]))) AS best FROM s, shifted)))
+    WHERE step < {number * (squarings + 1)})
+  SELECT list_transform(found, lambda e: {{'v': list_transform(e.v, lambda y: y * CASE WHEN list_sum(e.v) < 0 THEN -1.0 ELSE 1.0 END), 'l': e.l - size}}) AS found
+  FROM s, shifted WHERE step = {number * (squarings + 1)})"""
+
+
+_THREE = range(3)
+
+
+def _sums(a: str, b: str) -> str:
+    return f"list_dot_product({a}, {b})"
+
+
+def _inverse(m: str) -> list[list[str]]:
+    """The cells of the inverse of a 3 x 3 list of lists, by cofactors."""
+    def c(i, j):
+        (a, b), (d, e) = ([x % 3 + 1 for x in (k + 1, k + 2)] for k in (i, j))
+        return f"({m}[{a}][{d}] * {m}[{b}][{e}] - {m}[{a}][{e}] * {m}[{b}][{d}])"
+
+    det = "(" + " + ".join(f"{m}[1][{j + 1}] * {c(0, j)}" for j in _THREE) + ")"
+    return [[f"{c(j, i)} / {det}" for j in _THREE] for i in _THREE]
+
+
+def _lists(cells) -> str:
+    return "[" + ", ".join("[" + ", ".join(row) + "]" for row in cells) + "]"
+
+
+_COLUMNS_BY = "list_transform({m}, lambda t: list_transform(range(1, len(c[1]) + 1), lambda i: c[1][i] * t[1] + c[2][i] * t[2] + c[3][i] * t[3]))"
+
+#: Three principal factors of the reduced matrix, columns turned plane by plane, then towards their cubes.
+_LOAD = f"""{_COMPONENTS},
+reduced AS MATERIALIZED ({_matrix_sql("kept", "coalesce((SELECT max(abs(r)) FROM tetra WHERE (var_i = a.var AND var_j IN (SELECT var FROM kept)) OR (var_j = a.var AND var_i IN (SELECT var FROM kept))), 0.0)")}),
+{_eigen_sql("eigen", "reduced", 3)},
+unrotated AS (SELECT list_transform(found, lambda e: list_transform(e.v, lambda x: x * sqrt(e.l))) AS c FROM eigen),
+lengths AS (SELECT c, list_transform(range(1, len(c[1]) + 1), lambda i: sqrt(c[1][i] * c[1][i] + c[2][i] * c[2][i] + c[3][i] * c[3][i])) AS h FROM unrotated),
+varimax AS (
+  WITH RECURSIVE s AS (
+    SELECT 0 AS step, list_transform(c, lambda x: list_transform(x, lambda y, i: CASE WHEN h[i] > 0 THEN y / h[i] ELSE 0.0 END)) AS c, h FROM lengths
+    UNION ALL
+    SELECT step + 1, list_transform(c, lambda x, f: CASE WHEN f = a THEN list_transform(x, lambda y, i: y * cos(t) + c[b][i] * sin(t))
+                                                        WHEN f = b THEN list_transform(x, lambda y, i: y * cos(t) - c[a][i] * sin(t)) ELSE x END), h
+    FROM (SELECT *, atan2(2 * {_sums("u", "v")} - 2 * list_sum(u) * list_sum(v) / len(u),
+                          {_sums("u", "u")} - {_sums("v", "v")} - (pow(list_sum(u), 2) - pow(list_sum(v), 2)) / len(u)) / 4 AS t
+          FROM (SELECT *, list_transform(c[a], lambda y, i: y * y - c[b][i] * c[b][i]) AS u, list_transform(c[a], lambda y, i: 2 * y * c[b][i]) AS v
+                FROM (SELECT *, [1, 1, 2][step % 3 + 1] AS a, [2, 3, 3][step % 3 + 1] AS b FROM s)))
+    WHERE step < 300)
+  SELECT list_transform(c, lambda x: list_transform(x, lambda y, i: y * h[i])) AS c FROM s WHERE step = 300),
+target AS (SELECT c, {_lists([[_sums(f"c[{f + 1}]", f"c[{g + 1}]") for g in _THREE] for f in _THREE])} AS x,
+                     {_lists([[_sums(f"c[{f + 1}]", f"list_transform(c[{g + 1}], lambda y: y * y * y)") for g in _THREE] for f in _THREE])} AS y FROM varimax),
+inverse AS (SELECT c, y, {_lists(_inverse("x"))} AS x FROM target),
+turn AS (SELECT c, {_lists([[" + ".join(f"x[{f + 1}][{k + 1}] * y[{k + 1}][{g + 1}]" for k in _THREE) for f in _THREE] for g in _THREE])} AS t FROM inverse),
+cross_turn AS (SELECT c, t, {_lists([[_sums(f"t[{f + 1}]", f"t[{g + 1}]") for g in _THREE] for f in _THREE])} AS tt FROM turn),
+scaled AS (SELECT c, list_transform(t, lambda x, f: list_transform(x, lambda y: y * sqrt({_lists([[_inverse("tt")[f][f] for f in _THREE]])}[1][f]))) AS t FROM cross_turn),
+pattern AS (SELECT unnest({_COLUMNS_BY.format(m="t")}) AS v FROM scaled),
+numbered AS (SELECT row_number() OVER (ORDER BY list_dot_product(v, v) DESC) AS factor, list_transform(v, lambda x: x * CASE WHEN list_sum(v) < 0 THEN -1.0 ELSE 1.0 END) AS v FROM pattern),
+load AS MATERIALIZED (SELECT unnest(var) AS var, CAST(factor AS INTEGER) AS factor, unnest(v) AS loading FROM numbered, reduced),
 mxl AS (SELECT var, max(abs(loading)) AS mx FROM load GROUP BY var),
 tops AS (SELECT l.var, l.factor, l.loading FROM load l JOIN mxl m ON l.var = m.var AND abs(l.loading) = m.mx),
 prim AS (
@@ -167,6 +284,21 @@ sc AS (SELECT h.text_id, p.factor, sum(p.pole) AS score FROM hits h JOIN prim p
 fgrid AS (SELECT mt.text_id, f.factor FROM mt CROSS JOIN (SELECT unnest(range(1, {K_FACTORS + 1})) AS factor) f),
 scores AS (SELECT g.text_id, CAST(g.factor AS INTEGER) AS factor, CAST(coalesce(sc.score, 0) AS BIGINT) AS score FROM fgrid g LEFT JOIN sc USING (text_id, factor))"""
 
+_FMAP = " ".join(f"WHEN '{s}' THEN {i + 1}" for i, s in enumerate(FACTOR_STRATA))
+_STRATA_LIST = ", ".join(f"('{s}')" for s in FACTOR_STRATA)
+
+_STRATUM_LOAD = f"""{_VOCAB},
+ns AS (SELECT stratum, count(*) AS ns FROM mt GROUP BY stratum),
+nv AS (SELECT var, count(*) AS nv FROM hits GROUP BY var),
+n11 AS (SELECT var, stratum, count(*) AS n11 FROM hits GROUP BY var, stratum),
+fs AS (SELECT * FROM (VALUES {_STRATA_LIST}) t(stratum)),
+lj AS (
+  SELECT nv.var, CAST(CASE fs.stratum {_FMAP} END AS INTEGER) AS factor, CAST(nv.nv AS DOUBLE) AS nv, CAST(ns.ns AS DOUBLE) AS ns,
+         CAST(coalesce(n11.n11, 0) AS DOUBLE) AS n11, CAST((SELECT n FROM nmt) AS DOUBLE) AS n
+  FROM nv CROSS JOIN fs JOIN ns ON ns.stratum = fs.stratum LEFT JOIN n11 ON n11.var = nv.var AND n11.stratum = fs.stratum),
+load AS (
+  SELECT var, factor, CASE WHEN sqrt(nv * (n - nv) * ns * (n - ns)) > 0 THEN (n * n11 - nv * ns) / sqrt(nv * (n - nv) * ns * (n - ns)) ELSE 0.0 END AS loading
+  FROM lj)"""
 
 @register("keyword_index", f"WITH {_VOCAB} SELECT var, CAST(idx AS BIGINT) AS idx, lemma FROM idx")
 def q_keyword_index(spark, sf):
@@ -195,19 +327,16 @@ def q_presence_grid(spark, sf):
     return M.presence_grid(t, hits, idx)
 
 
-#: Variables of the registered wide export.
-WIDE = 50
-
-
 @register(
     "merge_columns",
-    f"WITH {_VOCAB} SELECT mt.text_id, "
-    + ", ".join(f"CAST(max(CASE WHEN h.idx = {i} THEN 1 ELSE 0 END) AS INTEGER) AS v{i:06d}" for i in range(1, WIDE + 1))
-    + " FROM mt LEFT JOIN hits h USING (text_id) GROUP BY mt.text_id",
+    f"""WITH {_VOCAB}
+SELECT mt.text_id, CAST((i.idx - 1) // {M.BITMAP} + 1 AS INTEGER) AS bucket, string_agg(CASE WHEN h.text_id IS NULL THEN '0' ELSE '1' END, '' ORDER BY i.idx) AS flags
+FROM mt CROSS JOIN idx i LEFT JOIN hits h ON h.text_id = mt.text_id AND h.idx = i.idx GROUP BY ALL""",
 )
 def q_merge_columns(spark, sf):
+    """The whole 0/1 matrix, one character for each variable."""
     t, idx, hits = _hits(spark, sf)
-    return M.merge_columns(_matrix_texts(t, hits), hits, idx, 1, WIDE)
+    return M.merge_columns(_matrix_texts(t, hits), hits, idx)
 
 
 @register(
@@ -218,13 +347,9 @@ SELECT mt.text_id, CAST((i.idx - 1) // {M.EXPORT_COLUMNS} + 1 AS INTEGER) AS "gr
 FROM mt CROSS JOIN idx i LEFT JOIN hits h ON h.text_id = mt.text_id AND h.idx = i.idx GROUP BY ALL""",
 )
 def q_merge_column_groups(spark, sf):
-    """C10 whole: the 0/1 flags of all variables, one row for each text and group of ``EXPORT_COLUMNS`` variables."""
+    """C10 with an array for each ``EXPORT_COLUMNS`` variables."""
     t, idx, hits = _hits(spark, sf)
-    texts = materialize(_matrix_texts(t, hits).select("text_id"), "matrix-texts")
-    out = texts.select("text_id", F.lit(0).alias("group"), F.array().cast("array<int>").alias("flags")).limit(0)
-    for k, wide in enumerate(M.merge_column_groups(texts, hits, idx), 1):
-        out = out.unionAll(wide.select("text_id", F.lit(k).alias("group"), F.array(*wide.columns[1:]).alias("flags")))
-    return out
+    return M.merge_column_groups(_matrix_texts(t, hits), hits, idx)
 
 
 @register("cooccurrence", f"WITH {_PAIRS} SELECT var_i, var_j, n11, n10, n01, n00 FROM pairs")
@@ -247,37 +372,57 @@ def q_select_by_correlation(spark, sf):
     return s.select("var", F.round("max_abs_r", 6).alias("max_abs_r"))
 
 
-@register("tetrachoric")
+@register("tetrachoric", f"WITH {_TETRACHORIC} SELECT var_i, var_j, round(r, 4) AS r, flag FROM tetra")
 def q_tetrachoric(spark, sf):
-    return M.tetrachoric(_pairs(spark, sf)[1])
+    return M.tetrachoric(_pairs(spark, sf)[1]).select("var_i", "var_j", F.round("r", 4).alias("r"), "flag")
+
 
+TOP_VARIABLES = 100
 
-_COMM_SQL = "SELECT var, least(1.0, sum(loading * loading)) AS communality FROM load GROUP BY var"
 
+@register(
+    "select_top_by_correlation",
+    f"""WITH {_TETRACHORIC}, b AS (SELECT var_i AS var, abs(r) AS ar FROM tetra UNION ALL SELECT var_j, abs(r) FROM tetra)
+SELECT var, round(round(max(ar), 6), 4) AS max_abs_r FROM b GROUP BY var HAVING round(max(ar), 6) >= {R_MIN} ORDER BY round(max(ar), 6) DESC, var LIMIT {TOP_VARIABLES}""",
+)
+def q_select_top_by_correlation(spark, sf):
+    """J10 on the tetrachoric r, the first ``TOP_VARIABLES``; r to six places decides, so that equal ones are ties."""
+    _, idx, hits = _hits(spark, sf)
+    best = M.select_by_correlation(_correlation(hits, idx).withColumn("r", F.round("r", 6)), R_MIN, TOP_VARIABLES)
+    return best.select("var", F.round("max_abs_r", 4).alias("max_abs_r"))
 
-@register("communalities", f"WITH {_LOAD}, c AS ({_COMM_SQL}) SELECT var, round(communality, 6) AS communality FROM c")
+
+@register("communalities", f"WITH {_COMPONENTS} SELECT var, round(communality, 4) AS communality FROM comm")
 def q_communalities(spark, sf):
-    return FA.communalities(_loaded(spark, sf)[3]).select("var", F.round("communality", 6).alias("communality"))
+    idx, found = _components(spark, sf)
+    return FA.communalities(FA.component_loadings(found, idx)).select("var", F.round("communality", 4).alias("communality"))
 
 
 @register(
     "split_communality",
-    f"""WITH {_LOAD}, c AS ({_COMM_SQL})
-SELECT var, round(communality, 6) AS communality, CASE WHEN communality >= {FA.COMMUNALITY_MIN} THEN 'kept' ELSE 'dropped' END AS "set" FROM c""",
+    f"""WITH {_COMPONENTS}
+SELECT var, round(communality, 4) AS communality, CASE WHEN communality >= {FA.COMMUNALITY_MIN} THEN 'kept' ELSE 'dropped' END AS "set" FROM comm""",
 )
 def q_split_communality(spark, sf):
-    kept, dropped = FA.split_communality(FA.communalities(_loaded(spark, sf)[3]))
+    idx, found = _components(spark, sf)
+    kept, dropped = FA.split_communality(FA.communalities(FA.component_loadings(found, idx)))
     both = kept.withColumn("set", F.lit("kept")).unionByName(dropped.withColumn("set", F.lit("dropped")))
-    return both.select("var", F.round("communality", 6).alias("communality"), "set")
+    return both.select("var", F.round("communality", 4).alias("communality"), "set")
 
 
 @register(
     "scree",
-    f"""WITH {_LOAD}, e AS (SELECT factor, sum(loading * loading) AS v FROM load GROUP BY factor)
-SELECT row_number() OVER (ORDER BY v DESC, factor) AS number, round(v, 6) AS eigenvalue FROM e ORDER BY v DESC, factor LIMIT 20""",
+    f"""WITH {_TETRACHORIC}, full_matrix AS MATERIALIZED ({_matrix_sql("idx", "1.0")}),{_eigen_sql("eigen", "full_matrix", FA.SCREE)}
+SELECT CAST(k AS BIGINT) AS number, round(found[k].l, 4) AS eigenvalue FROM (SELECT found, unnest(range(1, len(found) + 1)) AS k FROM eigen)""",
 )
 def q_scree(spark, sf):
-    return FA.scree(FA.explained(_loaded(spark, sf)[3]), 20).select("number", F.round("eigenvalue", 6).alias("eigenvalue"))
+    found = _components(spark, sf, always=FA.SCREE)[1]
+    return FA.scree(FA.eigenvalues(spark, found), FA.SCREE).select("number", F.round("eigenvalue", 4).alias("eigenvalue"))
+
+
+@register("rotate", f"WITH {_LOAD} SELECT var, factor, round(loading, 4) AS loading FROM load")
+def q_rotate(spark, sf):
+    return _loaded(spark, sf)[3].select("var", "factor", F.round("loading", 4).alias("loading"))
 
 
 @register("stratum_loadings", f"WITH {_STRATUM_LOAD} SELECT var, factor, round(loading, 6) AS loading FROM load")
