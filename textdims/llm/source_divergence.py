@@ -84,7 +84,8 @@ def count_terms(docs: DataFrame) -> DataFrame:
         yield flush()
 
     rows = map_arrow(docs.select(_plain("lang"), _plain("source"), _plain("text")), run, _COUNTS)
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # dealt by term once: the sums here and the choice of kept terms need no other exchange; a term has a row for each task and source at most
+    return rows.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
 
 
 def kept_terms(counts: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
