@@ -1,9 +1,9 @@
 """BPE encoding by backtracking over longest matches, decoding by an offset table.
 
-Encoding of a word: an Aho-Corasick automaton over the vocabulary gives, in one
-pass, the tokens that start at each place.  From the left, the longest token is
-taken that is *compatible* with the token before it; when none is, the last
-token is taken back and its end is never tried again.  Two tokens are
+Encoding of a word: an Aho-Corasick automaton over the vocabulary gives the longest
+token from each place on, a table the next shorter token that starts like it.  From the
+left, the longest token is taken that is *compatible* with the token before it; when
+none is, the last token is taken back and its end is never tried again.  Two tokens are
 compatible if merging their symbols by rank gives just these two; that only
 depends on the merges along the edge where they meet, and the answers make up the
 pair table, filled as pairs turn up.  A sequence whose neighbours are all
@@ -60,7 +60,7 @@ _WORD_PATTERN = {
 class PairTable:
     """Which tokens may stand side by side, decided by the merges; a symbol is a token without parts."""
 
-    KEPT = 100_000
+    KEPT = 200_000
 
     def __init__(self, parts: dict[str, tuple[str, str]], rank: dict[str, int]):
         self.parts, self.rank = parts, rank
@@ -68,6 +68,7 @@ class PairTable:
         self.never = len(rank) + 1
         self.edges: tuple[dict, dict] = ({}, {})
         self.known: dict[tuple[str, str], bool] = {}
+        self.known_before: dict[tuple[str, str], bool] = {}
 
     def edge(self, token: str, side: int) -> list[tuple[str, int]]:
         """Tokens along one edge of ``token`` from its outer symbol up, each with the rank of the merge that uses it up."""
@@ -101,9 +102,12 @@ class PairTable:
     def compatible(self, a: str, b: str) -> bool:
         ok = self.known.get((a, b))
         if ok is None:
+            ok = self.known_before.get((a, b))
+            if ok is None:
+                ok = self.apart(a, b, self.never)
             if len(self.known) >= self.KEPT:
-                self.known.clear()
-            ok = self.known[a, b] = self.apart(a, b, self.never)
+                self.known, self.known_before = {}, self.known
+            self.known[a, b] = ok
         return ok
 
 
@@ -139,6 +143,7 @@ class Vocabulary:
             if ok and t in self.id:
                 self.automaton.add_word(t, t)
         self.automaton.make_automaton()
+        self.shorter: dict[str, str | None] = {}
         self.special = {t["content"]: t["id"] for t in special}
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if special else None
 
@@ -149,35 +154,55 @@ class Vocabulary:
             return bare[:-1] + chr(_END + ord(bare[-1]))
         return token
 
+    def next_shorter(self, token: str) -> str | None:
+        """The longest token that is a proper prefix of ``token``."""
+        out = next((token[:n] for n in range(len(token) - 1, 0, -1) if token[:n] in self.automaton), None)
+        self.shorter[token] = out
+        return out
+
     def word(self, word: str) -> list[int]:
         """Token ids of one word of byte-level characters."""
         s = word[:-1] + chr(_END + ord(word[-1])) if self.suffix else word
         if s in self.id and s in self.automaton:
             return [self.id[s]]
-        starts: list[list[str]] = [[] for _ in s]
-        for end, token in self.automaton.iter(s):
-            starts[end - len(token) + 1].append(token)  # by end: the longest is last
-        given_up = bytearray(len(s) + 1)
-        taken: list[tuple[str, int]] = []  # token, the next shorter choice at its place
-        at, choice = 0, len(starts[0]) - 1
-        while at < len(s):
-            before = taken[-1][0] if taken else None
-            while choice >= 0:
-                token = starts[at][choice]
-                if not given_up[at + len(token)] and (before is None or self.pairs.compatible(before, token)):
+        longest, known, compatible, shorter = self.automaton.iter_long, self.pairs.known, self.pairs.compatible, self.shorter
+        # longest matches one after the other, as far as they are compatible
+        taken: list[str] = []
+        at, before = 0, None
+        for _, token in longest(s):
+            if before is not None and not (known[before, token] if (before, token) in known else compatible(before, token)):
+                break
+            taken.append(token)
+            at += len(token)
+            before = token
+        size = len(s)
+        if at == size:
+            return [self.id[t] for t in taken]
+        if not taken or not s.startswith(token, at):
+            raise ValueError(f"no tokens for {word!r}")
+        known = self.pairs.known
+        given_up = set()
+        token = shorter[token] if token in shorter else self.next_shorter(token)
+        while True:
+            while token is not None:
+                end = at + len(token)
+                if end not in given_up and (before is None or (known[before, token] if (before, token) in known else compatible(before, token))):
                     break
-                choice -= 1
-            if choice >= 0:
-                taken.append((token, choice - 1))
-                at += len(token)
-                choice = len(starts[at]) - 1 if at < len(s) else -1
-            else:
+                token = shorter[token] if token in shorter else self.next_shorter(token)
+            if token is None:
                 if not taken:
                     raise ValueError(f"no tokens for {word!r}")
-                given_up[at] = 1
-                token, choice = taken.pop()
+                given_up.add(at)
+                token = taken.pop()
                 at -= len(token)
-        return [self.id[t] for t, _ in taken]
+                before = taken[-1] if taken else None
+                token = shorter[token] if token in shorter else self.next_shorter(token)
+            else:
+                taken.append(token)
+                at, before = end, token
+                if at == size:
+                    return [self.id[t] for t in taken]
+                token = next(longest(s, at))[1]
 
     def chunk(self, chunk: str) -> tuple[int, ...]:
         """Token ids of text without white space."""
@@ -218,37 +243,42 @@ _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?
 
 
 class ChunkCache(dict):
-    """Ids of chunks seen before; emptied when full, and long chunks are not kept.  Words have a second cache, under their chunks'."""
+    """Ids of chunks seen before, and of the words under them; each in two generations, of which the older one goes when the younger is full.  Long chunks are not kept."""
 
-    KEPT, LONGEST = 50_000, 48
-    WORDS = 150_000
+    KEPT, LONGEST = 150_000, 48
 
     def __init__(self, vocabulary: Vocabulary):
         super().__init__()
-        self.vocabulary, self.words = vocabulary, {}
+        self.vocabulary = vocabulary
+        self.before: dict[str, tuple[int, ...]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.words_before: dict[str, tuple[int, ...]] = {}
 
     def word(self, word: str) -> tuple[int, ...]:
         out = self.words.get(word)
         if out is None:
-            out = tuple(self.vocabulary.word(word.encode().decode("latin-1").translate(_BYTE_LEVEL)))
+            out = self.words_before.get(word)
+            if out is None:
+                out = tuple(self.vocabulary.word(word if word.isascii() else word.encode().decode("latin-1").translate(_BYTE_LEVEL)))
             if len(word) <= self.LONGEST:
-                if len(self.words) >= self.WORDS:
-                    self.words.clear()
+                if len(self.words) >= self.KEPT:
+                    self.words, self.words_before = {}, self.words
                 self.words[word] = out
         return out
 
     def __missing__(self, chunk: str) -> tuple[int, ...]:
-        plain = _PLAIN.fullmatch(chunk) if self.vocabulary.lowers else None
-        if plain:
-            out = self.word(plain[1].lower())
-            if plain[2]:
-                out += self.word(plain[2])
-            if len(self) >= self.KEPT:
-                return out  # cheap enough to put together again
-        else:
-            out = self.vocabulary.chunk(chunk)
+        out = self.before.get(chunk)
+        if out is None:
+            plain = _PLAIN.fullmatch(chunk) if self.vocabulary.lowers else None
+            if plain:
+                out = self.word(plain[1].lower())
+                if plain[2]:
+                    out += self.word(plain[2])
+            else:
+                out = self.vocabulary.chunk(chunk)
         if len(chunk) <= self.LONGEST:
             if len(self) >= self.KEPT:
+                self.before = dict(self)
                 self.clear()
             self[chunk] = out
         return out
