@@ -155,3 +155,83 @@ def test_corpus_files_are_bounded(spark, tmp_path, monkeypatch):
     files = (tmp_path / "corpus dir/texts").rglob("part-*")
     sizes = [len(gzip.decompress(p.read_bytes()) if p.suffix == ".gz" else p.read_bytes()) for p in files]
     assert sum(sizes) >= 600_000 and max(sizes) <= 40_000
+
+
+def _posts(spark, rows):
+    return spark.createDataFrame([(i, "sr", 1000.0, None, "", t, 0, 0, "", f"/p/{i}", None, None) for i, t in rows], ST.RAW_SUBMISSION_SCHEMA)
+
+
+def test_first_texts_by_file_and_line_in_both_arrivals(spark):
+    """Equal texts in two files, read in either order with a restart between: the first by file and line stays."""
+    long = "ten words are needed here so that posts are kept " + "x"
+    a = [("a1", long + "1"), ("a2", long + "2"), ("a3", long + "1"), ("a4", "short"), ("a5", None), ("a6", "  ")]
+    b = [("b1", long + "2"), ("b2", long + "3"), ("b3", long + "3"), ("b4", long + "1")]
+    for order in ("ab", "ba"):
+        base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+        for name in order:
+            _posts(spark, dict(a=a, b=b)[name]).coalesce(1).write.json(f"{base}/in/{name}")
+            ST.run_collection(spark, f"{base}/in", f"{base}/out", f"{base}/collect", {})
+            ST.stream_first_texts(spark, f"{base}/out", f"{base}/first").awaitTermination()
+        got = sorted(r.id for r in ST.first_texts(spark, f"{base}/out").collect())
+        batch = ST.collected(spark, f"{base}/out").filter("id not in ('a4', 'a5', 'a6')")
+        want = sorted(r.id for r in C.exact_dedup(batch, "selftext", FI.FILE_ORDER).collect())
+        assert got == want == ["a1", "a2", "b2"]
+
+
+def test_cancelled_run_is_taken_up(spark):
+    base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+    _posts(spark, [(str(i), f"text {i}") for i in range(12)]).repartition(4).write.json(f"{base}/in")
+    said, asked = [], []
+
+    def stop():
+        asked.append(1)
+        return len(asked) > 2
+
+    first = ST.run_collection(spark, f"{base}/in", f"{base}/out", f"{base}/ck", {"listing": "new", "subreddits": ["sr"]}, stop, said.append, max_files_per_trigger=1)
+    assert len(first) == 2 and ST.collected(spark, f"{base}/out").count() == sum(first.values()) < 12
+    rest = ST.run_collection(spark, f"{base}/in", f"{base}/out", f"{base}/ck", {"listing": "new"}, lambda: False, said.append, max_files_per_trigger=1)
+    assert sum(first.values()) + sum(rest.values()) == 12
+    assert sorted(int(r.id) for r in ST.collected(spark, f"{base}/out").collect()) == list(range(12))
+    records = ST.run_records(spark, f"{base}/out").orderBy("started_at").collect()
+    assert [r.cancelled for r in records] == [True, False]
+    assert [r.counts.posts for r in records] == [sum(first.values()), sum(rest.values())]
+    assert records[0].params.listing == "new" and all(r.finished_at >= r.started_at for r in records)
+    assert said[-1] == "Collection finished." and "Collection cancelled." in said
+
+
+def test_a_failing_run_is_no_cancelled_one(spark):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+    _posts(spark, [("1", "t")]).write.json(f"{base}/in")
+
+    def broken():
+        raise RuntimeError("flag unreadable")
+
+    with pytest.raises(StreamingQueryException):
+        ST.run_collection(spark, f"{base}/in", f"{base}/out", f"{base}/ck", {}, broken)
+
+
+def test_append_again_after_a_failed_task(spark):
+    """A job whose task fails halfway, run again under its name: every row once, and other jobs' rows stay."""
+    import pytest
+
+    base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+    rows = spark.range(0, 40, 1, 4)
+    FI.append_rows(rows.withColumn("job", F.lit("earlier")), f"{base}/x", "earlier job")
+    broken = rows.withColumn("job", F.when(F.col("id") == 35, F.raise_error(F.lit("lost"))).otherwise(F.lit("later")))
+    with pytest.raises(Exception, match="lost"):
+        FI.append_rows(broken, f"{base}/x", "later")
+    for _ in range(2):
+        assert FI.append_rows(rows.withColumn("job", F.lit("later")), f"{base}/x", "later") == 40
+    back = spark.read.option("recursiveFileLookup", "true").json(f"{base}/x")
+    assert back.groupBy("job").agg(F.count("id"), F.count_distinct("id")).orderBy("job").collect() == [("earlier", 40, 40), ("later", 40, 40)]
+
+
+def test_export_tables_with_manifest(spark):
+    base = tempfile.mkdtemp(prefix="textdims-test-", dir="/tmp")
+    m = FI.export_tables({"one": spark.createDataFrame([(1, "a\tb")], "x int, y string"), "none": spark.createDataFrame([], "z double")}, base)
+    assert sorted((r.name, r.columns, r.rows) for r in m.collect()) == [("none", ["z"], 0), ("one", ["x", "y"], 1)]
+    back = spark.read.option("header", "true").option("sep", "\t").csv(f"{base}/one").collect()
+    assert [tuple(r) for r in back] == [("1", "a\tb")]

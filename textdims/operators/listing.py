@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as H
@@ -12,9 +12,9 @@ PERMALINK_PREFIX = "https://reddit.com"
 LINK_PREFIX = "t3_"
 
 
-def normalize_submission(raw: DataFrame) -> DataFrame:
+def normalize_submission(raw: DataFrame, *more: Column) -> DataFrame:
     """A3: raw record -> submission row (epoch int default 0, author null when absent,
-    absolute permalink, over_18 default false)."""
+    absolute permalink, over_18 default false), with the columns ``more`` beside it."""
     cols = set(raw.columns)
 
     def opt(name, default=None, cast=None):
@@ -34,11 +34,12 @@ def normalize_submission(raw: DataFrame) -> DataFrame:
         F.concat(F.lit(PERMALINK_PREFIX), opt("permalink", "", "string")).alias("permalink"),
         F.coalesce(opt("over_18", cast="boolean"), F.lit(False)).alias("over_18"),
         opt("removed_by_category", cast="string").alias("removed_by_category"),
+        *more,
     )
 
 
-def normalize_comment(raw: DataFrame) -> DataFrame:
-    """A4: raw record -> comment row; every ``t3_`` removed from link_id; parent_id unchanged."""
+def normalize_comment(raw: DataFrame, *more: Column) -> DataFrame:
+    """A4: raw record -> comment row, with the columns ``more`` beside it; every ``t3_`` removed from link_id; parent_id unchanged."""
     cols = set(raw.columns)
 
     def opt(name, default=None, cast=None):
@@ -57,6 +58,7 @@ def normalize_comment(raw: DataFrame) -> DataFrame:
         opt("score", cast="long").alias("score"),
         F.concat(F.lit(PERMALINK_PREFIX), opt("permalink", "", "string")).alias("permalink"),
         opt("removed_by_category", cast="string").alias("removed_by_category"),
+        *more,
     )
 
 

@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from ..operators import groups as G
 from ..operators import keyness as K
 from ..operators import matrix as M
 from ..operators import tokens as T
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
+from ..sources import files as FI
 from ..sources import tables
 from . import sqlfrag as S
 from .q_keyness import _KN_RANKED, CEILING, CUTOFF_PCT, MAX_TOTAL, WEIGHT, WEIGHTED
@@ -525,7 +528,11 @@ def q_derive_strata(spark, sf):
 
 
 def _scores_grouped(spark, sf):
-    t, idx, hits, load = _loaded(spark, sf)
+    t, _, hits, load = _loaded(spark, sf)
+    return _grouped(t, hits, load)
+
+
+def _grouped(t, hits, load):
     prim = FA.assign_loading(load, CUT)
     mt = _matrix_texts(t, hits)
     wide = FA.scores_wide(FA.factor_scores(mt, hits, prim, K_FACTORS), K_FACTORS)
@@ -660,12 +667,51 @@ def q_box_stats(spark, sf):
 
 @register(
     "box_outliers",
-    f"""WITH {LI_SQL}, v AS (SELECT l_orderkey, l_linenumber, flag, price * price AS value FROM li), f AS (
+    f"""WITH {LI_SQL}, v AS (SELECT l_orderkey, l_linenumber, flag, price * price * price * price AS value FROM li), f AS (
   SELECT flag AS level, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM v WHERE value IS NOT NULL GROUP BY flag)
 SELECT l_orderkey, l_linenumber, level, value FROM v JOIN f ON v.flag = f.level
 WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""",
 )
 def q_box_outliers(spark, sf):
-    """Squared prices: continuous, and skewed enough to have outliers."""
-    squared = _li(spark, sf).withColumn("value", F.col("price") * F.col("price"))
-    return G.box_outliers(squared, "flag", "value", ("l_orderkey", "l_linenumber"))
+    """Fourth powers of prices: continuous, and skewed enough to have outliers."""
+    price = F.col("price")
+    return G.box_outliers(_li(spark, sf).withColumn("value", price * price * price * price), "flag", "value", ("l_orderkey", "l_linenumber"))
+
+
+_RESULTS = {"communalities": ("var", "communality"), "loadings": ("var, factor", "loading"), "scores": ("text_id", ", ".join(_SCORE_DEPS)), "anova": ("effect, dependent", "f_value, r_square")}
+
+
+@register(
+    "results_export",
+    f"""WITH {_SCORES_GROUPED}, a AS ("""
+    + " UNION ALL ".join(_anova_sql("sgg", f'"{e}"', d).replace(f"'\"{e}\"' AS effect", f"'{e}' AS effect") for e in _SCORE_EFFECTS for d in _SCORE_DEPS)
+    + f"""), an AS ({_anova_select(4)})
+SELECT 'communalities' AS "table", var AS key, 'communality' AS name, printf('%.4f', communality) AS value FROM comm
+UNION ALL SELECT 'loadings', var || ' ' || factor, 'loading', printf('%.4f', loading) FROM load
+UNION ALL SELECT 'scores', CAST(text_id AS VARCHAR), 'fac' || factor, printf('%.4f', CAST(score AS DOUBLE)) FROM scores
+UNION ALL SELECT 'anova', effect || ' ' || dependent, 'f_value', printf('%.4f', f_value) FROM an
+UNION ALL SELECT 'anova', effect || ' ' || dependent, 'r_square', printf('%.4f', r_square) FROM an""",
+)
+def q_results_export(spark, sf):
+    """Communalities, loadings, scores and the effect x factor ANOVA table written in one job, and read back from its files."""
+    t, idx, hits = _hits(spark, sf)
+    corr = _correlation(hits, idx)
+    comm = FA.communalities(FA.component_loadings(FA.principal_components(corr, idx), idx))
+    load = _rotated(hits, idx)
+    sg = materialize(_grouped(t, hits, load), "scores-grouped")
+    tables_ = {
+        "communalities": comm,
+        "loadings": load,
+        "scores": sg.select("text_id", *_SCORE_DEPS),
+        "anova": _round_anova(_anovas(sg, _SCORE_EFFECTS, _SCORE_DEPS), 4).select("effect", "dependent", "f_value", "r_square"),
+    }
+    base = f"{checkpoint_dir(spark).rstrip('/')}/textdims-io/results-{uuid.uuid4().hex}"
+    manifest = FI.export_tables(tables_, base)
+    out = None
+    for name, (keys, values) in _RESULTS.items():
+        cols = next(r["columns"] for r in manifest.filter(F.col("name") == name).collect())
+        back = spark.read.option("header", "true").option("sep", "\t").csv(f"{base}/{name}").select(*cols)
+        pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("name"), F.col(v).cast("double").alias("value")) for v in values.split(", ")])).alias("v")
+        rows = back.select(F.lit(name).alias("table"), F.concat_ws(" ", *keys.split(", ")).alias("key"), pairs).select("table", "key", "v.name", F.format_string("%.4f", "v.value").alias("value"))
+        out = rows if out is None else out.unionAll(rows)
+    return out

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import text as H
+from ..operators import clean as CL
 from ..operators import tokens as T
 from ..session import checkpoint_dir
 from ..sources import files as FI
@@ -88,13 +89,63 @@ def q_stream_first_seen(spark, sf):
     raw = _raw_submissions(spark, sf)
     raw.write.json(f"{base}/in/part1")
     raw.write.json(f"{base}/in/part2")  # the whole listing replayed after a retry
-    stream = spark.readStream.schema(ST.RAW_SUBMISSION_SCHEMA).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 2).json(f"{base}/in")
+    stream = spark.readStream.schema(ST.RAW_SUBMISSION_SCHEMA).option("recursiveFileLookup", "true").option("maxBytesPerTrigger", ST.BATCH_BYTES).json(f"{base}/in")
     s = ST.stream_first_seen(stream, dedup_watermark="1000 days")  # replays may come that much later
     q = s.select("id").writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 
+@register(
+    "stream_first_texts",
+    f"""WITH {POSTS_SQL} SELECT CAST(min(id) AS VARCHAR) AS id, count(*) AS n FROM posts
+WHERE selftext IS NOT NULL AND regexp_matches(selftext, '\\S') AND {S.word_count('selftext')} >= 10 GROUP BY selftext""",
+)
+def q_stream_first_texts(spark, sf):
+    """K2 + D2: equal texts over two runs, the later one bringing the files that come first; n: posts of the text."""
+    base = _scratch(spark, "firsttexts")
+    raw = _raw_submissions(spark, sf)
+    number = F.col("id").cast("long")
+    middle = raw.select(F.median(number)).first()[0] or 0
+    runs = (("b", number > middle), ("a", number <= middle))  # in the order of their arrival
+    for name, part in runs:
+        raw.filter(part).repartitionByRange(4, number).sortWithinPartitions(number).write.json(f"{base}/in/{name}")
+        ST.run_collection(spark, f"{base}/in", f"{base}/out", f"{base}/collect", {})
+        ST.stream_first_texts(spark, f"{base}/out", f"{base}/first").awaitTermination()
+    first = ST.first_texts(spark, f"{base}/out")
+    rows = ST.collected(spark, f"{base}/out").select(CL.text_key("selftext").alias("text_key"))
+    return first.join(rows, "text_key").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    "collect_cancel_resume",
+    """SELECT count(*) AS n_rows, count(DISTINCT doc_id) AS n_ids, CAST(2 AS BIGINT) AS n_runs, true AS first_cancelled, false AS last_cancelled, CAST(2 AS BIGINT) AS first_batches,
+  count(*) AS n_recorded FROM documents""",
+)
+def q_collect_cancel_resume(spark, sf):
+    """K1 + A8: a run that is cancelled after two of four batches, and the run that takes up the rest."""
+    base = _scratch(spark, "cancel")
+    _raw_submissions(spark, sf).repartition(4).write.json(f"{base}/in")
+    asked = []
+
+    def stop_at_third():
+        asked.append(1)
+        return len(asked) > 2
+
+    first = ST.run_collection(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", {}, stop_at_third, max_files_per_trigger=1)
+    ST.run_collection(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", {}, max_files_per_trigger=1)
+    runs = ST.run_records(spark, f"{base}/out")
+    return ST.collected(spark, f"{base}/out").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("id").alias("n_ids"),
+        runs.select(F.count(F.lit(1))).scalar().alias("n_runs"),
+        runs.select(F.min_by("cancelled", "started_at")).scalar().alias("first_cancelled"),
+        runs.select(F.max_by("cancelled", "started_at")).scalar().alias("last_cancelled"),
+        F.lit(len(first)).cast("long").alias("first_batches"),
+        runs.select(F.sum("counts.posts")).scalar().alias("n_recorded"),
+    )
+
+
 @register(
     "run_provenance",
     """SELECT false AS cancelled, 'src0' AS subreddit, 'new' AS listing, (SELECT count(*) FROM documents) AS posts,

@@ -78,15 +78,31 @@ def read_comments(spark: SparkSession, base: str, schema: T.StructType = COMMENT
     return _read_ndjson(spark, base, file_name, schema)
 
 
-def append_rows(df: DataFrame, path: str) -> int:
-    """A5: append rows as NDJSON; returns the number written (counted by an Observation, one pass)."""
+def append_rows(df: DataFrame, path: str, run: str | None = None) -> int:
+    """A5: append rows as NDJSON; returns the number written (counted by an Observation, one pass).
+
+    With ``run``, a name of the job, the rows go to a folder of that name, which the same job
+    run again replaces: whatever failed halfway before, no row is there twice.
+    """
     from pyspark.sql import Observation
 
     obs = Observation("append_rows")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").option("ignoreNullFields", "false").json(path)
+    rows = df.observe(obs, F.count(F.lit(1)).alias("n")).write.option("ignoreNullFields", "false")
+    if run is None:
+        rows.mode("append").json(path)
+    else:
+        rows.mode("overwrite").json(f"{path}/run={slug_name(run)}")
     return int(obs.get["n"])
 
 
+def slug_name(name: str) -> str:
+    """A folder name: letters, digits, ``.`` and ``-`` stay."""
+    out = re.sub(r"[^A-Za-z0-9.\-]+", "_", name)
+    if not out.strip("._"):
+        raise ValueError(f"no folder name in {name!r}")
+    return out
+
+
 def export_ndjson(df: DataFrame, path: str) -> None:
     """Overwrite as one JSON object per line, non-ASCII kept, ISO timestamps."""
     df.write.mode("overwrite").option("timestampFormat", ISO_TS).option("ignoreNullFields", "false").json(path)
@@ -232,3 +248,23 @@ def read_matrix(spark: SparkSession, path: str, n_vars: int) -> DataFrame:
 def export_results(df: DataFrame, path: str, sep: str = "\t") -> None:
     """Tab-separated export with a header."""
     df.write.mode("overwrite").option("header", "true").option("sep", sep).csv(path)
+
+
+def export_tables(results: dict[str, DataFrame], base: str, sep: str = "\t") -> DataFrame:
+    """Several result tables in one job, each in a folder of its name, and a manifest (name, columns, rows) written last.
+
+    The manifest says that the whole set is there; a job run again replaces everything.
+    """
+    from pyspark.sql import Observation
+
+    if not results:
+        raise ValueError("no results to export")
+    spark = next(iter(results.values())).sparkSession
+    rows = []
+    for name, df in results.items():
+        seen = Observation()
+        export_results(df.observe(seen, F.count(F.lit(1)).alias("n")), f"{base}/{slug_name(name)}", sep)
+        rows.append((name, df.columns, int(seen.get["n"])))
+    manifest = spark.createDataFrame(rows, "name string, columns array<string>, rows long")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{base}/manifest")
+    return manifest
