@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from textdims.llm import decontaminate as d
@@ -63,6 +64,37 @@ def test_several_blocks_give_the_same(spark):
     check(spark, *planted(3), block_bytes=200)
 
 
+def test_long_items_are_cut_into_runs(spark):
+    """Items over a block: their windows are all found, also those across the cuts."""
+    rng = random.Random(8)
+    long = words(rng, 400, 300)
+    w = long.split()
+    rows = [(i, " ".join(["x", *w[a : a + n], "y"])) for i, (a, n) in enumerate([(0, 10), (17, 9), (23, 10), (24, 15), (50, 200), (389, 11), (390, 10), (391, 9)])]
+    check(spark, rows, [(1, long), (2, long[:900]), (3, "short one"), (4, "é" * 500)], block_bytes=150)
+    for size in (40, 150, 10**6):
+        runs = [d.words_of(r) for r in d.item_runs(long.encode(), size)]
+        assert {x for r in runs for x in d.windows_of(r)} == set(d.windows_of(d.words_of(long.encode())))
+
+
+def test_very_many_different_words_in_one_item():
+    """More different words than one block can number: the runs of the item can all be built."""
+    text = " ".join(f"{k:x}" for k in range(2_200_000)).encode()
+    sizes = [len(r) for r in d.item_runs(text, d.BLOCK_BYTES)]
+    assert len(sizes) > 1 and max(sizes) <= d.BLOCK_BYTES
+    d.ItemBlock([("1", next(d.item_runs(text, d.BLOCK_BYTES)))])
+
+
+def test_one_passage_of_many_items():
+    """20,000 items with one passage: each of its windows is kept once."""
+    passage = " ".join(f"p{k}" for k in range(20))
+    block = d.ItemBlock([(str(k), passage.encode()) for k in range(20_000)])
+    assert len(block.start) == 11
+    block.choose_prefixes(np.zeros(block.known, np.int64))
+    document = ("filler words " * 300 + passage + " and more").encode()
+    at, items = block.hits(d._ids(d.words_of(document), block.number))
+    assert len(at) == 20 and len(items) == 20_000
+
+
 def test_empty_sides(spark):
     check(spark, ODD, [])
     check(spark, ODD, [(1, None), (2, "!!")])

@@ -10,10 +10,12 @@ Documents are joined on prefix shingles only; the place of the shingle in the
 window bounds where the window starts (positional bound) and the document has
 to reach to its end (length bound); what is left is compared word by word.
 
-The item side is a table of windows whose bytes are counted first.  It is cut
-into blocks of at most ``BLOCK_BYTES``; each block is broadcast and meets every
-document once.  With one block, the usual case, documents are read twice
-(rarity, join) and nothing of their size is shuffled; with several, the hits
+The item side is a table of windows whose bytes are counted first; a window that many items
+share is kept once, with the list of its items.  It is cut
+into blocks of at most ``BLOCK_BYTES`` (a longer item into runs that overlap by a
+window less one word); each block is broadcast and meets every
+document twice (rarity, join).  With one block, the usual case, nothing of the documents' size is
+shuffled; with several, documents are read twice for each, and the hits
 of the blocks of a document are united by one shuffle of hit spans.
 
 Defined cases: a null or empty text, and one without words, has no words and no
@@ -70,7 +72,8 @@ class ItemBlock:
                 at += n
         none = [np.zeros(0, np.int64)]
         self.seq = np.concatenate(seqs or none)
-        self.start, self.length, self.item = (np.concatenate(x or none).astype(np.int64) for x in (starts, lengths, of))
+        start, length, item = (np.concatenate(x or none).astype(np.int64) for x in (starts, lengths, of))
+        self._distinct(start, length, item)
         self.shingle = np.minimum(self.length, shingle)
         if (len(self.number) + 1) ** shingle >= 2**63:
             raise ValueError("a block has too many distinct words; lower block_bytes")
@@ -87,6 +90,29 @@ class ItemBlock:
             known += len(self.codes[n])
         self.known = known
 
+    def _distinct(self, start: np.ndarray, length: np.ndarray, item: np.ndarray) -> None:
+        """Each different window once, with the items that have it."""
+        starts, lengths, owners, known = [], [], [], 0
+        for n in np.unique(length).tolist():
+            w = np.flatnonzero(length == n)
+            _, first, same = np.unique(sequence_ranks(self.seq, n)[start[w]], return_index=True, return_inverse=True)
+            starts.append(start[w[first]])
+            lengths.append(np.full(len(first), n))
+            owners.append(np.unique((known + same) * len(self.names) + item[w]))
+            known += len(first)
+        none = [np.zeros(0, np.int64)]
+        self.start, self.length, owners = (np.concatenate(x or none).astype(np.int64) for x in (starts, lengths, owners))
+        many = max(1, len(self.names))
+        self.items = owners % many
+        self.items_from = np.searchsorted(owners // many, np.arange(known + 1))
+
+    def items_of(self, windows: np.ndarray) -> list[str]:
+        """Ids of the items that have one of the windows."""
+        low, high = self.items_from[windows], self.items_from[windows + 1]
+        many = high - low
+        at = np.repeat(low - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(int(many.sum()))
+        return [self.names[i] for i in np.unique(self.items[at])]
+
     def choose_prefixes(self, counts: np.ndarray) -> None:
         """The rarest shingle of each window (ties: the smaller number) and its first place in the window."""
         best = np.full(len(self.start), np.iinfo(np.int64).max)
@@ -133,10 +159,27 @@ class ItemBlock:
                 w, start = w[same], start[same]
             np.add.at(covered, start, 1)
             np.add.at(covered, start + self.length[w], -1)
-            items += [self.names[i] for i in np.unique(self.item[w])]
+            if len(w):
+                items += self.items_of(np.unique(w))
         return np.flatnonzero(np.cumsum(covered[:-1]) > 0), sorted(set(items))
 
 
+def sequence_ranks(seq: np.ndarray, n: int) -> np.ndarray:
+    """One exact number for the ``n`` words from each place of ``seq``: equal numbers, equal words; found by doubling."""
+
+    def joined(a, b, gap):
+        a, b = a[: len(b) - gap], b[gap:]
+        return np.unique(a * (int(b.max()) + 1 if len(b) else 1) + b, return_inverse=True)[1]
+
+    out, length, power, size = None, 0, seq, 1
+    while True:
+        if n & size:
+            out, length = (power, size) if out is None else (joined(out, power, length), length + size)
+        if length == n:
+            return out
+        power, size = joined(power, power, size), 2 * size
+
+
 def shingle_codes(seq: np.ndarray, at: np.ndarray, n: int, vocabulary: int) -> np.ndarray:
     """One exact number for the ``n`` words from each place."""
     code = np.zeros(len(at), np.int64)
@@ -224,16 +267,33 @@ def _join_block(docs: DataFrame, block: ItemBlock) -> DataFrame:
     return map_arrow(docs, find, SCHEMA)
 
 
+def item_runs(text: bytes, block_bytes: int, size: int = WINDOW):
+    """The text, or, of a text over ``block_bytes``, runs of its words that share all but one word of a window with the next run."""
+    if len(text) <= block_bytes:
+        yield text
+        return
+    words = words_of(text)
+    ends = np.cumsum([len(w) + 1 for w in words])
+    start = 0
+    while start < len(words):
+        before = int(ends[start - 1]) if start else 0
+        end = max(start + size, int(np.searchsorted(ends, before + block_bytes, "right")))
+        yield b" ".join(words[start:end])
+        if end >= len(words):
+            return
+        start = end - (size - 1)
+
+
 def item_blocks(items: DataFrame, block_bytes: int = BLOCK_BYTES):
-    """The items in blocks of bounded bytes, one block in the driver at a time."""
+    """The items in blocks of bounded bytes, one block in the driver at a time; a long item is in several."""
     block, size = [], 0
     for r in items.toLocalIterator():
-        text = r["text"].encode()
-        if block and size + len(text) > block_bytes:
-            yield block
-            block, size = [], 0
-        block.append((r["item"], text))
-        size += len(text)
+        for text in item_runs(r["text"].encode(), block_bytes):
+            if block and size + len(text) > block_bytes:
+                yield block
+                block, size = [], 0
+            block.append((r["item"], text))
+            size += len(text)
     yield block
 
 

@@ -18,7 +18,6 @@ than id and text are never inputs of a prediction.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -48,7 +47,6 @@ _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in cod
 #: Places of the hashed vector, and bytes handled at a time.
 WIDTH = 1 << 12
 _SLICE = 1 << 20
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @dataclass(frozen=True)
@@ -211,7 +209,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     def run(batches):
         m = held.value
         for batch in batches:
-            lettered = [m is not None and bool(_LETTER.search(t)) for t in batch.column("text").to_pylist()]
+            lettered = [m is not None and any(map(str.isalpha, t)) for t in batch.column("text").to_pylist()]
             out = [(UNKNOWN, 0.0)] * len(lettered)
             at = np.flatnonzero(lettered)
             for part in np.array_split(at, max(1, len(at) // 256)) if len(at) else ():
