@@ -92,9 +92,70 @@ def test_cooccurrence_beyond_one_block(spark):
 def test_wide_export_in_groups(spark):
     index = spark.createDataFrame([("v000001", 1, "a"), ("v000002", 2, "b"), ("v000003", 3, "c")], "var string, idx long, lemma string")
     hits = spark.createDataFrame([(1, "v000001", 1), (1, "v000003", 3), (2, "v000002", 2)], "text_id long, var string, idx long")
-    groups = list(M.merge_column_groups(spark.createDataFrame([(1,), (2,)], "text_id long"), hits, index, 2))
-    assert [g.columns for g in groups] == [["text_id", "v000001", "v000002"], ["text_id", "v000003"]]
-    assert sorted(tuple(r) for r in groups[0].collect()) == [(1, 1, 0), (2, 0, 1)]
+    texts = spark.createDataFrame([(1,), (2,), (3,)], "text_id long")
+    groups = sorted(tuple(r) for r in M.merge_column_groups(texts, hits, index, 2).collect())
+    assert groups == [(1, 1, [1, 0]), (1, 2, [1]), (2, 1, [0, 1]), (2, 2, [0]), (3, 1, [0, 0]), (3, 2, [0])]
+    assert sorted(tuple(r) for r in M.merge_columns(texts, hits, index).collect()) == [(1, 1, "101"), (2, 1, "010"), (3, 1, "000")]
+    # zeros have no bitmap
+    assert M.presence_bitmaps(hits, 2).count() == 3
+    grid = {(r.text_id, r.var): r.present for r in M.presence_grid(texts, hits, index).collect()}
+    assert len(grid) == 9 and {k for k, x in grid.items() if x} == {(1, "v000001"), (1, "v000003"), (2, "v000002")}
+    assert M.merge_columns(texts, hits.limit(0), index.limit(0)).count() == 0
+
+
+def test_pair_counts_of_many_blocks(spark, monkeypatch):
+    """One pass in 3 and in 30 blocks gives the counts of all pairs, with and without those that no text holds."""
+    import random
+
+    from textdims.operators import matrix
+
+    rng = random.Random(1)
+    p, texts = 60, {t: sorted(rng.sample(range(1, 55), rng.randrange(1, 9))) for t in range(150)}
+    index = spark.createDataFrame([(f"v{k:06d}", k, "x") for k in range(1, p + 1)], "var string, idx int, lemma string")
+    hits = spark.createDataFrame([(t, f"v{k:06d}", k) for t, ks in texts.items() for k in ks], "text_id long, var string, idx int").repartition(5)
+    n = {k: sum(k in ks for ks in texts.values()) for k in range(1, p + 1)}
+    want = {}
+    for i in range(1, p + 1):
+        for j in range(i + 1, p + 1):
+            both = sum(i in ks and j in ks for ks in texts.values())
+            want[f"v{i:06d}", f"v{j:06d}"] = (both, n[i] - both, n[j] - both, 150 - n[i] - n[j] + both)
+    monkeypatch.setattr(matrix, "PAIRS", 7)
+    for block in (2, 20, 100):
+        got = {(r.var_i, r.var_j): (r.n11, r.n10, r.n01, r.n00) for r in M.cooccurrence(hits, index, block=block).collect()}
+        assert got == want
+        held = {(r.var_i, r.var_j): (r.n11, r.n10, r.n01, r.n00) for r in M.cooccurrence(hits, index, block=block, absent=False).collect()}
+        assert held == {k: v for k, v in want.items() if v[0]}
+    assert len(M.cooccurrence(hits.limit(0), index).collect()) == p * (p - 1) // 2
+
+
+def test_one_scan_for_any_number_of_blocks(spark):
+    hits = spark.createDataFrame([(1, "v000001", 1)], "text_id long, var string, idx int")
+    fn = M._gram(2, room=4)
+    import pyarrow as pa
+
+    lists = pa.array([[1, 2, 9], [2, 9], [5], []], pa.list_(pa.int64()))
+    got: dict = {}
+    for batch in fn([pa.RecordBatch.from_arrays([lists], ["idxs"])]):
+        for i, j, c in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+            got[i, j] = got.get((i, j), 0) + c
+    assert got == {(0, 0): 4, (0, 1): 1, (1, 1): 1, (0, 2): 2, (2, 2): 2, (1, 2): 1, (0, 9): 2, (9, 9): 2, (1, 9): 1, (2, 9): 2, (0, 5): 1, (5, 5): 1}
+    assert M.pair_counts(hits).count() == 3
+
+
+def test_tetrachoric_solves_its_equation():
+    import numpy as np
+
+    from textdims.functions import stats
+
+    rng = np.random.default_rng(0)
+    n = rng.integers(1, 500, size=(4, 400)).astype(float)
+    n[:, :100] *= np.array([[30.0], [1], [1], [30]])
+    r = stats.tetrachoric(*n)
+    total = n.sum(axis=0)
+    h, k = stats.norm_ppf((n[0] + n[1]) / total), stats.norm_ppf((n[0] + n[2]) / total)
+    inner = np.abs(r) < 0.9999
+    assert np.abs(stats.bvn_cdf(h, k, r) - n[0] / total)[inner].max() < 1e-12
+    assert (np.sign(r) == np.sign(n[0] * n[3] - n[1] * n[2]))[np.abs(n[0] * n[3] - n[1] * n[2]) > 1].all()
 
 
 def test_match_rule_of_the_matrix(spark):

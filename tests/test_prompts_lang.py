@@ -66,3 +66,20 @@ def test_guided_prompt_has_its_own_task(spark):
         "- Do not acknowledge this prompt; respond straightaway.\n- Do not include a title line.\n- Write only the body of the post.\n"
         "- Write in English.\n- Do not invent information beyond what is in the summary.\n- Length: 10–20 words.\n\nA SUMMARY.\n"
     )
+
+
+def test_language_by_broadcast_and_by_join_agree(spark, monkeypatch):
+    from textdims.functions.text import char_wb_ngrams
+
+    rows = [(1, "the cat sat on the mat", "en"), (2, "der hund und die katze", "de"), (3, "the dog", "en"), (4, "ein hund a b", "de"), (5, None, "en"), (6, "   ", None), (7, "zzzz qqq 文x", None), (8, "", "de")]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    for text in (r[1] for r in rows if r[1]):
+        got = sorted(LG._gram(c) for c in LG.gram_codes(" ".join(text.lower().split())).tolist())
+        want = spark.createDataFrame([(text,)], "t string").select(char_wb_ngrams("t", 3, 3).alias("g")).first()["g"]
+        assert got == sorted(want) and [LG._gram(LG._code(g)) for g in got] == got
+    first = sorted(tuple(r) for r in LG.train_and_detect(df).collect())
+    monkeypatch.setattr(LG, "PROFILE_ROWS", 0)
+    monkeypatch.setattr(LG, "COUNTED", 0)
+    assert sorted(tuple(r) for r in LG.train_and_detect(df).collect()) == first
+    assert dict(first)[1] == "en" and dict(first)[2] == "de" and dict(first)[5] == dict(first)[6] == dict(first)[8] == "unknown"
+    assert LG.train_and_detect(df.filter("id > 4")).filter("language <> 'unknown'").count() == 0

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import strip
+from ..functions.text import SPACE, strip
 
 SUBMISSIONS_FILE = "reddit_submissions.ndjson"
 COMMENTS_FILE = "reddit_comments.ndjson"
@@ -214,7 +214,7 @@ def read_tagged(spark: SparkSession, base: str, strict: bool = True) -> tuple[Da
         ok = x.filter(F.size("p") == 3)
         rej = x.filter(F.size("p") > 3)
     else:
-        parts = F.split(strip(F.col("value")), r"(?U)\s+")
+        parts = F.split(strip(F.col("value")), f"{SPACE}+")
         x = df.select("path", parts.alias("p"))
         ok = x.filter(F.size("p") >= 3)
         rej = x.limit(0)
@@ -234,7 +234,7 @@ def write_keywords(df: DataFrame, path: str, col: str = "lemma") -> None:
 
 def read_id_map(spark: SparkSession, path: str, key: str = "id", value: str = "name") -> DataFrame:
     """Two-token lines (key, rest)."""
-    p = F.split(strip("value"), r"(?U)\s+", 2)
+    p = F.split(strip("value"), f"{SPACE}+", 2)
     return spark.read.text(path).filter(strip("value") != "").select(p[0].alias(key), p[1].alias(value))
 
 
