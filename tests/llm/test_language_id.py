@@ -56,6 +56,6 @@ def test_machines_separate():
 
 def test_numerals_are_no_letters(spark):
     df = docs(spark, [(1, "plain words of a language"), (2, "\u00b2 \u00bd \u2167 \u2460 12 _"), (3, None), (4, "\u6587")])
-    model = language_id.fit(df)
-    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.predict(df, model).collect()}
+    model = lid.fit(df)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in lid.predict(df, model).collect()}
     assert got[2] == got[3] == ("und", 0.0) and got[1][0] == got[4][0] == "en"
