@@ -235,3 +235,32 @@ def test_export_tables_with_manifest(spark):
     assert sorted((r.name, r.columns, r.rows) for r in m.collect()) == [("none", ["z"], 0), ("one", ["x", "y"], 1)]
     back = spark.read.option("header", "true").option("sep", "\t").csv(f"{base}/one").collect()
     assert [tuple(r) for r in back] == [("1", "a\tb")]
+
+
+def test_corpus_pieces(spark, tmp_path):
+    """Many small files in few splits, a large one cut at line ends, bytes that are no UTF-8 left out."""
+    for k in range(60):
+        d = tmp_path / f"folder{k % 3}"
+        d.mkdir(exist_ok=True)
+        (d / f"t {k}.txt").write_text(f"file {k}\nline two é\n", encoding="utf-8")
+    (tmp_path / "folder0" / "odd.txt").write_bytes(b"good \xff\xfe bytes\r\nlast")
+    (tmp_path / "folder0" / "empty.txt").write_bytes(b"")
+    long = "\n".join(f"line {i} " + "x" * (i % 90) for i in range(6000))
+    (tmp_path / "folder1" / "long.txt").write_text(long)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(40_000))
+    spark.conf.set("spark.sql.files.openCostInBytes", "400")
+    try:
+        df = FI.read_corpus_pieces(spark, str(tmp_path), piece_bytes=9_000)
+        assert df.rdd.getNumPartitions() < 25
+        rows = df.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    by: dict = {}
+    for r in sorted(rows, key=lambda r: (r.name, r.block, r.piece)):
+        by.setdefault(r.name, []).append(r)
+    assert "\n".join(r.text for r in by["long.txt"]) == long
+    assert len(by["long.txt"]) > 30 and max(len(r.text) for r in by["long.txt"]) <= 9_100
+    assert by["odd.txt"][0].text == "good  bytes\nlast" and by["odd.txt"][0].folder == "folder0"
+    assert all(by[f"t {k}.txt"][0].text == f"file {k}\nline two é" and len(by[f"t {k}.txt"]) == 1 for k in range(60))

@@ -181,3 +181,16 @@ def test_wide_export_has_every_variable(spark, monkeypatch):
     assert len(names) > 50 and set(rows) == {(i, g) for i, _ in hits for g in groups}
     got = {(i, names[(g - 1) * 40 + k]) for (i, g), flags in rows.items() for k, x in enumerate(flags) if x}
     assert got == hits and all(sum(len(rows[i, g]) for g in groups) == len(names) for i, _ in hits)
+
+
+def test_pipeline_report_of_any_chain(spark):
+    from textdims.operators import clean as C
+
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, " "), (5, "b c")], "id long, t string")
+    stages = [("blank", lambda d: C.drop_blank(d, "t")), ("dedup", lambda d: C.exact_dedup(d, "t")), ("none", lambda d: d.filter("id > 100")), ("still none", lambda d: d)]
+    for before in ((), ("dedup", "none")):
+        result, report = C.pipeline_report(df, stages, before)
+        assert result.count() == 0
+        assert [tuple(r) for r in report.orderBy("step").collect()] == [(0, "read", 5, None), (1, "blank", 3, 2), (2, "dedup", 2, 1), (3, "none", 0, 2), (4, "still none", 0, 0)]
+    result, report = C.pipeline_report(df, [])
+    assert result.count() == 5 and report.count() == 1

@@ -83,3 +83,50 @@ def test_language_by_broadcast_and_by_join_agree(spark, monkeypatch):
     assert sorted(tuple(r) for r in LG.train_and_detect(df).collect()) == first
     assert dict(first)[1] == "en" and dict(first)[2] == "de" and dict(first)[5] == dict(first)[6] == dict(first)[8] == "unknown"
     assert LG.train_and_detect(df.filter("id > 4")).filter("language <> 'unknown'").count() == 0
+
+
+def test_complete_job_is_taken_up_after_a_failure(spark, tmp_path):
+    """A job that dies after some parts: the next run asks only for the rest; errors are asked again."""
+    import pytest
+
+    from textdims.session import path_exists
+
+    rows = [(i, "s", f"u{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, system string, user string")
+    out = str(tmp_path / "job")
+    made = []
+    real = PR.batch_complete
+
+    def dies(part, fn, **kw):
+        made.append(1)
+        if len(made) > 3:
+            raise RuntimeError("driver lost")
+        return real(part, fn, **kw)
+
+    PR.batch_complete = dies
+    try:
+        with pytest.raises(RuntimeError):
+            PR.complete_job(df, lambda s, u: u.upper(), out, parts=6, sleep=lambda s: None)
+    finally:
+        PR.batch_complete = real
+    assert path_exists(spark, out)
+    first = {r.id for r in spark.read.parquet(f"{out}/runs").collect()}
+    assert 0 < len(first) < 40
+
+    def second(system, user):
+        if user == "u7":
+            raise ValueError("no")
+        return user.upper() + "!"
+
+    got = {r.id: r for r in PR.complete_job(df, second, out, parts=6, max_attempts=2, sleep=lambda s: None).collect()}
+    assert len(got) == 40 and all(got[i].response == (f"U{i}" if i in first else f"U{i}!") for i in got if i != 7 or i in first)
+    if 7 not in first:
+        assert (got[7].response, got[7].error, got[7].attempts) == (None, "ValueError: no", 2)
+        third = {r.id: r for r in PR.complete_job(df, lambda s, u: "done", out, sleep=lambda s: None).collect()}
+        assert third[7].response == "done" and third[7].error is None and third[7].runs == 2 and third[7].attempts == 3
+        assert sum(r.response == "done" for r in third.values()) == 1
+
+
+def test_complete_job_test_mode(spark, tmp_path):
+    df = spark.createDataFrame([(i, "s", "u") for i in range(9)], "id long, system string, user string")
+    assert sorted(r.id for r in PR.complete_job(df, lambda s, u: "x", str(tmp_path / "j"), first=4).collect()) == [0, 1, 2, 3]

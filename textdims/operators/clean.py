@@ -198,7 +198,8 @@ def exact_dedup(df: DataFrame, col: str, order_cols=("id",)) -> DataFrame:
     The least order key of each text key is a partial aggregate (no window over a
     hot text); the rows that hold one stay, by a semi-join on it.
     """
-    order = F.struct(*[F.col(c) for c in order_cols])
+    # one column is a hash aggregate, several are a struct
+    order = F.col(order_cols[0]) if len(order_cols) == 1 else F.struct(*[F.col(c) for c in order_cols])
     keyed = df.withColumn("_k", text_key(col)).withColumn("_o", order)
     first = keyed.groupBy("_k").agg(F.min("_o").alias("_f"))
     same = keyed["_k"].eqNullSafe(first["_k"]) & keyed["_o"].eqNullSafe(first["_f"])
@@ -281,3 +282,33 @@ def cleaning_report(df: DataFrame, col: str, n: int = 10) -> DataFrame:
     steps = ("read", "drop_blank", "exact_dedup", "min_words")
     rows = [F.struct(F.lit(i).alias("step"), F.lit(s).alias("stage"), F.col(s).alias("rows"), ((F.col(steps[i - 1]) - F.col(s)) if i else F.lit(None).cast("long")).alias("removed")) for i, s in enumerate(steps)]
     return t.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
+def pipeline_report(df: DataFrame, stages, write_before=()) -> tuple[DataFrame, DataFrame]:
+    """D21 of any chain of stages: (its result, written once; a table of step, stage, rows, removed).
+
+    ``stages`` lists (name, function of a DataFrame).  The rows behind each stage are counted by
+    an observation on the one execution that writes the result, so the texts are read
+    once.  The input of the stages in ``write_before``, those that run jobs of their own
+    (near duplicates), is written first, so that no earlier stage is computed again.
+    """
+    from pyspark.sql import Observation
+
+    from ..session import materialize
+
+    counts = []
+
+    def watch(rows: DataFrame, name: str) -> DataFrame:
+        seen = Observation(f"stage {len(counts)}")
+        counts.append((name, seen))
+        return rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+
+    rows = watch(df, "read")
+    for name, stage in stages:
+        if name in write_before:
+            rows = materialize(rows, "stage-input")
+        rows = watch(stage(rows), name)
+    result = materialize(rows, "stage-result")
+    numbers = [int(seen.get["rows"]) for _, seen in counts]
+    steps = [(k, counts[k][0], n, numbers[k - 1] - n if k else None) for k, n in enumerate(numbers)]
+    return result, df.sparkSession.createDataFrame(steps, "step int, stage string, rows long, removed long")

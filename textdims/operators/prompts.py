@@ -4,7 +4,9 @@ Prompts are built with column expressions keyed by post id (never by a
 counter).  ``batch_complete`` runs a user-supplied completer over Arrow
 batches (``mapInPandas``) with isolated per-row failures, retries with
 exponential back-off and jitter; the completer is an argument, so the
-library ships no network client.
+library ships no network client.  ``complete_job`` is a whole job of it that
+can be run again: finished rows are committed part by part, and the next run
+asks for what is missing only.
 """
 
 from __future__ import annotations
@@ -146,3 +148,35 @@ def batch_complete(df: DataFrame, fn: Callable[[str, str], str], key: str = "id"
 
     id_type = dict(src.dtypes)["id"]
     return src.mapInPandas(run, f"id {id_type}, response string, error string, attempts int")
+
+
+def complete_job(inputs: DataFrame, fn: Callable[[str, str], str], out_dir: str, key: str = "id", first: int | None = None, requests: int = 4,
+                 parts: int = 8, **options) -> DataFrame:
+    """P3 + P4 + C5 + A17: complete the inputs that have no response in ``out_dir`` yet; returns ``job_outcomes``.
+
+    The inputs left are dealt over ``parts`` by key; each part is written, and with that
+    committed, before the next one starts, so a failure costs one part at most.  At
+    most ``requests`` rows are asked for at a time.  ``first`` is the test mode: the first inputs by key.
+    """
+    from ..session import materialize, path_exists
+
+    spark = inputs.sparkSession
+    rows = inputs if first is None else sample_first(inputs, first, key)
+    run = 0
+    if path_exists(spark, f"{out_dir}/runs"):
+        done = spark.read.parquet(f"{out_dir}/runs")
+        run = (done.agg(F.max("run")).first()[0] or 0) + 1
+        rows = pending(rows, done.filter(F.col("response").isNotNull()).select(F.col("id").alias(key)), key)
+    left = materialize(rows.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts))), "job-inputs")
+    for k in range(parts):
+        part = batch_complete(left.filter(F.col("_part") == k), fn, key=key, workers=requests, **options)
+        part.write.mode("overwrite").parquet(f"{out_dir}/runs/run={run}/part={k}")
+    return job_outcomes(spark, out_dir)
+
+
+def job_outcomes(spark, out_dir: str) -> DataFrame:
+    """(id, response, error, attempts, runs) of a job so far: a response once there is one, else the last error; attempts of all runs."""
+    rows = spark.read.parquet(f"{out_dir}/runs")
+    best = F.max_by(F.struct("response", "error"), F.struct(F.col("response").isNotNull(), "run")).alias("best")
+    out = rows.groupBy("id").agg(best, F.sum("attempts").cast("int").alias("attempts"), F.count(F.lit(1)).cast("int").alias("runs"))
+    return out.select("id", "best.response", "best.error", "attempts", "runs")

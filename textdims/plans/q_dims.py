@@ -620,21 +620,41 @@ def q_group_means(spark, sf):
     return gm.select("effect", "dependent", "level", "n", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"))
 
 
+def _tail_nodes(panels: int = 9):
+    """Nodes and weights for the integral of exp(-s) g(s) over s > 0, with panels that grow from 1e-7 to 50."""
+    edges = np.r_[0.0, np.geomspace(1e-7, 50.0, 2 * panels)]
+    x, w = np.polynomial.legendre.leggauss(24)
+    s = np.concatenate([(b - a) / 2 * x + (a + b) / 2 for a, b in zip(edges[:-1], edges[1:], strict=True)])
+    w = np.concatenate([(b - a) / 2 * w for a, b in zip(edges[:-1], edges[1:], strict=True)])
+    return s, w * np.exp(-s)
+
+
+_TAIL = tuple(", ".join(repr(float(x)) for x in v) for v in _tail_nodes())
+
+#: p of an F value: the incomplete beta integral with 1 - t = (1 - y) exp(-s / a).
+_WITH_P = f""", tail AS (SELECT [{_TAIL[0]}] AS s, [{_TAIL[1]}] AS w),
+ap AS (
+  SELECT *, exp(h * ln(1 - y) - (lgamma(h) + lgamma(g) - lgamma(h + g))) / h * list_dot_product(w, list_transform(s, lambda u: pow(1 - (1 - y) * exp(-u / h), g - 1))) AS p
+  FROM (SELECT *, df_error / 2.0 AS h, df_model / 2.0 AS g, df_model * f / (df_model * f + df_error) AS y
+        FROM (SELECT *, (ss_model / df_model) / (ss_error / df_error) AS f FROM a)), tail)
+"""
+_P_TEXT = "CASE WHEN p < 0.0001 THEN '<.0001' ELSE printf('%.4f', p) END"
+
+
 @register(
     "anova_table",
-    _ANOVA_LI + """SELECT dependent, effect, printf('%.2f', (ss_model / df_model) / (ss_error / df_error)) AS f,
+    _ANOVA_LI + _WITH_P + f"""SELECT dependent, effect, printf('%.2f', f) AS f, {_P_TEXT} AS p,
   regexp_replace(printf('%.5f', ss_model / (ss_model + ss_error)), '^(-?)0\\.', '\\1.') AS r2,
-  printf('%.2f', ss_model / (ss_model + ss_error) * 100.0) AS r2_pct FROM a""",
+  printf('%.2f', ss_model / (ss_model + ss_error) * 100.0) AS r2_pct FROM ap""",
 )
 def q_anova_table(spark, sf):
-    # p has no SQL form: checked by a test, and by anova_pvalue
-    return G.anova_table(_anovas(_li(spark, sf), EFFECTS, DEPENDENTS)).drop("p")
+    return G.anova_table(_anovas(_li(spark, sf), EFFECTS, DEPENDENTS))
 
 
-@register("anova_pvalue")
+@register("anova_pvalue", _ANOVA_LI + _WITH_P + f"SELECT effect, dependent, round(f, 6) AS f_value, round(p, 8) AS p_value, {_P_TEXT} AS p_text FROM ap")
 def q_anova_pvalue(spark, sf):
     an = G.with_pvalue(_anovas(_li(spark, sf), EFFECTS, DEPENDENTS))
-    return an.select("effect", "dependent", "f_value", "p_value", G.fmt_p(F.col("p_value")).alias("p_text"))
+    return an.select("effect", "dependent", F.round("f_value", 6).alias("f_value"), F.round("p_value", 8).alias("p_value"), G.fmt_p(F.col("p_value")).alias("p_text"))
 
 
 _SCORE_EFFECTS = ("source", "model", "prompt", "group")

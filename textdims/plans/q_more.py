@@ -3,6 +3,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import text as H
@@ -13,7 +15,7 @@ from ..operators import factors as FA
 from ..operators import lang as LG
 from ..operators import prompts as PR
 from ..operators import tokens as T
-from ..session import materialize
+from ..session import checkpoint_dir, materialize
 from ..sources import tables
 from . import sqlfrag as S
 from .q_clean import _FENCES, POSTS_SQL, preview_sql
@@ -398,6 +400,42 @@ def q_batch_complete(spark, sf):
     return PR.batch_complete(ok, _echo_completer, key="post_id", workers=4, sleep=lambda s: None)
 
 
+def _failing_completer():
+    """Refuses prompts by their length: some always, some at the first request only."""
+    refused = set()
+
+    def complete(system: str, user: str) -> str:
+        rule = len(user) % 5
+        if rule == 0 or (rule == 1 and user not in refused):
+            refused.add(user)
+            raise ValueError("refused")
+        refused.discard(user)
+        return f"{len(system)}:{len(user)}"
+
+    return complete
+
+
+@register(
+    "complete_job",
+    f"""WITH {_PT_SQL}, b AS (SELECT post_id, {_prompt_sql(S.q(PR.CONSTRAINTS_BLOCK))} AS prompt FROM al),
+sp AS (SELECT post_id, trim(regexp_extract(prompt, 'SYSTEM PROMPT:\\s*((?s).+?)\\nUSER PROMPT:', 1), ' ' || chr(9) || chr(10) || chr(13)) AS s,
+              trim(regexp_extract(prompt, 'USER PROMPT:\\s*((?s).+)', 1), ' ' || chr(9) || chr(10) || chr(13)) AS u FROM b),
+r AS (SELECT *, length(u) % 5 AS rule, (SELECT count(*) FROM sp o WHERE o.post_id < sp.post_id) < 20 AS early FROM sp)
+SELECT post_id AS id, CASE WHEN rule > 0 THEN CAST(length(s) AS VARCHAR) || ':' || CAST(length(u) AS VARCHAR) END AS response,
+       CASE WHEN rule = 0 THEN 'ValueError: refused' END AS error,
+       CAST(CASE WHEN rule = 0 THEN 3 * (CASE WHEN early THEN 2 ELSE 1 END) WHEN rule = 1 THEN 2 ELSE 1 END AS INTEGER) AS attempts,
+       CAST(CASE WHEN rule = 0 AND early THEN 2 ELSE 1 END AS INTEGER) AS runs FROM r""",
+)
+def q_complete_job(spark, sf):
+    """P3 + P4: a test run of the first 20, then the whole job, which asks again only for what has no response."""
+    conv, posts = _ptexts(spark, sf)
+    ok, _ = PR.split_prompts(PR.build_prompt(PR.attach_length(conv, posts), "generic"))
+    out = f"{checkpoint_dir(spark).rstrip('/')}/textdims-io/job-{uuid.uuid4().hex}"
+    for first in (20, None):
+        done = PR.complete_job(ok, _failing_completer(), out, key="post_id", first=first, max_attempts=3, sleep=lambda s: None)
+    return done
+
+
 # --- language identification (P2) ------------------------------------------------
 _LANG_SQL = f"""{POSTS_SQL},
 w3 AS (SELECT id, language, w FROM (SELECT id, language,

@@ -71,6 +71,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 #: Tables written by ``materialize`` in this process, for ``release``.
 _WRITTEN: list[str] = []
 

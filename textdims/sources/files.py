@@ -12,6 +12,7 @@ import datetime as _dt
 import re
 import sys
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -163,6 +164,43 @@ def read_corpus(spark: SparkSession, base: str, pattern: str = "*.txt") -> DataF
     )
 
 
+def read_corpus_pieces(spark: SparkSession, base: str, pattern: str = "*.txt", piece_bytes: int = 64 << 20) -> DataFrame:
+    """A10 for files of any size: (path, folder, name, block, piece, text).
+
+    Splits are planned by bytes (``spark.sql.files.maxPartitionBytes``, small files together,
+    large ones cut at line ends).  The lines of a split are put together again while they
+    belong to the same file, up to ``piece_bytes``; a file within one split and that bound is
+    one row.  Pieces of a file follow each other by block (its byte offset) and piece.
+    Bytes that are no UTF-8 are left out; the end of the last line isn't kept.
+    """
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(base)
+    path = F.col("_metadata.file_path")
+    decoded = F.regexp_replace(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    lines = df.select(decoded.alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line"))
+
+    def join(batches):
+        at, piece, held, size = None, 0, [], 0
+
+        def row():
+            text = b"\n".join(held).decode("utf-8", "ignore")
+            return pa.RecordBatch.from_arrays([pa.array([at[0]]), pa.array([at[1]], pa.int64()), pa.array([piece], pa.int64()), pa.array([text], pa.string())], ["path", "block", "piece", "text"])
+
+        for batch in batches:
+            for key, line in zip(zip(batch.column("path").to_pylist(), batch.column("block").to_pylist(), strict=True), batch.column("line").to_pylist(), strict=True):
+                if held and (key != at or size + len(line) > piece_bytes):
+                    yield row()
+                    piece, held, size = (piece + 1 if key == at else 0), [], 0
+                at = key
+                held.append(line)
+                size += len(line) + 1
+        if held:
+            yield row()
+
+    pieces = lines.mapInArrow(join, "path string, block long, piece long, text string")
+    rel = F.substring("path", len(_qualified(spark, base)) + 2, 1 << 20)
+    return pieces.select("path", F.element_at(F.split(rel, "/"), 1).alias("folder"), F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "block", "piece", "text")
+
+
 def _qualified(spark: SparkSession, base: str) -> str:
     """``base`` with the scheme and host of its file system, local ones as ``file:/``."""
     jvm = spark.sparkContext._jvm
