@@ -131,16 +131,16 @@ def time_window(df: DataFrame, after=None, before=None, col: str = "created_utc"
 
 
 def quantiles(df: DataFrame, col: str, probs) -> Column:
-    """Exact linearly interpolated percentiles (value-count buffers, partial aggregation)."""
-    return F.percentile(F.col(col).cast("double"), list(probs))
+    """Exact linearly interpolated percentiles of a column as one array value, by ranks over range partitions: no buffer holds the column's values."""
+    from .groups import exact_quantiles
+
+    return exact_quantiles(df.select(F.lit(0).alias("_g"), F.col(col).alias("_v")), "_g", "_v", probs).select("q").scalar()
 
 
 def iqr_fences(df: DataFrame, col: str) -> DataFrame:
     """One row: q1, q3, iqr, lower, upper over non-null values of ``col``."""
-    q = df.filter(F.col(col).isNotNull()).agg(quantiles(df, col, [0.25, 0.75]).alias("q"))
-    return q.select(
-        F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")
-    ).select(
+    q = df.sparkSession.range(1).select(quantiles(df, col, [0.25, 0.75]).alias("q"))
+    return q.select(F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")).select(
         "q1", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
         (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lower"),
         (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("upper"),
@@ -235,9 +235,8 @@ def describe(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
         F.avg(c).alias("mean"),
         F.stddev_samp(c).alias("std"),
         F.min(c).alias("min"),
-        F.percentile(c, list(DESCRIBE_PROBS)).alias("_p"),
         F.max(c).alias("max"),
-    )
+    ).withColumn("_p", quantiles(base, col, DESCRIBE_PROBS))
     sel = [F.col("count"), F.round("mean", digits).alias("mean"), F.round("std", digits).alias("std"), F.col("min")]
     for i, p in enumerate(DESCRIBE_PROBS):
         sel.append(F.round(F.col("_p")[i], digits).alias(f"p{int(round(p * 100)):02d}"))

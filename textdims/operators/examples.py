@@ -164,7 +164,7 @@ def attach_group_means(scores: DataFrame, means: DataFrame, on=("factor", "group
     return scores.join(means, list(on), "left")
 
 
-def parse_pole_list(c, ids: bool = False):
+def parse_pole_list(c):
     """Items of an ``a (.45), (b (.31))`` list; parenthesised items are secondary.
 
     Returns array<struct<item string, loading double, primary boolean>>.

@@ -23,13 +23,41 @@ COMMENT_ID_FACTOR = 1000
 FOLDER_OF_LANG = {"en": "human", "de": "generic_gpt", "es": "summary_guided_gpt", "fr": "generic_qwen"}
 
 
+#: Bytes of a table from which it pays to deal it over the cores.
+SPREAD_BYTES = 4 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A Parquet table whose row groups are fewer than the cores, dealt over them; any other as it is.
+
+    A row group is read by one task however many there are to take it, so a small table in one or
+    two of them would leave the other cores idle through all the text work.  What is shuffled is
+    bounded by the cores' number of row groups; a large table is never touched.
+    """
+    spark = df.sparkSession
+    cores, files = spark.sparkContext.defaultParallelism, df.inputFiles()
+    if not 0 < len(files) < cores:
+        return df
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    groups = size = 0
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
+        try:
+            for group in reader.getRowGroups():
+                groups, size = groups + 1, size + group.getTotalByteSize()
+        finally:
+            reader.close()
+    return df.repartition(2 * cores) if groups < cores and size >= SPREAD_BYTES else df
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> posts (id, subreddit, selftext, language, created_utc)."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     return d.select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("subreddit"),
@@ -41,7 +69,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> texts; the folder (sub-corpus) is the stratum."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     return d.select(
         F.col("doc_id").alias("text_id"),
         folder_of(F.col("lang")).alias("stratum"),
