@@ -121,3 +121,23 @@ def test_repaired_rows(spark):
     plans = c.audits(c.signatures(df))
     got = sorted(tuple(r) for r in c.repaired(df, plans).collect())
     assert got == [(1, 0, "user", "Hi."), (1, 1, "assistant", "Out."), (2, 0, "user", "Yes."), (2, 1, "assistant", "No.")]
+
+
+def test_query_with_nulls_against_sql(spark, tmp_path):
+    """The damaged table with null ids, turns, roles and texts, and conversations that lose every row."""
+    import duckdb
+
+    from textdims.llm.queries import ORACLES, QUERIES
+
+    rows = [r for r in made(3, 60)] + [(1000 + k, k % 3, "user", f"Only row {k}.") for k in range(60)] + [(None, None, None, None), (None, 4, "user", "Late.")]
+    # one row for each turn: the order of several is not the contract's
+    rows = list({(r[0], r[1]): r for r in rows}.values())
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.execute(ORACLES["op12_conversation_repair"])
+    names = [d[0] for d in want.description]
+    got = QUERIES["op12_conversation_repair"](spark, str(tmp_path)).select(*names).collect()
+    want = want.fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert len(got) == len({r[0] for r in rows}) and any(r["audit"] == "" for r in got)
