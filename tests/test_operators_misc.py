@@ -194,3 +194,19 @@ def test_pipeline_report_of_any_chain(spark):
         assert [tuple(r) for r in report.orderBy("step").collect()] == [(0, "read", 5, None), (1, "blank", 3, 2), (2, "dedup", 2, 1), (3, "none", 0, 2), (4, "still none", 0, 0)]
     result, report = C.pipeline_report(df, [])
     assert result.count() == 5 and report.count() == 1
+
+
+def test_small_tables_are_dealt_over_the_cores(spark, monkeypatch, tmp_path):
+    from textdims.sources import tables
+
+    path = str(tmp_path / "t.parquet")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    df = spark.read.parquet(path)
+    assert tables.spread(df) is df  # too small to matter
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 0)
+    dealt = tables.spread(df)
+    assert dealt.rdd.getNumPartitions() == 2 * spark.sparkContext.defaultParallelism and sorted(r.id for r in dealt.collect()) == list(range(1000))
+    spark.range(1000).repartition(2 * spark.sparkContext.defaultParallelism).write.parquet(path + "2")
+    many = spark.read.parquet(path + "2")
+    assert tables.spread(many) is many  # as many row groups as cores
+    assert tables.spread(df.limit(0)).count() == 0

@@ -13,7 +13,8 @@ from .conftest import SF_SMALL
 FAST = ["keyness", "quota_topk", "clean_posts", "duplicate_report", "exact_dedup", "describe", "iqr_filter", "listing_limit",
         "cap_comments", "anova", "box_stats", "corpus_size", "normalize_template", "match_terms", "seq_ids", "tag_tokens",
         "box_outliers", "stage_report", "communalities", "run_counts", "comments_roundtrip", "corpus_roundtrip", "id_map_roundtrip", "matrix_roundtrip",
-        "results_roundtrip", "near_dup_members", "build_prompt_guided", "merge_columns"]
+        "results_roundtrip", "near_dup_members", "build_prompt_guided", "merge_columns", "scree", "rotate", "tetrachoric", "anova_pvalue", "anova_table",
+        "complete_job", "collect_cancel_resume", "stream_first_texts", "presence_grid", "cooccurrence"]
 
 
 def _norm(v):
@@ -50,4 +51,4 @@ def test_query_matches_oracle(spark, con, name):
     idx = sorted(range(len(ocols)), key=lambda i: ocols[i])
     orows = sorted(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert sorted(scols) == sorted(ocols)
-    assert srows == orows
+    assert srows == orows and srows  # an empty row would prove nothing

@@ -70,16 +70,20 @@ def presence_bitmaps(hits: DataFrame, columns: int = EXPORT_COLUMNS) -> DataFram
         raise ValueError(f"a bitmap holds 1 to {BITMAP} variables")
     place = (F.col("idx") - 1).cast("long")
     bucket = (F.floor(place / F.lit(columns)) + 1).cast("int")
-    return hits.select("text_id", bucket.alias("bucket"), (place % columns).alias("place")).groupBy("text_id", "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+    full = hits.select("text_id", bucket.alias("bucket"), (place % columns).alias("place")).groupBy("text_id", "bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+    return full.withColumn("bits", F.substring("bits", 1, (columns + 7) // 8))
+
+
+def _bucket(columns: int) -> Column:
+    return (F.floor((F.col("idx") - 1) / F.lit(columns)) + 1).cast("int").alias("bucket")
 
 
 def _rows_with_bits(texts: DataFrame, hits: DataFrame, index: DataFrame, columns: int) -> DataFrame:
-    """(text_id, bucket, vars, bits): every text with every bucket, the bucket's variables in order, and its bitmap or null."""
-    bucket = (F.floor((F.col("idx") - 1) / F.lit(columns)) + 1).cast("int").alias("bucket")
-    named = index.select(bucket, F.struct("idx", "var").alias("v")).groupBy("bucket").agg(F.array_sort(F.collect_list("v")).alias("v")).select("bucket", F.col("v.var").alias("vars"))
-    buckets = index.select(F.max(bucket).alias("last")).first()["last"] or 0
+    """(text_id, bucket, size, bits): every text with every bucket, how many variables the bucket has, and its bitmap or null."""
+    sizes = index.groupBy(_bucket(columns)).agg(F.count(F.lit(1)).cast("int").alias("size"))
+    buckets = index.select(F.max(_bucket(columns)).alias("last")).first()["last"] or 0
     grid = texts.select("text_id", F.explode(F.sequence(F.lit(1), F.lit(buckets)) if buckets else F.array().cast("array<int>")).alias("bucket"))
-    return grid.join(presence_bitmaps(hits, columns), ["text_id", "bucket"], "left").join(named, "bucket")
+    return grid.join(presence_bitmaps(hits, columns), ["text_id", "bucket"], "left").join(sizes, "bucket")
 
 
 def _flags(bits: bytes | None, n: int) -> np.ndarray:
@@ -87,23 +91,39 @@ def _flags(bits: bytes | None, n: int) -> np.ndarray:
     return np.zeros(n, np.uint8) if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8)[: (n + 7) // 8], count=n, bitorder="little")
 
 
+#: Rows that a task hands on at a time when it writes zeros out.
+WRITTEN = 1 << 16
+
+
 def presence_grid(texts: DataFrame, hits: DataFrame, index: DataFrame) -> DataFrame:
     """(text_id, var, present 0/1) for every text x keyword, for a consumer that wants zeros as rows.
 
-    Texts meet bitmaps; the rows are written out inside the last map and never shuffled.
+    Texts meet bitmaps; the rows are written out inside a map, and get the variables' names by number.
     """
 
     def write(batches):
-        for batch in batches:
-            for text_id, vars_, bits in zip(batch.column("text_id"), batch.column("vars"), batch.column("bits").to_pylist(), strict=True):
-                n = len(vars_)
-                yield pa.RecordBatch.from_arrays([pa.array([text_id.as_py()] * n, batch.schema.field("text_id").type), vars_.values, pa.array(_flags(bits, n).astype(np.int32))], ["text_id", "var", "present"])
-
-    rows = _rows_with_bits(texts, hits, index, EXPORT_COLUMNS).select("text_id", "vars", "bits")
-    return rows.mapInArrow(write, f"text_id {texts.schema['text_id'].dataType.simpleString()}, var string, present int")
+        def out(ids, idx, flags):
+            return pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(idx)), pa.array(np.concatenate(flags).astype(np.int32))], ["text_id", "idx", "present"])
 
-
-def merge_columns(texts: DataFrame, hits: DataFrame, index: DataFrame, columns: int = BITMAP) -> DataFrame:
+        for batch in batches:
+            at, idx, flags, size = [], [], [], 0
+            for k, (bucket, n, bits) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("bucket", "size", "bits")), strict=True)):
+                at.append(np.full(n, k))
+                idx.append(np.arange(n, dtype=np.int64) + (bucket - 1) * EXPORT_COLUMNS + 1)
+                flags.append(_flags(bits, n))
+                size += n
+                if size >= WRITTEN:
+                    yield out(batch.column("text_id").take(pa.array(np.concatenate(at))), idx, flags)
+                    at, idx, flags, size = [], [], [], 0
+            if at:
+                yield out(batch.column("text_id").take(pa.array(np.concatenate(at))), idx, flags)
+
+    rows = _rows_with_bits(texts, hits, index, EXPORT_COLUMNS).select("text_id", "bucket", "size", "bits")
+    cells = rows.mapInArrow(write, f"text_id {texts.schema['text_id'].dataType.simpleString()}, idx long, present int")
+    return cells.join(index.select(F.col("idx").cast("long").alias("idx"), "var"), "idx").select("text_id", "var", "present")
+
+
+def merge_columns(texts: DataFrame, hits: DataFrame, index: DataFrame, columns: int = EXPORT_COLUMNS) -> DataFrame:
     """(text_id, bucket, flags): the whole 0/1 matrix, a string of one character for each variable in order.
 
     One row for each text and bucket of ``columns`` variables; the last bucket has what is left.
@@ -111,10 +131,10 @@ def merge_columns(texts: DataFrame, hits: DataFrame, index: DataFrame, columns:
 
     def write(batches):
         for batch in batches:
-            flags = [(_flags(bits, len(vars_)) + 48).tobytes() for vars_, bits in zip(batch.column("vars"), batch.column("bits").to_pylist(), strict=True)]
+            flags = [(_flags(bits, n) + 48).tobytes() for n, bits in zip(batch.column("size").to_pylist(), batch.column("bits").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("text_id"), batch.column("bucket"), pa.array(flags, pa.binary()).cast(pa.string())], ["text_id", "bucket", "flags"])
 
-    rows = _rows_with_bits(texts, hits, index, columns).select("text_id", "bucket", "vars", "bits")
+    rows = _rows_with_bits(texts, hits, index, columns).select("text_id", "bucket", "size", "bits")
     return rows.mapInArrow(write, f"text_id {texts.schema['text_id'].dataType.simpleString()}, bucket int, flags string")
 
 

@@ -333,7 +333,7 @@ def q_presence_grid(spark, sf):
 @register(
     "merge_columns",
     f"""WITH {_VOCAB}
-SELECT mt.text_id, CAST((i.idx - 1) // {M.BITMAP} + 1 AS INTEGER) AS bucket, string_agg(CASE WHEN h.text_id IS NULL THEN '0' ELSE '1' END, '' ORDER BY i.idx) AS flags
+SELECT mt.text_id, CAST((i.idx - 1) // {M.EXPORT_COLUMNS} + 1 AS INTEGER) AS bucket, string_agg(CASE WHEN h.text_id IS NULL THEN '0' ELSE '1' END, '' ORDER BY i.idx) AS flags
 FROM mt CROSS JOIN idx i LEFT JOIN hits h ON h.text_id = mt.text_id AND h.idx = i.idx GROUP BY ALL""",
 )
 def q_merge_columns(spark, sf):
