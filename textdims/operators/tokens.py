@@ -9,6 +9,9 @@ each row with array functions: no shuffle before the first aggregate.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,26 +104,29 @@ def content_tokens(tokens: DataFrame) -> DataFrame:
     )
 
 
+#: Endings of content tags and of the others; no ending of one kind ends in one of the other kind, so their order plays no part.
+_CONTENT_ENDINGS = tuple(x for tag, xs in SUFFIX_RULES if tag.startswith(CONTENT_TAG_PREFIXES) for x in xs)
+_OTHER_ENDINGS = tuple(x for tag, xs in SUFFIX_RULES if not tag.startswith(CONTENT_TAG_PREFIXES) for x in xs)
+assert not any(a.endswith(b) or b.endswith(a) for a in _CONTENT_ENDINGS for b in _OTHER_ENDINGS)
+
+
+def _ends(form: Column, endings) -> Column:
+    return reduce(or_, [form.endswith(x) for x in endings])
+
+
 def is_content_form(w: Column) -> Column:
     """Content test of one word run under the built-in rule (tag and lemma rule folded).
 
     With the rule tagger the resolved lemma of a word run is always ``lower(w)``
     (``<unknown>`` falls back to the form, proper nouns keep case before the
-    lower-casing), so the test needs the tag class only: not all digits, and a
-    proper noun, a VB*/JJ ending, or no ending and longer than 3 characters;
-    then at least two letters and not a stop lemma.  Four regex evaluations
-    per distinct form.
+    lower-casing), so the test needs the tag class only: a proper noun, a VB*/JJ ending,
+    or no other ending and longer than 3 characters; then at least two letters (which no
+    number has) and not a stop lemma.  The cheap tests come first; one regular
+    expression is left for nearly all forms.
     """
-    lw = F.lower(w)
-    st = _suffix_tag(w)
-    np_ = w.rlike(r"^\p{Lu}") & (F.length(w) > 1)
-    content_tag = np_ | F.coalesce(st.isin("VBG", "VBD", "JJ"), F.length(w) > 3)
-    return (
-        ~w.rlike(r"^\p{N}+$")
-        & content_tag
-        & w.rlike(r"\p{L}.*\p{L}")
-        & ~lw.isin(*STOP_LEMMAS)
-    )
+    lw, n = F.lower(w), F.length(w)
+    content_tag = ((n > 3) & ~_ends(lw, _OTHER_ENDINGS)) | _ends(lw, _CONTENT_ENDINGS) | ((n > 1) & w.rlike(r"^\p{Lu}"))
+    return content_tag & ~lw.isin(*STOP_LEMMAS) & w.rlike(r"\p{L}.*\p{L}")
 
 
 def text_lemmas(texts: DataFrame, text_col: str = "text", keys=("text_id", "stratum")) -> DataFrame:

@@ -109,7 +109,7 @@ def q_stream_first_texts(spark, sf):
     middle = raw.select(F.median(number)).first()[0] or 0
     runs = (("b", number > middle), ("a", number <= middle))  # in the order of their arrival
     for name, part in runs:
-        raw.filter(part).repartitionByRange(4, number).sortWithinPartitions(number).write.json(f"{base}/in/{name}")
+        raw.filter(part).repartitionByRange(number).sortWithinPartitions(number).write.json(f"{base}/in/{name}")
         ST.run_collection(spark, f"{base}/in", f"{base}/out", f"{base}/collect", {})
         ST.stream_first_texts(spark, f"{base}/out", f"{base}/first").awaitTermination()
     first = ST.first_texts(spark, f"{base}/out")
