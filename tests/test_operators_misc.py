@@ -210,3 +210,17 @@ def test_small_tables_are_dealt_over_the_cores(spark, monkeypatch, tmp_path):
     many = spark.read.parquet(path + "2")
     assert tables.spread(many) is many  # as many row groups as cores
     assert tables.spread(df.limit(0)).count() == 0
+
+
+def test_content_tokens_work_out_a_tag_once(spark):
+    from textdims.operators import tokens as T
+
+    df = spark.createDataFrame([(1, "The Cats were running quickly to 42 famous x9 Übung, é aé Ünited I _b be! ..."), (2, None)], "text_id long, text string")
+    tagged = T.tag_tokens(df)
+    got = {r.word: r.tag for r in tagged.collect()}
+    assert got["42"] == "CD" and got["!"] == "SENT" and got[","] == "PUN" and got["Cats"] == got["Übung"] == "NP"
+    assert got["running"] == "VBG" and got["quickly"] == "RB" and got["famous"] == "JJ" and got["were"] == "NN" and got["to"] == got["I"] == got["é"] == "IN"
+    content = T.content_tokens(tagged)
+    assert [r.lemma_lc for r in content.orderBy("pos").collect()] == ["the", "cats", "were", "running", "famous", "übung", "ünited"]
+    plan = content._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter isnotnull(CASE" not in plan and plan.count("RLIKE") <= 15
