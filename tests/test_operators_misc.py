@@ -224,3 +224,17 @@ def test_content_tokens_work_out_a_tag_once(spark):
     assert [r.lemma_lc for r in content.orderBy("pos").collect()] == ["the", "cats", "were", "running", "famous", "übung", "ünited"]
     plan = content._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter isnotnull(CASE" not in plan and plan.count("RLIKE") <= 15
+
+
+def test_gram_sizes_of_ids_that_come_twice(spark):
+    from textdims.functions import text as H
+    from textdims.operators import clean as C
+
+    rows = [(1, "abcd abcd"), (2, "abcd"), (2, "bcd abcd"), (None, "abc"), (None, "abc"), (3, None), (4, " "), (5, None), (5, "a")]
+    df = spark.createDataFrame(rows, "id long, selftext string")
+    grams = H.char_wb_ngrams("selftext")
+    old = df.select("id", F.explode(grams).alias("gram")).groupBy("id").agg(F.count(F.lit(1)), F.count_distinct("gram"))
+    got = C.gram_sizes(df, grams)
+    assert sorted(map(str, got.collect())) == sorted(str(r).replace("count(1)", "n_grams").replace("count(DISTINCT gram)", "n_distinct") for r in old.collect())
+    # only ids that come twice have their grams written out
+    assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()

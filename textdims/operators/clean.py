@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as H
+from ..session import materialize
 
 
 def drop_blank(df: DataFrame, col: str) -> DataFrame:
@@ -311,3 +312,17 @@ def pipeline_report(df: DataFrame, stages, write_before=()) -> tuple[DataFrame,
     numbers = [int(seen.get["rows"]) for _, seen in counts]
     steps = [(k, counts[k][0], n, numbers[k - 1] - n if k else None) for k, n in enumerate(numbers)]
     return result, df.sparkSession.createDataFrame(steps, "step int, stage string, rows long, removed long")
+
+
+def gram_sizes(df: DataFrame, grams: Column, id_col: str = "id") -> DataFrame:
+    """H3 by text: (id, n_grams, n_distinct) of every text with any gram.
+
+    Grams are counted inside their row.  Rows that share an id, found by a count of
+    the ids, count together: only their grams are written out one by one.
+    """
+    rows = df.select(F.col(id_col).alias("id"), grams.alias("grams")).select("id", F.size("grams").alias("n"), F.size(F.array_distinct("grams")).alias("d"))
+    counted = materialize(rows.groupBy("id").agg(F.sum("n").alias("n_grams"), F.max("d").cast("long").alias("n_distinct"), F.count(F.lit(1)).alias("rows")), "gram-sizes")
+    several = materialize(counted.filter("rows > 1").select(F.col("id").alias("again")), "gram-ids")
+    again = df.join(several, F.col(id_col).eqNullSafe(F.col("again")), "left_semi").select(F.col(id_col).alias("id"), F.explode(grams).alias("gram"))
+    again = again.groupBy("id").agg(F.count(F.lit(1)).alias("n_grams"), F.count_distinct("gram").alias("n_distinct"))
+    return counted.filter("rows = 1 AND n_grams > 0").select("id", "n_grams", "n_distinct").unionByName(again)
