@@ -1,8 +1,10 @@
-"""Queries whose work has to grow with the tables: files of a bounded size, no token dealt anew, values measured once."""
+"""Queries whose work has to grow with the tables: files of a bounded size, no token dealt anew, values measured once, words tested once."""
 
 from pyspark.sql import functions as F
 
 from textdims.operators import clean as CL
+from textdims.operators import keyness as K
+from textdims.operators import tokens as T
 from textdims.plans import QUERIES, q_io
 
 
@@ -43,3 +45,27 @@ def test_tagged_tokens_of_many_folders(spark, tmp_path):
     got = {(r.folder, r.tag): r.n for r in QUERIES["tagged_roundtrip"](spark, str(tmp_path)).collect()}
     assert got == {("human", "IN"): 1, ("human", "NP"): 1, ("human", "SENT"): 1, ("human", "NN"): 1, ("human", "JJ"): 1, ("generic_gpt", "NN"): 1}
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+WORDS = ["The cat saw a CAT, Be Been be 12 a1 1b2 x_y _ Ly Early early EARLY sing Ing ing ed Ed It it IT Is", "İx İxy iPhone IPHONE Bed bed of Of OF Ab ab aB A ΟΔΟΣ οδοσ ǅa Ⅷa 𐐀b 𐐨b ab𐐀 İİ a", "Élan élan Ét ét Do doing DOING Have having 東京 Ⅷ", "", None]
+
+
+def test_words_are_tested_after_their_counts(spark):
+    rows = [(k, s, x) for k, x in enumerate(WORDS) for s in ("s", None)] + [(1, "s", WORDS[0]), (None, "s", WORDS[1])]
+    texts = spark.createDataFrame(rows, "text_id long, stratum string, text string").coalesce(1)
+    each = texts.withColumn("_row", F.monotonically_increasing_id()).localCheckpoint()
+    tokens = T.content_tokens(T.tag_tokens(each, keys=("_row", "text_id", "stratum"))).filter(F.col("word").rlike(r"^[\p{L}\p{N}_]+$"))
+    want = tokens.select("_row", "text_id", "stratum", F.col("lemma_lc").alias("lemma")).distinct()
+    got = T.text_lemmas(each, keys=("_row", "text_id", "stratum"))
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    words = T.text_words(texts)
+    assert sorted(map(str, K.doc_frequency(words).collect())) == sorted(map(str, K.doc_frequency(want).collect()))
+    assert sorted(map(str, K.keyness(words, texts).collect())) == sorted(map(str, K.keyness(want, texts).collect()))
+
+
+def test_no_content_test_before_the_counts(spark, tmp_path):
+    _documents(spark, tmp_path, 3)
+    for name in ("consolidate", "keyness", "doc_frequency"):
+        plan = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.index(r"\p{L}.*\p{L}") < plan.index("Aggregate [word"), name
+        assert plan.count(r"\p{L}.*\p{L}") == 1, name
