@@ -70,6 +70,26 @@ def test_all_eigenvalues_add_up_to_the_trace_and_components(spark):
     assert [r_["number"] for r_ in scree] == list(range(1, 21)) and np.allclose([r_["eigenvalue"] for r_ in scree], values[::-1][:20])
 
 
+def test_no_component_is_left_out(spark):
+    """105 pairs of variables: as many components, more than a hundred."""
+    pairs = [(f"v{2 * k:03d}", f"v{2 * k + 1:03d}", 0.3 + k / 200) for k in range(105)]
+    index = spark.createDataFrame([(f"v{k:03d}", k + 1) for k in range(210)], "var string, idx int")
+    found = FA.principal_components(spark.createDataFrame(pairs, "var_i string, var_j string, r double"), index)
+    assert np.allclose(found.values, [1 + r for _, _, r in pairs[::-1]])
+    got = {x["var"]: x["communality"] for x in FA.communalities(FA.component_loadings(found, index)).collect()}
+    assert len(got) == 210 and all(abs(got[v] - (1 + r) / 2) < 1e-8 for a, b, r in pairs for v in (a, b))
+    assert len(FA.principal_components(spark.createDataFrame(pairs, "var_i string, var_j string, r double"), index, most=7).values) == 7
+
+
+def test_value_that_comes_more_often_than_a_panel_has_columns(spark):
+    r = np.eye(60)
+    r[:20, :20] = some_corr(20, 2, noise=0.2)
+    corr, index = corr_table(spark, r)
+    found = S.leading_eigenpairs(S.tiles(corr, index, 16), S.diagonal(index.selectExpr("idx", "1.0 as value"), 16), 100, 1.0, block=6)
+    want = np.linalg.eigvalsh(r)[::-1]
+    assert np.allclose(found.values, want[want >= 1 - 1e-9]) and (np.abs(found.values - 1) < 1e-9).sum() == 40
+
+
 def by_sums_of_angles(a):
     """Varimax by turning the columns themselves."""
     p, k = a.shape
