@@ -238,3 +238,15 @@ def test_gram_sizes_of_ids_that_come_twice(spark):
     assert sorted(map(str, got.collect())) == sorted(str(r).replace("count(1)", "n_grams").replace("count(DISTINCT gram)", "n_distinct") for r in old.collect())
     # only ids that come twice have their grams written out
     assert "LeftSemi" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pipeline_report_leaves_no_shuffle_files(spark, monkeypatch):
+    from textdims import session
+
+    calls = []
+    monkeypatch.setattr(session, "materialize", lambda df, *a, real=session.materialize, **k: (calls.append(k), real(df, *a, **k))[1])
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None)], "id long, t string")
+    stages = [("drop_blank", lambda d: C.drop_blank(d, "t")), ("exact_dedup", lambda d: C.exact_dedup(d, "t", ("id",))), ("same", lambda d: d)]
+    _, report = C.pipeline_report(df, stages, ("same",))
+    assert [(r["stage"], r["rows"]) for r in report.orderBy("step").collect()] == [("read", 4), ("drop_blank", 3), ("exact_dedup", 2), ("same", 2)]
+    assert len(calls) == 2 and all(k.get("tidy") and k.get("compression") == "zstd" for k in calls)
